@@ -32,6 +32,11 @@ def clip(value: Column | str, lower=None, upper=None) -> Column:
     return F.when(value.isNotNull(), bounded)
 
 
+def nan_to_null(name: str) -> Column:
+    """NULL in place of NaN: Spark holds NaN to be greater than any number."""
+    return F.when(~F.isnan(name), F.col(name)).alias(name)
+
+
 def double(value: Column | str) -> Column:
     return as_column(value).cast("double")
 

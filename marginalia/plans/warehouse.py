@@ -67,28 +67,28 @@ QUESTIONS = {
         GROUP BY d.year, d.month, d.quarter
         ORDER BY d.year, d.month""",
     "top_products": f"""
-        SELECT product_id, p.product_name, p.category, p.sub_category,
+        SELECT p.product_name, p.category, p.sub_category,
                CAST(round(revenue, 2) AS DOUBLE) AS total_revenue,
                CAST(round(profit, 2) AS DOUBLE) AS total_profit,
                round(margins / times_sold * 100, 2) AS avg_margin_pct,
                times_sold
         FROM (SELECT product_id, sum(sales) AS revenue, sum(profit) AS profit,
                      sum(profit_margin) AS margins, count(*) AS times_sold
-              FROM {{fact_sales}} GROUP BY product_id)
-        JOIN {{dim_product}} p USING (product_id)
-        ORDER BY total_profit DESC, product_id
+              FROM {{fact_sales}} GROUP BY product_id) f
+        JOIN {{dim_product}} p ON f.product_id = p.product_id
+        ORDER BY total_profit DESC, f.product_id
         LIMIT 15""",
     "loss_products": f"""
-        SELECT product_id, p.product_name, p.category,
+        SELECT p.product_name, p.category,
                CAST(round(profit, 2) AS DOUBLE) AS total_profit,
                round(CAST(discounts AS DOUBLE) / times_sold * 100, 2) AS avg_discount_pct,
                times_sold
         FROM (SELECT product_id, sum(profit) AS profit, sum(discount) AS discounts,
                      count(*) AS times_sold
               FROM {{fact_sales}} GROUP BY product_id
-              HAVING round(sum(profit), 2) < 0)
-        JOIN {{dim_product}} p USING (product_id)
-        ORDER BY total_profit, product_id
+              HAVING round(sum(profit), 2) < 0) f
+        JOIN {{dim_product}} p ON f.product_id = p.product_id
+        ORDER BY total_profit, f.product_id
         LIMIT 15""",
     "customer_clv": f"""
         SELECT customer_id, c.customer_name, c.segment, total_orders,

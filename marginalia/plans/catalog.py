@@ -4,12 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia import storage
-from marginalia.operators import actions, aggregates, clean, evaluate, features, measures, star
-from marginalia.operators import stats, windows
+from marginalia.operators import (
+    actions,
+    aggregates,
+    attributions,
+    clean,
+    evaluate,
+    features,
+    measures,
+    models,
+    recommend,
+    star,
+    stats,
+    windows,
+)
 from marginalia.plans import warehouse
 from marginalia.sources import files
 from marginalia.sources.retail import first_lines, once, order_lines, retail_lines
@@ -193,22 +206,6 @@ def null_safe_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-def anti_unbought(lines: DataFrame) -> DataFrame:
-    """Sub-categories each customer has not bought, counted per customer.
-
-    Every customer meets every sub-category: the candidate list of a recommendation.
-    """
-    bought = aggregates.purchases(lines).select("customer_id", "sub_category")
-    names = F.collect_set("sub_category")
-    offered = bought.groupBy().agg(names.alias("all_names"))
-    # All sub-category names in one row: as long as the category dimension.
-    candidates = (
-        bought.select("customer_id").distinct().crossJoin(F.broadcast(offered))
-        .select("customer_id", F.explode("all_names").alias("sub_category"))
-    )
-    return candidates.join(bought, ["customer_id", "sub_category"], "left_anti")
-
-
 def reorder_override(lines: DataFrame) -> DataFrame:
     inventory = actions.rec_inventory(lines).select("sub_category", "reorder_point", "total_qty")
     modelled = features.reorder_points(lines)
@@ -344,7 +341,7 @@ QUERIES: dict[str, Query] = {
     "join_semi_top_categories": on_lines(
         lambda lines: features.in_top_categories(lines).select("row_id", "sub_category")
     ),
-    "join_anti_unbought": on_lines(anti_unbought),
+    "join_anti_unbought": on_lines(lambda lines: recommend.unbought(aggregates.purchases(lines))),
     "join_nullsafe_geo": null_safe_geography,
     "join_override": on_lines(reorder_override),
     # star schema
@@ -457,3 +454,158 @@ QUERIES: dict[str, Query] = {
     "rec_channel": on_lines(actions.rec_channel),
     "rec_priority_counts": on_lines(priorities),
 }
+
+
+# ---------------------------------------------------------------- fitted models
+
+# Boosting rounds are sequential jobs. The registered queries fit fewer rounds and trees than
+# the operators' defaults, over all rows.
+ROUNDS = 20
+TREES = 20
+CV_ROUNDS = 5
+
+_models: dict[tuple[str, str, str], models.Fitted] = {}
+
+
+def fitted(spark: SparkSession, sf_dir: str, name: str) -> models.Fitted:
+    """A model fitted once per application and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _models:
+        lines = retail_lines(spark, sf_dir)
+        _models[key] = {
+            "churn": lambda: models.fit_churn(customer_table(spark, sf_dir), rounds=ROUNDS),
+            "returns": lambda: models.fit_returns(lines, trees=TREES),
+            "revenue": lambda: models.fit_revenue(lines, rounds=ROUNDS),
+            "residuals": lambda: models.fit_residuals(lines, rounds=ROUNDS),
+            "demand": lambda: models.fit_demand(lines, rounds=ROUNDS),
+        }[name]()
+    return _models[key]
+
+
+def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = fitted(spark, sf_dir, "churn").scored
+    return tidy(scored.select("customer_id", "churned", "is_test", "churn_prob", "prediction"))
+
+
+def return_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = fitted(spark, sf_dir, "returns").scored
+    return tidy(scored.select("row_id", "returned", "return_prob", "prediction"))
+
+
+def backtest(name: str, keys: list[str]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        scored = evaluate.with_residuals(fitted(spark, sf_dir, name).scored)
+        return tidy(scored.select(*keys, "actual", "predicted", "residual"), 4)
+
+    return query
+
+
+def model_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error measures of the three regressions on their held-out rows."""
+    parts = [
+        evaluate.regression_metrics(fitted(spark, sf_dir, name).scored).withColumn(
+            "model", F.lit(name)
+        )
+        for name in ("revenue", "residuals", "demand")
+    ]
+    return tidy(parts[0].unionByName(parts[1]).unionByName(parts[2]), 4)
+
+
+def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [
+        models.feature_importance(fitted(spark, sf_dir, name)).withColumn("model", F.lit(name))
+        for name in ("churn", "returns", "demand")
+    ]
+    return tidy(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a saved and reloaded model next to those of the original."""
+    original = fitted(spark, sf_dir, "churn")
+    path = storage.new_path(spark, "model")
+    models.save_model(original.model, path)
+    customers = customer_table(spark, sf_dir)
+
+    def scores(model, name: str) -> DataFrame:
+        scored = model.transform(customers)
+        return scored.select("customer_id", vector_to_array("probability")[1].alias(name))
+
+    before = scores(original.model, "fitted_prob")
+    return tidy(before.join(scores(models.load_model(path), "loaded_prob"), "customer_id"))
+
+
+def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    churn = models.cross_validate(
+        customer_table(spark, sf_dir),
+        aggregates.CHURN_FEATURES,
+        "customer_id",
+        "churned",
+        models.churn_estimator(rounds=CV_ROUNDS, depth=5),
+    )
+    returns = models.cross_validate(
+        models.return_inputs(retail_lines(spark, sf_dir)),
+        models.RETURN_FEATURES,
+        "row_id",
+        "returned",
+        models.returns_estimator(trees=CV_ROUNDS, depth=8),
+        balanced=True,
+    ).where(F.col("metric").isin("auc", "f1"))
+    churn = churn.withColumn("model", F.lit("churn"))
+    return tidy(churn.unionByName(returns.withColumn("model", F.lit("returns"))))
+
+
+def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = rfm_base(retail_lines(spark, sf_dir))
+    return once(spark, sf_dir, "clusters", lambda: models.rfm_clusters(base))
+
+
+def explained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    churn = fitted(spark, sf_dir, "churn")
+    tested = models.Fitted(churn.model, churn.features, churn.scored.where("is_test = 1"))
+    return attributions.attributions(tested, "customer_id")
+
+
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bought = aggregates.purchases(retail_lines(spark, sf_dir))
+    return once(spark, sf_dir, "neighbours", lambda: recommend.similar_customers(bought))
+
+
+def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bought = aggregates.purchases(retail_lines(spark, sf_dir))
+    return tidy(recommend.recommend(bought, neighbours(spark, sf_dir)), 4)
+
+
+def marketing_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marketing actions from fitted churn scores and clusters instead of the rules."""
+    lines = retail_lines(spark, sf_dir)
+    churn = fitted(spark, sf_dir, "churn").scored
+    return tidy(actions.rec_marketing(lines, churn, clusters(spark, sf_dir)))
+
+
+QUERIES.update(
+    {
+        "rfm_clusters": lambda spark, sf_dir: tidy(clusters(spark, sf_dir)),
+        "rfm_cluster_means": lambda spark, sf_dir: tidy(
+            models.cluster_means(clusters(spark, sf_dir))
+        ),
+        "churn_scores": churn_scores,
+        "return_scores": return_scores,
+        "revenue_backtest": backtest("revenue", ["period"]),
+        "residual_table": backtest("residuals", ["period"]),
+        "demand_backtest": backtest("demand", ["sub_category", "month_no"]),
+        "backtest_metrics": model_reports,
+        "feature_importance": importances,
+        "model_roundtrip": model_roundtrip,
+        "cv_scores": cv_scores,
+        "attributions": lambda spark, sf_dir: tidy(explained(spark, sf_dir)),
+        "attribution_summary": lambda spark, sf_dir: tidy(
+            attributions.attribution_summary(explained(spark, sf_dir))
+        ),
+        "similar_customers": lambda spark, sf_dir: tidy(neighbours(spark, sf_dir), 9),
+        "recommendations": recommendations,
+        "copurchase_corr": on_lines(
+            lambda lines: recommend.copurchase_corr(aggregates.purchases(lines))
+        ),
+        "rec_marketing_fitted": marketing_fitted,
+    }
+)

@@ -984,4 +984,27 @@ ORACLES: dict[str, str] = {
            UNION ALL SELECT 'pricing', urgency, COUNT(*) FROM pricing GROUP BY 2""",
         MARKETING_BASE, ELASTICITY, PRICING_CTE,
     ),
+    "similar_customers": over_lines(
+        f"SELECT customer_id, neighbour_id, {r('similarity', 'similarity', 9)}, rank FROM near", SIMILAR
+    ),
+    "recommendations": over_lines(
+        f"""SELECT customer_id, sub_category, {r("s", "score", 4)}, rank FROM (
+              SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY s DESC, sub_category) AS rank
+              FROM (SELECT customer_id, sub_category, ROUND(COALESCE(t, 0), 4) AS s FROM (
+                      SELECT customer_id, sub_category
+                      FROM (SELECT DISTINCT customer_id FROM bought), (SELECT DISTINCT sub_category FROM bought)
+                      EXCEPT SELECT customer_id, sub_category FROM bought WHERE amount > 0)
+                    LEFT JOIN (SELECT n.customer_id, sub_category, SUM(similarity * amount) AS t
+                               FROM near n JOIN bought b ON b.customer_id = n.neighbour_id GROUP BY 1, 2)
+                    USING (customer_id, sub_category))) WHERE rank <= 5""", SIMILAR,
+    ),
+    "copurchase_corr": over_lines(
+        f"""SELECT a.sub_category AS item_a, b.sub_category AS item_b, {r("corr(a.amount, b.amount)", "corr")}
+            FROM full_bought a JOIN full_bought b USING (customer_id) GROUP BY 1, 2""",
+        SIMILAR,
+        """full_bought AS (
+          SELECT customer_id, sub_category, COALESCE(amount, 0) AS amount
+          FROM (SELECT DISTINCT customer_id FROM bought) CROSS JOIN (SELECT DISTINCT sub_category FROM bought)
+          LEFT JOIN bought USING (customer_id, sub_category))""",
+    ),
 }

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginalia import storage
 from marginalia.functions.columns import (
     CHANNEL_SHARES,
     assign_bucket,
@@ -112,6 +113,9 @@ def dedup_keep_first(df: DataFrame, keys: list[str], order_cols: list) -> DataFr
 def clean(raw: DataFrame, order_cols: list | None = None) -> DataFrame:
     """Raw all-text order lines to typed, de-duplicated, derived lines."""
     df = null_tokens(normalise_names(raw))
+    df = df.withColumn("row_id", F.expr("try_cast(row_id AS bigint)"))
+    # Before any column is derived: the shuffle carries the raw columns only.
+    df = dedup_keep_first(df, ["order_id", "product_id"], order_cols or ["row_id"])
     df = df.withColumns({name: parse_date(name) for name in ("order_date", "ship_date")})
     df = coerce_numeric(
         df,
@@ -120,14 +124,12 @@ def clean(raw: DataFrame, order_cols: list | None = None) -> DataFrame:
     )
     df = df.withColumns(
         {
-            "row_id": F.expr("try_cast(row_id AS bigint)"),
             "quantity": F.expr("try_cast(quantity AS int)"),
             "discount": clip("discount", 0, 1).cast("decimal(6,2)"),
         }
     )
-    df = assign_channel(derive(df))
-    df = dedup_keep_first(df, ["order_id", "product_id"], order_cols or ["row_id"])
-    return df.where(F.col("quantity") > 0).select(*CLEAN_COLUMNS)
+    df = assign_channel(derive(df.where(F.col("quantity") > 0)))
+    return df.select(*CLEAN_COLUMNS)
 
 
 # Fixed rules: name -> violation test.
@@ -178,12 +180,15 @@ def profile_nulls(df: DataFrame) -> DataFrame:
     return counts.select(F.expr(f"stack({len(df.columns)}, {cells}) AS {shape}"))
 
 
-def encode_ordinal(df: DataFrame, name: str, output: str) -> DataFrame:
-    """Alphabetical 0-based codes of a category column.
+def encode_ordinal(df: DataFrame, names: list[str], suffix: str = "_enc") -> DataFrame:
+    """Alphabetical 0-based codes of category columns; NULL stays NULL.
 
-    The distinct values form a small dimension; Catalyst broadcasts it when its size allows.
+    The value combinations are found in one pass and written, so that the join of each code
+    table is planned by its file size: a small one is broadcast and the rows stay in place.
     """
-    codes = df.select(name).where(F.col(name).isNotNull()).distinct()
-    order = F.row_number().over(Window.orderBy(name))
-    codes = codes.withColumn(output, (order - 1).cast("bigint"))
-    return df.join(codes, name, "left")
+    combinations = storage.stage(df.select(*names).distinct(), "categories")
+    for name in names:
+        values = combinations.select(name).where(F.col(name).isNotNull()).distinct()
+        code = (F.row_number().over(Window.orderBy(name)) - 1).cast("bigint")
+        df = df.join(values.withColumn(f"{name}{suffix}", code), name, "left")
+    return df

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -61,8 +63,13 @@ def rfm_clusters(
     # Ten starts read the points many times, so they are written once.
     base = storage.stage(customers.select("customer_id", *columns), "rfm")
     points = prepare.fit(base).transform(base).drop("_raw")
-    fits = [KMeans(k=k, seed=seed + i).fit(points) for i in range(restarts)]
+    points = points.persist()
+    # Each start is a chain of small jobs; a few starts at a time fill the cluster's slots.
+    with ThreadPool(min(restarts, 4)) as pool:
+        starts = [KMeans(k=k, seed=seed + i) for i in range(restarts)]
+        fits = pool.map(inheritable_thread_target(lambda start: start.fit(points)), starts)
     best = min(fits, key=lambda model: model.summary.trainingCost)
+    points.unpersist()
     placed = best.transform(points).withColumnRenamed("prediction", "cluster").drop("features")
     # One row per cluster.
     means = placed.groupBy("cluster").agg(F.avg("monetary").alias("_mean"))
@@ -142,8 +149,7 @@ def fit_churn(
 def return_inputs(lines: DataFrame) -> DataFrame:
     """Labelled lines with the model's numeric and encoded columns; missing numbers are 0."""
     rows = features.return_label(lines)
-    for name in RETURN_CATEGORIES:
-        rows = clean.encode_ordinal(rows, name, f"{name}_enc")
+    rows = clean.encode_ordinal(rows, RETURN_CATEGORIES)
     numbers = [
         F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(name) for name in RETURN_FEATURES
     ]
@@ -205,7 +211,7 @@ def fit_demand(
     lines: DataFrame, rounds: int = 300, rate: float = 0.05, depth: int = 5, seed: int = 42
 ) -> Fitted:
     """Monthly quantity per sub-category from its lags, on a random split."""
-    rows = clean.encode_ordinal(features.demand_lags(lines), "sub_category", "sub_category_enc")
+    rows = clean.encode_ordinal(features.demand_lags(lines), ["sub_category"])
     rows = features.hash_split(rows, ["sub_category", "month_no"])
     return _fit_regression(rows, DEMAND_FEATURES, "quantity", rounds, rate, depth, 0.8, seed)
 

@@ -35,10 +35,10 @@ def purchase_vectors(bought: DataFrame) -> DataFrame:
 
     A row is as long as the sub-category dimension, whatever the number of customers.
     """
-    coded = encode_ordinal(bought, "sub_category", "_code")
-    width = coded.select(F.max("_code")).scalar()
+    coded = encode_ordinal(bought, ["sub_category"], "_code")
+    width = coded.select(F.max("sub_category_code")).scalar()
     entries = F.map_from_entries(
-        F.collect_list(F.struct("_code", F.col("sales").cast("double").alias("sales")))
+        F.collect_list(F.struct("sub_category_code", F.col("sales").cast("double").alias("sales")))
     )
     sparse = coded.groupBy("customer_id").agg(entries.alias("_sales"))
     sparse = sparse.withColumn("_codes", F.sequence(F.lit(0).cast("bigint"), width))

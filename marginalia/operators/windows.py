@@ -77,13 +77,14 @@ def running_totals(df: DataFrame, order: list, sums: dict[str, str]) -> DataFram
 def rank_in_group(df: DataFrame, group: list[str], order: list, name: str) -> DataFrame:
     """1-based row number inside each group, without gathering a group in one task.
 
-    ``{name}_size`` holds the number of rows of the group.
+    ``{name}_size`` holds the number of rows of the group. The group starts are written first,
+    so the join broadcasts them by their file size, or sort-merges when there are many groups.
     """
     ranked = global_rank(df, [*group, *order], "_global")
     starts = ranked.groupBy(*group).agg(
         F.min("_global").alias("_start"), F.count("*").alias(f"{name}_size")
     )
-    joined = ranked.join(starts, group) if group else ranked.crossJoin(starts)
+    joined = ranked.join(storage.stage(starts, "groups"), group)
     return joined.withColumn(name, F.col("_global") - F.col("_start") + 1).drop("_global", "_start")
 
 
@@ -125,7 +126,8 @@ def exact_quantiles(
     groups = counts.groupBy(*by).agg(
         F.min("_below").alias("_start"), F.sum("_n").alias("_size")
     )
-    counts = counts.join(groups, by) if by else counts.crossJoin(groups)
+    # Written group totals join by their file size: few groups are broadcast.
+    counts = counts.join(storage.stage(groups, "groups"), by) if by else counts.crossJoin(groups)
     below = F.col("_below") - F.col("_start")
     picks = []
     for name, p in probabilities.items():

@@ -83,8 +83,11 @@ def scored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with rule-based segment and churn probability."""
     lines = retail_lines(spark, sf_dir)
-    base = actions.customer_base(lines)
-    return aggregates.rule_segments(aggregates.rule_churn(base))
+
+    def build() -> DataFrame:
+        return aggregates.rule_segments(aggregates.rule_churn(actions.customer_base(lines)))
+
+    return once(spark, sf_dir, "labelled", build)
 
 
 def monthly_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,14 +184,20 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoded(lines: DataFrame) -> DataFrame:
     """Codes of the four encoded categories with the number of lines they cover."""
-    coded = lines
     names = ["category", "sub_category", "channel", "segment"]
-    for name in names:
-        coded = clean.encode_ordinal(coded, name, f"{name}_enc")
+    coded = clean.encode_ordinal(lines, names)
     keys = [*names, *[f"{name}_enc" for name in names]]
     return coded.groupBy(*keys).agg(F.count("*").alias("lines"))
 
 
+def star_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The warehouse written as tables, the fact split by order year, and counted again."""
+    path = storage.new_path(spark, "star")
+    star.write_star(star_tables(spark, sf_dir), path)
+    years = spark.read.parquet(f"{path}/fact_sales").groupBy("order_year")
+    return tidy(years.agg(F.count("*").alias("rows"), F.sum("sales").alias("sales")))
+
+
 def null_safe_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines per place key where some places have no postal code or city."""
     lines = retail_lines(spark, sf_dir)
@@ -350,6 +359,7 @@ QUERIES: dict[str, Query] = {
     "star_dim_geography": on_star("dim_geography"),
     "star_dim_date": on_star("dim_date"),
     "star_fact": on_star("fact_sales"),
+    "star_sink": star_sink,
     "dim_calendar": on_lines(star.dim_calendar),
     # warehouse questions
     "wh_profit_by_channel": on_question("profit_by_channel"),

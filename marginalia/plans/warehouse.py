@@ -1,6 +1,7 @@
 """Ten profitability questions as Spark SQL over the star schema.
 
-Money sums stay decimal until they are rounded. Every top list has a full tie-break.
+Facts are summed per product or customer before a dimension joins, so a popular product
+reaches the join as one row, and the join shuffles sums rather than lines. Money sums stay decimal until they are rounded. Every top list has a full tie-break.
 """
 
 from __future__ import annotations
@@ -34,13 +35,17 @@ QUESTIONS = {
         ORDER BY total_profit DESC, channel""",
     "profit_by_category": f"""
         SELECT p.category, p.sub_category,
-               count(*) AS line_items,
-               {_money("f.sales")} AS revenue,
-               {_money("f.profit")} AS profit,
-               {_avg("f.profit_margin")} AS avg_margin_pct,
-               {_avg("f.discount")} AS avg_discount_pct,
-               sum(f.is_profitable) AS profitable_orders
-        FROM {{fact_sales}} f JOIN {{dim_product}} p ON f.product_id = p.product_id
+               sum(n) AS line_items,
+               CAST(round(sum(sales), 2) AS DOUBLE) AS revenue,
+               CAST(round(sum(f.profit), 2) AS DOUBLE) AS profit,
+               round(sum(margins) / sum(n) * 100, 2) AS avg_margin_pct,
+               round(CAST(sum(discounts) AS DOUBLE) / sum(n) * 100, 2) AS avg_discount_pct,
+               sum(profitable) AS profitable_orders
+        FROM (SELECT product_id, count(*) AS n, sum(sales) AS sales, sum(profit) AS profit,
+                     sum(profit_margin) AS margins, sum(discount) AS discounts,
+                     sum(is_profitable) AS profitable
+              FROM {{fact_sales}} GROUP BY product_id) f
+        JOIN {{dim_product}} p ON f.product_id = p.product_id
         GROUP BY p.category, p.sub_category
         ORDER BY profit DESC, p.sub_category""",
     "discount_impact": f"""

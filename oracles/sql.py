@@ -432,6 +432,10 @@ ORACLES: dict[str, str] = {
         + " FROM fact",
         GEO, FACT,
     ),
+    "star_sink": over_lines(
+        f"""SELECT order_year, COUNT(*) AS "rows", {r("SUM(sales)", "sales")}
+            FROM lines GROUP BY order_year"""
+    ),
     "dim_calendar": over_lines(
         """SELECT d AS "Date", CAST(year(d) AS BIGINT) AS "Year", CAST(quarter(d) AS BIGINT) AS "Quarter",
                   CAST(month(d) AS BIGINT) AS "Month", strftime(d, '%b') AS "MonthName",

@@ -67,7 +67,8 @@ def rfm_clusters(
     # Each start is a chain of small jobs; a few starts at a time fill the cluster's slots.
     with ThreadPool(min(restarts, 4)) as pool:
         starts = [KMeans(k=k, seed=seed + i) for i in range(restarts)]
-        fits = pool.map(inheritable_thread_target(lambda start: start.fit(points)), starts)
+        session = inheritable_thread_target(customers.sparkSession)
+        fits = pool.map(session(lambda start: start.fit(points)), starts)
     best = min(fits, key=lambda model: model.summary.trainingCost)
     points.unpersist()
     placed = best.transform(points).withColumnRenamed("prediction", "cluster").drop("features")

@@ -80,9 +80,11 @@ def _pivots(directions: DataFrame, count: int) -> np.ndarray:
 def _nearest_directions(directions: DataFrame, k: int, block_rows: int) -> DataFrame:
     """(direction, candidate, similarity): the k nearest directions of each, itself included."""
     spark = directions.sparkSession
+    key = dict(directions.dtypes)["direction"]
+    shape = f"direction {key}, candidate {key}, similarity double"
     count = directions.count()
     if count == 0:
-        return spark.createDataFrame([], "direction bigint, candidate bigint, similarity double")
+        return spark.createDataFrame([], shape)
     width = len(directions.select("vector").head().vector)
     pivot_count = min(MAX_PIVOTS, max(1, count // block_rows), max(1, 4_000_000 // width))
     rows_per_block = max(block_rows, math.ceil(count / MAX_BLOCKS))
@@ -99,7 +101,7 @@ def _nearest_directions(directions: DataFrame, k: int, block_rows: int) -> DataF
                 yield part.assign(cell=cell, gap=gaps[np.arange(len(cell)), cell])
 
     cells = directions.select("direction", "vector").mapInPandas(
-        assign, "direction bigint, vector array<double>, cell bigint, gap double"
+        assign, f"direction {key}, vector array<double>, cell bigint, gap double"
     )
     # Blocks are rings around the pivot: a narrow range of distances excludes more queries.
     ranked = rank_in_group(cells, ["cell"], ["gap", "direction"], "_rank")
@@ -144,8 +146,6 @@ def _nearest_directions(directions: DataFrame, k: int, block_rows: int) -> DataF
             frames.append(frame.groupby("direction").head(k))
         return pd.concat(frames)
 
-    shape = "direction bigint, candidate bigint, similarity double"
-
     def inside(block: pd.DataFrame) -> pd.DataFrame:
         names = block["direction"].to_numpy()
         points = np.stack(block["vector"].to_numpy())
@@ -188,7 +188,7 @@ def _nearest_directions(directions: DataFrame, k: int, block_rows: int) -> DataF
     visits = (
         blocked.select("direction", "vector", "block")
         .join(floors, "direction")
-        .mapInPandas(route, "block bigint, direction bigint, vector array<double>, floor double")
+        .mapInPandas(route, f"block bigint, direction {key}, vector array<double>, floor double")
     )
     visits = storage.stage(visits, "visits")
     # A block many queries visit is searched in chunks; both sides carry the chunk number.

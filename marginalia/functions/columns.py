@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Band edges and labels of the two discount bandings.
@@ -17,6 +17,11 @@ CASE_LABELS = ["0%  No discount", "1–10%", "11–20%", "21–30%", "> 30%"]
 CHANNEL_SHARES = [("website", 45), ("mobile_app", 30), ("store", 25)]
 
 
+def one_row(df: DataFrame) -> Column:
+    """The single row of ``df`` as a struct: a scalar subquery, run once and shared by all tasks."""
+    return df.select(F.struct(*df.columns)).scalar()
+
+
 def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginalia.functions.columns import mean, nan_to_null, total
+from marginalia.functions.columns import mean, nan_to_null, ratio, total
 from marginalia.operators.aggregates import rule_churn, rule_segments
 from marginalia.operators.star import first_present_per_key
 
@@ -178,22 +178,26 @@ def channel_rules(channels: DataFrame) -> DataFrame:
 def rec_channel(lines: DataFrame) -> DataFrame:
     known = lines.where(F.col("channel").isNotNull())
     channels = known.groupBy("channel").agg(
-        total("sales").alias("revenue"),
-        total("profit").alias("profit"),
+        F.sum("sales").alias("revenue"),
+        F.sum("profit").alias("profit"),
         F.countDistinct("order_id").alias("orders"),
         F.countDistinct("customer_id").alias("customers"),
         mean("profit_margin").alias("avg_margin"),
         mean("discount").alias("avg_discount"),
     )
-    # One row per channel.
+    # One row per channel. Sums stay decimal up to the division.
     everyone = Window.partitionBy()
+    revenue, profit = F.col("revenue"), F.col("profit")
     channels = channels.withColumns(
         {
-            "profit_per_order": F.try_divide("profit", "orders"),
-            "revenue_share_%": F.try_divide(F.col("revenue"), F.sum("revenue").over(everyone)) * 100,
-            "profit_share_%": F.try_divide(F.col("profit"), F.sum("profit").over(everyone)) * 100,
+            "profit_per_order": ratio(profit, F.col("orders")),
+            "revenue_share_%": ratio(revenue, F.sum(revenue).over(everyone)) * 100,
+            "profit_share_%": ratio(profit, F.sum(profit).over(everyone)) * 100,
         }
-    )
+    )
+    channels = channels.withColumns(
+        {"revenue": revenue.cast("double"), "profit": profit.cast("double")}
+    )
     return channel_rules(channels)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.functions.columns import mean, month_start, total
+from marginalia.functions.columns import mean, month_start, one_row, total
 from marginalia.operators.star import first_present_per_key
 from marginalia.operators.windows import average_rank, exact_quantiles
 
@@ -230,15 +230,14 @@ def value_counts(df: DataFrame, name: str) -> DataFrame:
 def rule_segments(customers: DataFrame) -> DataFrame:
     """Segment by quantile thresholds, used when no fitted segments are given."""
     limits = exact_quantiles(customers, "monetary", {"_q75": 0.75, "_q50": 0.50})
-    # The thresholds are a single row.
-    with_limits = customers.crossJoin(F.broadcast(limits))
+    with_limits = customers.withColumn("_limits", one_row(limits))
     label = (
-        F.when(F.col("monetary") > F.col("_q75"), "Champions")
-        .when(F.col("monetary") > F.col("_q50"), "Loyal")
+        F.when(F.col("monetary") > F.col("_limits._q75"), "Champions")
+        .when(F.col("monetary") > F.col("_limits._q50"), "Loyal")
         .when(F.col("recency") > 180, "At Risk")
         .otherwise("Potential Loyalist")
     )
-    return with_limits.withColumn("segment_label", label).drop("_q75", "_q50")
+    return with_limits.withColumn("segment_label", label).drop("_limits")
 
 
 def rule_churn(customers: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginalia.functions.columns import ratio
+from marginalia.functions.columns import one_row, ratio
 from marginalia.operators.windows import quantile_cut, running_totals
 
 
@@ -82,8 +82,7 @@ def threshold_counts(scored: DataFrame, label: str = "label", score: str = "scor
     )
     running = running_totals(counts, [F.col("threshold").desc()], {"tp": "pos", "fp": "neg"})
     totals = running.agg(F.max("tp").alias("all_pos"), F.max("fp").alias("all_neg"))
-    # The class totals are a single row.
-    return running.crossJoin(F.broadcast(totals))
+    return running.withColumn("_totals", one_row(totals)).select("*", "_totals.*").drop("_totals")
 
 
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

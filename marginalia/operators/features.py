@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginalia.functions.columns import clip, key_mix, mean, numeric_key
+from marginalia.functions.columns import clip, key_mix, mean, numeric_key, one_row
 from marginalia.operators.aggregates import monthly_series, value_counts
 from marginalia.operators.windows import lag_features, rank_in_group
 
@@ -187,7 +187,10 @@ def seasonal_forecast(
         F.max("month_no").alias("last_month"),
     )
     line = F.col("intercept") + F.col("slope") * F.col("month_no")
-    fitted = series.join(trend, by) if by else series.crossJoin(trend)
+    if by:
+        fitted = series.join(trend, by)
+    else:
+        fitted = series.withColumn("_trend", one_row(trend)).select("*", "_trend.*")
     seasons = fitted.groupBy(*by, "order_month").agg(
         F.avg(F.try_divide(F.col("revenue"), line)).alias("season")
     )

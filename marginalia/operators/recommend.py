@@ -263,17 +263,14 @@ def similar_customers(bought: DataFrame, k: int = 10, block_rows: int = BLOCK_RO
 def unbought(bought: DataFrame) -> DataFrame:
     """The sub-categories each customer has not bought.
 
-    The list of all names is a single row, as long as the sub-category dimension.
+    The list of all names is a scalar, as long as the sub-category dimension.
     """
-    names = bought.select("sub_category").distinct()
-    everything = names.agg(F.collect_set("sub_category").alias("_all"))
+    everything = bought.agg(F.collect_set("sub_category")).scalar()
     mine = bought.where("sales > 0").groupBy("customer_id")
     mine = mine.agg(F.collect_set("sub_category").alias("_mine"))
     customers = bought.select("customer_id").distinct().join(mine, "customer_id", "left")
-    rest = F.array_except("_all", F.coalesce("_mine", F.array().cast("array<string>")))
-    return customers.crossJoin(F.broadcast(everything)).select(
-        "customer_id", F.explode(rest).alias("sub_category")
-    )
+    rest = F.array_except(everything, F.coalesce("_mine", F.array().cast("array<string>")))
+    return customers.select("customer_id", F.explode(rest).alias("sub_category"))
 
 
 def recommend(bought: DataFrame, neighbours: DataFrame, top: int = 5) -> DataFrame:

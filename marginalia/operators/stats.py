@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginalia.functions.columns import CUT_EDGES, CUT_LABELS, clip, cut, mean
+from marginalia.functions.columns import CUT_EDGES, CUT_LABELS, clip, cut, mean, one_row
 from marginalia.functions.tails import f_tail, t_two_sided
 from marginalia.operators.windows import exact_quantiles
 
@@ -185,8 +185,7 @@ def histogram(df: DataFrame, value: str, bins: int = 60) -> DataFrame:
     """Equal-width counts between the minimum and maximum; the maximum is in the last bin."""
     present = df.select(F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
     span = present.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    # The span is a single row.
-    placed = present.crossJoin(F.broadcast(span))
+    placed = present.withColumn("_span", one_row(span)).select("_v", "_span.*")
     lo, hi = F.col("_lo"), F.col("_hi")
     share = F.coalesce(F.try_divide(F.col("_v") - lo, hi - lo), F.lit(0.0))
     number = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("bigint")
@@ -203,11 +202,10 @@ def histogram(df: DataFrame, value: str, bins: int = 60) -> DataFrame:
 def margin_histogram(lines: DataFrame, bins: int = 60) -> DataFrame:
     """Histogram of clipped margin with its mean and median on every row."""
     margins = clipped_margin(lines)
-    centre = margins.agg(F.avg("margin").alias("mean_margin"))
+    centre = margins.agg(F.avg("margin"))
     middle = exact_quantiles(margins, "margin", {"median_margin": 0.5})
-    # Mean and median are single rows.
     counts = histogram(margins, "margin", bins)
-    return counts.crossJoin(F.broadcast(centre)).crossJoin(F.broadcast(middle))
+    return counts.withColumns({"mean_margin": centre.scalar(), "median_margin": middle.scalar()})
 
 
 def box_summary(df: DataFrame, value: str, group: str) -> DataFrame:

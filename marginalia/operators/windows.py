@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia import storage
-from marginalia.functions.columns import as_column
+from marginalia.functions.columns import as_column, one_row
 
 # Layout of monotonically_increasing_id: partition in the upper bits, row in the lower 33.
 ROW_BITS = 33
@@ -127,7 +127,10 @@ def exact_quantiles(
         F.min("_below").alias("_start"), F.sum("_n").alias("_size")
     )
     # Written group totals join by their file size: few groups are broadcast.
-    counts = counts.join(storage.stage(groups, "groups"), by) if by else counts.crossJoin(groups)
+    if by:
+        counts = counts.join(storage.stage(groups, "groups"), by)
+    else:
+        counts = counts.withColumn("_all", one_row(groups)).select("*", "_all.*")
     below = F.col("_below") - F.col("_start")
     picks = []
     for name, p in probabilities.items():
@@ -146,8 +149,7 @@ def quantile_cut(df: DataFrame, value: str, q: int, name: str) -> DataFrame:
         F.array_distinct(F.array(*[f"_e{i}" for i in range(q + 1)])).alias("_edges")
     )
     below = F.size(F.filter("_edges", lambda edge: edge < F.col(value).cast("double")))
-    # The edges are a single row.
-    cut = df.crossJoin(F.broadcast(edges))
+    cut = df.withColumn("_edges", edges.scalar())
     bin_number = F.greatest(below - 1, F.lit(0)).cast("bigint")
     return cut.withColumn(name, F.when(F.col(value).isNotNull(), bin_number)).drop("_edges")
 

@@ -975,10 +975,10 @@ ORACLES: dict[str, str] = {
                         WHEN avg_margin < 0.05 THEN '{CHANNEL["review"]}'
                         WHEN avg_discount > 0.20 THEN '{CHANNEL["reduce"]}'
                         ELSE '{CHANNEL["maintain"]}' END AS channel_action
-            FROM (SELECT *, revenue / SUM(revenue) OVER () * 100 AS rs,
-                         profit / SUM(profit) OVER () * 100 AS ps
-                  FROM (SELECT channel, CAST(SUM(sales) AS DOUBLE) AS revenue,
-                               CAST(SUM(profit) AS DOUBLE) AS profit,
+            FROM (SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue, CAST(profit AS DOUBLE) AS profit),
+                         CAST(revenue AS DOUBLE) / CAST(SUM(revenue) OVER () AS DOUBLE) * 100 AS rs,
+                         CAST(profit AS DOUBLE) / CAST(SUM(profit) OVER () AS DOUBLE) * 100 AS ps
+                  FROM (SELECT channel, SUM(sales) AS revenue, SUM(profit) AS profit,
                                COUNT(DISTINCT order_id) AS orders, COUNT(DISTINCT customer_id) AS customers,
                                {avg("profit_margin")} AS avg_margin, {avg("discount")} AS avg_discount
                         FROM lines GROUP BY channel))"""

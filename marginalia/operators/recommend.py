@@ -266,10 +266,9 @@ def unbought(bought: DataFrame) -> DataFrame:
     The list of all names is a scalar, as long as the sub-category dimension.
     """
     everything = bought.agg(F.collect_set("sub_category")).scalar()
-    mine = bought.where("sales > 0").groupBy("customer_id")
-    mine = mine.agg(F.collect_set("sub_category").alias("_mine"))
-    customers = bought.select("customer_id").distinct().join(mine, "customer_id", "left")
-    rest = F.array_except(everything, F.coalesce("_mine", F.array().cast("array<string>")))
+    owned = F.collect_set(F.when(F.col("sales") > 0, F.col("sub_category")))
+    customers = bought.groupBy("customer_id").agg(owned.alias("_mine"))
+    rest = F.array_except(everything, F.col("_mine"))
     return customers.select("customer_id", F.explode(rest).alias("sub_category"))
 
 
@@ -300,7 +299,9 @@ def copurchase_corr(bought: DataFrame) -> DataFrame:
     The matrix is as wide as the sub-category dimension; its sums are built on the executors.
     """
     spark = bought.sparkSession
-    vectors = purchase_vectors(bought).select(array_to_vector("amounts").alias("features"))
+    # Means and products take a pass each over the vectors, so these are written once.
+    vectors = storage.stage(purchase_vectors(bought).select("amounts"), "vectors")
+    vectors = vectors.select(array_to_vector("amounts").alias("features"))
     names = [row.sub_category for row in bought.select("sub_category").distinct().collect()]
     names.sort()
     matrix = Correlation.corr(vectors, "features").head()[0].toArray()

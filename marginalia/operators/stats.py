@@ -15,18 +15,44 @@ NUMERIC = [
 ]
 
 
+def _correlations(lines: DataFrame, pairs: list[tuple[str, str]]) -> list[Column]:
+    """Aggregate expressions for Pearson correlations of column pairs.
+
+    Columns are centred on their means first, so plain sums of products lose no precision, and
+    each square is summed once rather than once per pair: the aggregate stays small enough to
+    be compiled. Pairs with missing values fall back to ``corr``, which skips them pairwise.
+    """
+    names = sorted({name for pair in pairs for name in pair})
+    first = lines.agg(
+        F.count("*").alias("_rows"),
+        *[F.count(name).alias(f"n_{name}") for name in names],
+        *[F.avg(F.col(name).cast("double")).alias(f"m_{name}") for name in names],
+    ).first()
+    full = {name for name in names if first[f"n_{name}"] == first["_rows"] > 0}
+
+    def centred(name: str) -> Column:
+        return F.col(name).cast("double") - F.lit(first[f"m_{name}"])
+
+    expressions = []
+    for a, b in pairs:
+        if a in full and b in full:
+            spread = F.sqrt(F.sum(centred(a) * centred(a)) * F.sum(centred(b) * centred(b)))
+            expressions.append(F.try_divide(F.sum(centred(a) * centred(b)), spread))
+        else:
+            expressions.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")))
+    return expressions
+
+
 def corr_matrix(lines: DataFrame, columns: list[str] = NUMERIC) -> DataFrame:
-    """Pearson correlations of all column pairs in long form, from one aggregate."""
+    """Pearson correlations of all column pairs in long form."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    values = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in pairs]
-    entries = F.array(
+    cells = F.array(
         *[
-            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), v.alias("corr"))
-            for (a, b), v in zip(pairs, values)
+            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), value.alias("corr"))
+            for (a, b), value in zip(pairs, _correlations(lines, pairs))
         ]
     )
-    upper = lines.agg(entries.alias("entries")).select(F.explode("entries").alias("e"))
-    upper = upper.select("e.*")
+    upper = lines.agg(cells.alias("cells")).select(F.explode("cells").alias("e")).select("e.*")
     both = F.array(
         F.struct(F.col("col_a").alias("a"), F.col("col_b").alias("b")),
         F.struct(F.col("col_b").alias("a"), F.col("col_a").alias("b")),
@@ -36,18 +62,17 @@ def corr_matrix(lines: DataFrame, columns: list[str] = NUMERIC) -> DataFrame:
 
 
 def profit_drivers(lines: DataFrame, target: str = "profit") -> DataFrame:
+    """Correlation of every other numeric column with the target, strongest first."""
     others = [name for name in NUMERIC if name != target]
-    entries = F.array(
+    values = _correlations(lines, [(name, target) for name in others])
+    cells = F.array(
         *[
-            F.struct(
-                F.lit(name).alias("driver"),
-                F.corr(F.col(name).cast("double"), F.col(target).cast("double")).alias("corr"),
-            )
-            for name in others
+            F.struct(F.lit(name).alias("driver"), value.alias("corr"))
+            for name, value in zip(others, values)
         ]
     )
-    rows = lines.agg(entries.alias("entries")).select(F.explode("entries").alias("e"))
-    return rows.select("e.*").orderBy(F.col("corr").desc(), "driver")
+    rows = lines.agg(cells.alias("cells")).select(F.explode("cells").alias("e")).select("e.*")
+    return rows.orderBy(F.col("corr").desc(), "driver")
 
 
 def anova(lines: DataFrame, value: str, group: str) -> DataFrame:

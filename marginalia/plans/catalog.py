@@ -72,6 +72,12 @@ def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(spark, sf_dir, "customers", lambda: aggregates.customer_features(lines))
 
 
+def purchase_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales per customer and sub-category, staged once for all recommender queries."""
+    lines = retail_lines(spark, sf_dir)
+    return once(spark, sf_dir, "purchases", lambda: aggregates.purchases(lines))
+
+
 def scored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reproducible score per customer: mostly a keyed draw, partly the label."""
     draw = F.pmod(F.col("customer_id") * 7919, F.lit(1000))
@@ -222,7 +228,7 @@ def reorder_override(lines: DataFrame) -> DataFrame:
 
 
 def pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bought = aggregates.purchases(retail_lines(spark, sf_dir))
+    bought = purchase_table(spark, sf_dir)
     names = [f"Brand#{number}" for number in range(1, 26)]
     wide = aggregates.pivot_purchases(bought, names)
     return tidy(wide.toDF(*[name.lower().replace("#", "_") for name in wide.columns]))
@@ -350,7 +356,9 @@ QUERIES: dict[str, Query] = {
     "join_semi_top_categories": on_lines(
         lambda lines: features.in_top_categories(lines).select("row_id", "sub_category")
     ),
-    "join_anti_unbought": on_lines(lambda lines: recommend.unbought(aggregates.purchases(lines))),
+    "join_anti_unbought": lambda spark, sf_dir: tidy(
+        recommend.unbought(purchase_table(spark, sf_dir))
+    ),
     "join_nullsafe_geo": null_safe_geography,
     "join_override": on_lines(reorder_override),
     # star schema
@@ -576,12 +584,12 @@ def explained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bought = aggregates.purchases(retail_lines(spark, sf_dir))
+    bought = purchase_table(spark, sf_dir)
     return once(spark, sf_dir, "neighbours", lambda: recommend.similar_customers(bought))
 
 
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bought = aggregates.purchases(retail_lines(spark, sf_dir))
+    bought = purchase_table(spark, sf_dir)
     return tidy(recommend.recommend(bought, neighbours(spark, sf_dir)), 4)
 
 
@@ -613,8 +621,8 @@ QUERIES.update(
         ),
         "similar_customers": lambda spark, sf_dir: tidy(neighbours(spark, sf_dir), 9),
         "recommendations": recommendations,
-        "copurchase_corr": on_lines(
-            lambda lines: recommend.copurchase_corr(aggregates.purchases(lines))
+        "copurchase_corr": lambda spark, sf_dir: tidy(
+            recommend.copurchase_corr(purchase_table(spark, sf_dir))
         ),
         "rec_marketing_fitted": marketing_fitted,
     }

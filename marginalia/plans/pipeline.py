@@ -78,7 +78,7 @@ def build(lines: DataFrame, rounds: int = 300, trees: int = 200) -> dict[str, Da
     spark = lines.sparkSession
     tables = star.star_schema(lines, lambda name, make: storage.stage(make(), name))
     customers = storage.stage(aggregates.customer_features(lines), "customers")
-    bought = aggregates.purchases(lines)
+    bought = storage.stage(aggregates.purchases(lines), "purchases")
 
     profit_value = customers.withColumn("monetary", F.col("total_profit"))
     segments = storage.stage(models.rfm_clusters(profit_value), "segments")

@@ -268,6 +268,18 @@ def anova_sql(group: str) -> str:
     )
 
 
+WELCH = """sides AS (
+  SELECT COUNT(*) FILTER (discount = 0) AS n_1, COUNT(*) FILTER (discount > 0) AS n_2,
+         AVG(profit_margin) FILTER (discount = 0) AS mean_1,
+         AVG(profit_margin) FILTER (discount > 0) AS mean_2,
+         var_samp(profit_margin) FILTER (discount = 0) AS v1,
+         var_samp(profit_margin) FILTER (discount > 0) AS v2 FROM lines),
+tested AS (
+  SELECT n_1, n_2, mean_1, mean_2, (mean_1 - mean_2) / sqrt(a + b) AS t,
+         (a + b) ** 2 / (a * a / (n_1 - 1) + b * b / (n_2 - 1)) AS df
+  FROM (SELECT *, v1 / n_1 AS a, v2 / n_2 AS b FROM sides))"""
+
+
 def quantile_bins(value: str, source: str, q: int = 10) -> str:
     """CTE text: quantile edges without repeats and the right-closed bin of every row."""
     levels = ", ".join(str(i / q) for i in range(q + 1))
@@ -681,15 +693,22 @@ ORACLES: dict[str, str] = {
         f"SELECT segment, {r(avg('profit_margin'), 'avg_margin')} FROM lines GROUP BY segment"
     ),
     "welch_discount": over_lines(
-        f"""SELECT n_1, n_2, {r("mean_1", "mean_1")}, {r("mean_2", "mean_2")},
-                   {r("(mean_1 - mean_2) / sqrt(a + b)", "t_statistic")},
-                   {r("(a + b) ** 2 / (a * a / (n_1 - 1) + b * b / (n_2 - 1))", "df")}
-            FROM (SELECT *, v1 / n_1 AS a, v2 / n_2 AS b FROM (
-                    SELECT COUNT(*) FILTER (discount = 0) AS n_1, COUNT(*) FILTER (discount > 0) AS n_2,
-                           AVG(profit_margin) FILTER (discount = 0) AS mean_1,
-                           AVG(profit_margin) FILTER (discount > 0) AS mean_2,
-                           var_samp(profit_margin) FILTER (discount = 0) AS v1,
-                           var_samp(profit_margin) FILTER (discount > 0) AS v2 FROM lines))"""
+        f"""SELECT n_1, n_2, {r("mean_1", "mean_1")}, {r("mean_2", "mean_2")}, {r("t", "t_statistic")},
+                   {r("df", "df")} FROM tested""", WELCH,
+    ),
+    "welch_discount_test": over_lines(
+        f"""SELECT n_1, n_2, {r("mean_1", "mean_1")}, {r("mean_2", "mean_2")}, {r("t", "t_statistic")},
+                   {r("df", "df")}, {r("p", "p_value")}, p < 0.05 AS significant
+            FROM tail""",
+        WELCH,
+        # Simpson's rule for the density between 0 and |t|; beyond 60 nothing is left.
+        """steps AS (SELECT *, LEAST(abs(t), 60) / 20000 AS h FROM tested),
+        areas AS (
+          SELECT SUM(CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+                     * exp(lgamma((df + 1) / 2) - lgamma(df / 2) - 0.5 * ln(df * pi())
+                           - (df + 1) / 2 * ln(1 + (i * h) ** 2 / df)) * h / 3) AS inside
+          FROM steps, range(0, 20001) AS points(i)),
+        tail AS (SELECT steps.*, GREATEST(1 - 2 * inside, 0) AS p FROM steps, areas)""",
     ),
     "discount_bins": over_lines(
         f"""SELECT disc_band, band_order, {r(avg("profit_margin") + " * 100", "avg_margin_pct")}

@@ -127,40 +127,40 @@ def return_label(lines: DataFrame) -> DataFrame:
     return lines.withColumn("returned", (odds > 0.35).cast("int"))
 
 
-def shuffle_key(key: str) -> Column:
-    """A fixed pseudo-random number in [0, 1) per key, the order of every split."""
-    digest = F.md5(F.col(key).cast("string"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+def shuffle_key(keys: list[str]) -> Column:
+    """A fixed pseudo-random 32-bit number per key, the order of every split."""
+    text = F.concat_ws("|", *[F.col(key).cast("string") for key in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
 def stratified_split(
-    df: DataFrame, key: str, label: str, test_share: float = 0.2
+    df: DataFrame, keys: list[str], label: str, test_share: float = 0.2
 ) -> DataFrame:
     """Train/test flag with the exact share of every class.
 
     Rows are ranked by a hash of their key inside each class; the ranks are distributed, so a
     class holding most of the rows is no bottleneck.
     """
-    keyed = df.withColumn("_draw", shuffle_key(key))
-    ranked = rank_in_group(keyed, [label], ["_draw", key], "_rank")
+    keyed = df.withColumn("_draw", shuffle_key(keys))
+    ranked = rank_in_group(keyed, [label], ["_draw", *keys], "_rank")
     cutoff = F.round(F.col("_rank_size") * test_share)
     is_test = (F.col("_rank") <= cutoff).cast("int")
     return ranked.withColumn("is_test", is_test).drop("_draw", "_rank", "_rank_size")
 
 
-def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 5) -> DataFrame:
+def stratified_folds(
+    df: DataFrame, keys: list[str], label: str, folds: int = 5
+) -> DataFrame:
     """Fold number per row with the classes spread evenly over the folds."""
-    keyed = df.withColumn("_draw", shuffle_key(key))
-    ranked = rank_in_group(keyed, [label], ["_draw", key], "_rank")
+    keyed = df.withColumn("_draw", shuffle_key(keys))
+    ranked = rank_in_group(keyed, [label], ["_draw", *keys], "_rank")
     fold = F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("bigint")
     return ranked.withColumn("fold", fold).drop("_draw", "_rank", "_rank_size")
 
 
 def hash_split(df: DataFrame, keys: list[str], test_share: float = 0.2) -> DataFrame:
     """Train/test flag by a hash of the row's key: no shuffle, stable under re-runs."""
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    is_test = (F.pmod(draw, F.lit(1000)) < int(test_share * 1000)).cast("int")
+    is_test = (F.pmod(shuffle_key(keys), F.lit(1000)) < int(test_share * 1000)).cast("int")
     return df.withColumn("is_test", is_test)
 
 

@@ -24,6 +24,8 @@ from marginalia.operators.windows import running_totals
 # Names of the clusters by falling mean monetary value.
 CLUSTER_LABELS = ["Champions", "Loyal", "At Risk", "Lost"]
 
+LINE_KEY = ["order_id", "product_id"]
+
 RETURN_CATEGORIES = ["category", "sub_category", "channel", "segment"]
 RETURN_FEATURES = [
     "sales", "quantity", "discount", "profit_margin", "ship_days",
@@ -122,7 +124,7 @@ def fit_churn(
     so ``exclude_recency`` gives a model that cannot read it off.
     """
     names = [n for n in CHURN_FEATURES if not (exclude_recency and n == "recency")]
-    split = features.stratified_split(customers, "customer_id", "churned")
+    split = features.stratified_split(customers, ["customer_id"], "churned")
     train = split.where("is_test = 0")
     negatives, positives = balance_weights(train, "churned")
     heavy = negatives / positives if positives else 1.0
@@ -154,14 +156,14 @@ def return_inputs(lines: DataFrame) -> DataFrame:
     numbers = [
         F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(name) for name in RETURN_FEATURES
     ]
-    return rows.select("row_id", "returned", *numbers)
+    return rows.select(*LINE_KEY, "returned", *numbers)
 
 
 def fit_returns(
     lines: DataFrame, trees: int = 200, depth: int = 8, threshold: float = 0.5, seed: int = 42
 ) -> Fitted:
     """Random forest for return risk with balanced class weights on a stratified split."""
-    split = features.stratified_split(return_inputs(lines), "row_id", "returned")
+    split = features.stratified_split(return_inputs(lines), LINE_KEY, "returned")
     train = split.where("is_test = 0")
     negatives, positives = balance_weights(train, "returned")
     everyone = negatives + positives
@@ -237,7 +239,7 @@ def load_model(path: str) -> PipelineModel:
 def cross_validate(
     rows: DataFrame,
     names: list[str],
-    key: str,
+    keys: list[str],
     label: str,
     estimator: Estimator,
     folds: int = 5,
@@ -248,7 +250,7 @@ def cross_validate(
     The fits run one after the other, as each is a distributed job of its own; their held-out
     scores are then measured together.
     """
-    numbered = features.stratified_folds(rows, key, label, folds)
+    numbered = features.stratified_folds(rows, keys, label, folds)
     if balanced:
         negatives, positives = balance_weights(numbered, label)
         everyone = negatives + positives

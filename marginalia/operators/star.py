@@ -18,13 +18,14 @@ FACT_COLUMNS = [
 
 
 def first_row_per_key(lines: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Attributes of the first row (lowest row_id) of each key.
+    """Attributes of the first row (lowest row_id, then lowest values) of each key.
 
     The attributes nearly follow from the key, so grouping on key and attributes leaves about
     one row per key using hash aggregation alone; picking the first is then cheap.
     """
     variants = lines.groupBy(key, *columns).agg(F.min("row_id").alias("_first"))
-    firsts = variants.groupBy(key).agg(F.min_by(F.struct(*columns), "_first").alias("_row"))
+    order = F.struct("_first", *columns)
+    firsts = variants.groupBy(key).agg(F.min_by(F.struct(*columns), order).alias("_row"))
     return firsts.select(key, *[F.col(f"_row.{name}").alias(name) for name in columns])
 
 
@@ -32,7 +33,7 @@ def first_present_per_key(lines: DataFrame, key: str, columns: list[str]) -> Dat
     """Per column, the first non-null value (by row_id) of each key."""
     variants = lines.groupBy(key, *columns).agg(F.min("row_id").alias("_first"))
     picks = [
-        F.min_by(name, F.when(F.col(name).isNotNull(), F.col("_first"))).alias(name)
+        F.min_by(name, F.when(F.col(name).isNotNull(), F.struct("_first", name))).alias(name)
         for name in columns
     ]
     return variants.groupBy(key).agg(*picks)

@@ -171,7 +171,7 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = tables["fact_sales"]
     checks = [
         clean.validate(retail_lines(spark, sf_dir), clean.CLEAN_RULES),
-        clean.check_unique(fact, ["row_id"], "fact_row_id_unique"),
+        clean.check_unique(fact, ["order_id", "product_id"], "fact_line_unique"),
         clean.check_unique(tables["dim_customer"], ["customer_id"], "customer_id_unique"),
         clean.check_unique(tables["dim_product"], ["product_id"], "product_id_unique"),
         clean.check_reference(fact, tables["dim_customer"], "customer_id", "fact_customer_known"),
@@ -280,12 +280,12 @@ def residual_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = customer_table(spark, sf_dir).select("customer_id", "churned")
-    return tidy(features.stratified_split(customers, "customer_id", "churned"))
+    return tidy(features.stratified_split(customers, ["customer_id"], "churned"))
 
 
 def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = customer_table(spark, sf_dir).select("customer_id", "churned")
-    return tidy(features.stratified_folds(customers, "customer_id", "churned"))
+    return tidy(features.stratified_folds(customers, ["customer_id"], "churned"))
 
 
 def demand_split(lines: DataFrame) -> DataFrame:
@@ -507,7 +507,7 @@ def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def return_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = fitted(spark, sf_dir, "returns").scored
-    return tidy(scored.select("row_id", "returned", "return_prob", "prediction"))
+    return tidy(scored.select(*models.LINE_KEY, "returned", "return_prob", "prediction"))
 
 
 def backtest(name: str, keys: list[str]) -> Query:
@@ -556,14 +556,14 @@ def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     churn = models.cross_validate(
         customer_table(spark, sf_dir),
         aggregates.CHURN_FEATURES,
-        "customer_id",
+        ["customer_id"],
         "churned",
         models.churn_estimator(rounds=CV_ROUNDS, depth=5),
     )
     returns = models.cross_validate(
         models.return_inputs(retail_lines(spark, sf_dir)),
         models.RETURN_FEATURES,
-        "row_id",
+        models.LINE_KEY,
         "returned",
         models.returns_estimator(trees=CV_ROUNDS, depth=8),
         balanced=True,

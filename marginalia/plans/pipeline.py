@@ -98,7 +98,9 @@ def build(lines: DataFrame, rounds: int = 300, trees: int = 200) -> dict[str, Da
     known = segments.select("customer_id", "segment_label").join(
         churn.scored.select("customer_id", "churn_prob"), "customer_id"
     )
-    return_scores = returns.scored.select("row_id", "returned", "return_prob", "prediction")
+    return_scores = returns.scored.select(
+        *models.LINE_KEY, "returned", "return_prob", "prediction"
+    )
     result = {
         "validation": clean.validate(lines, clean.CLEAN_RULES),
         "profile": clean.profile_nulls(lines),

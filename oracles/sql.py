@@ -390,7 +390,7 @@ ORACLES: dict[str, str] = {
            UNION ALL SELECT 'discount_in_range', COUNT(*) FILTER (discount IS NULL OR discount < 0 OR discount > 1) FROM lines
            UNION ALL SELECT 'quantity_positive', COUNT(*) FILTER (quantity <= 0) FROM lines
            UNION ALL SELECT 'order_date_present', COUNT(*) FILTER (order_date IS NULL) FROM lines
-           UNION ALL SELECT 'fact_row_id_unique', COUNT(*) FROM (SELECT row_id FROM lines GROUP BY 1 HAVING COUNT(*) > 1)
+           UNION ALL SELECT 'fact_line_unique', COUNT(*) FROM (SELECT 1 FROM lines GROUP BY order_id, product_id HAVING COUNT(*) > 1)
            UNION ALL SELECT 'customer_id_unique', COUNT(*) FROM (SELECT c_custkey FROM customer GROUP BY 1 HAVING COUNT(*) > 1)
            UNION ALL SELECT 'product_id_unique', COUNT(*) FROM (SELECT p_partkey FROM part GROUP BY 1 HAVING COUNT(*) > 1)
            UNION ALL SELECT 'fact_customer_known', COUNT(*) FROM lines WHERE customer_id NOT IN (SELECT c_custkey FROM customer)

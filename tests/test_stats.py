@@ -123,10 +123,10 @@ def test_forecast_of_a_clean_seasonal_line(spark):
 
 def test_split_keeps_class_shares_exact(spark):
     df = spark.range(1000).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
-    split = features.stratified_split(df, "id", "y")
+    split = features.stratified_split(df, ["id"], "y")
     counts = {(r.y, r.is_test): r["count"] for r in split.groupBy("y", "is_test").count().collect()}
     assert counts == {(0, 0): 720, (0, 1): 180, (1, 0): 80, (1, 1): 20}
-    again = features.stratified_split(df.repartition(5), "id", "y")
+    again = features.stratified_split(df.repartition(5), ["id"], "y")
     assert split.orderBy("id").collect() == again.orderBy("id").collect()
 
 

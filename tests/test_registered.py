@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from marginalia.plans.catalog import QUERIES
+from oracles.sql import ORACLES
 from tests.conftest import SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +59,7 @@ def test_every_oracle_has_a_query():
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 3
+
+
+def test_contract_holds_the_catalog():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marginalia.llm import decontaminate, simhash
+from marginalia.llm import credentials, decontaminate, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +25,30 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the base kinds and all spans of every document."""
+    found = credentials.find(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    base = F.filter("spans", lambda span: span.kind != "format")
+    return found.select(
+        "doc_id",
+        *(
+            F.size(F.filter("spans", lambda span, kind=kind: span.kind == kind)).cast("long").alias(f"n_{kind}")
+            for kind in ("assign", "access", "hex")
+        ),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op6_decontaminate,
         op8_simhash,
+        op10_secrets,
     )
 }

@@ -7,13 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import credentials, decontaminate, simhash
+from marginalia.llm import credentials, decontaminate, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Fitted on the labels whose remainder of the id is not 1."""
+    return toxicity.fit(docs, labels.filter(toxicity.remainder("doc_id", 3) != 1))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        (toxicity.remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds at least 80 % of a benchmark item's shingles, with the item."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -25,28 +42,32 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
-def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of the base kinds and all spans of every document."""
-    found = credentials.find(table(spark, sf_dir, "documents"))
+def secret_columns(found: DataFrame) -> DataFrame:
+    """Counts of the base kinds, their digest and all spans, from the operator's spans."""
+
+    def of(kind):
+        return F.filter("spans", lambda span: span.kind == kind)
 
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
 
-    base = F.filter("spans", lambda span: span.kind != "format")
     return found.select(
         "doc_id",
-        *(
-            F.size(F.filter("spans", lambda span, kind=kind: span.kind == kind)).cast("long").alias(f"n_{kind}")
-            for kind in ("assign", "access", "hex")
-        ),
-        F.sha2(listed(base), 256).alias("base_sha256"),
+        *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(listed(F.filter("spans", lambda span: span.kind != "format")), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the base kinds and all spans of every document."""
+    return secret_columns(credentials.find(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op4_toxicity,
         op6_decontaminate,
         op8_simhash,
         op10_secrets,

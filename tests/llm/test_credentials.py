@@ -6,7 +6,7 @@ import re
 import pytest
 
 from marginalia.llm import credentials
-from marginalia.llm.queries import QUERIES
+from marginalia.llm.queries import QUERIES, secret_columns
 from tests.conftest import SMALL
 from tests.llm.frames import TEXT, awkward, documents
 
@@ -43,7 +43,9 @@ def test_base_spans_against_the_definition(spark):
 
 def test_query_columns(spark):
     texts = {row.doc_id: row.text for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    texts |= {-key: text for key, text in ODD}
     rows = QUERIES["op10_secrets"](spark, SMALL).collect()
+    rows += secret_columns(credentials.find(documents(spark, [(-key, text) for key, text in ODD]))).collect()
     assert len(rows) == len(texts)
     for row in rows:
         spans = plain(texts[row.doc_id])

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import credentials, decontaminate, simhash, toxicity
+from marginalia.llm import bpe, credentials, decontaminate, simhash, toxicity
+
+# The tokenizer file of op7, installed on every machine.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +40,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of ids and decoded text of every document."""
+    return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -69,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op4_toxicity,
         op6_decontaminate,
+        op7_bpe,
         op8_simhash,
         op10_secrets,
     )

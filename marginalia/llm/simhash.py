@@ -267,6 +267,13 @@ def links(nodes: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     return small.unionByName(large)
 
 
+def _classes(marked: DataFrame, bucket_limit: int) -> DataFrame:
+    """(``fp``, ``root``): the component of each fingerprint, named by its least fingerprint."""
+    nodes = stage(marked.select("fp").distinct(), "nodes")
+    roots = components(links(nodes, bucket_limit)).withColumnRenamed("u", "fp")
+    return nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -276,14 +283,35 @@ def near_duplicates(
 ) -> DataFrame:
     """(``doc_id``, ``fp``, ``component_id``): the least id that links reach from each row."""
     marked = stage(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    nodes = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes, bucket_limit)).withColumnRenamed("u", "fp")
-    placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    placed = stage(_classes(marked, bucket_limit), "classes")
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least")).join(placed, "fp")
+    names = least.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = placed.join(names, "root").select("fp", "component_id")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def deduplicate(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = WIDTH,
+    bucket_limit: int = BUCKET_LIMIT,
+) -> DataFrame:
+    """All columns of one row per component: a row of the least id, null ids last.
+
+    Rows are told apart by their place, so ``docs`` has to be a table that is read in the same
+    order each time, such as files.
+    """
+    place = "__place"
+    numbered = docs.withColumn(place, F.monotonically_increasing_id())
+    marked = stage(fingerprints(numbered, place, text_col, width).withColumnRenamed("doc_id", place), "fingerprints")
+    ids = numbered.select(place, F.col(id_col).cast("long").alias("id"))
+    placed = marked.join(_classes(marked, bucket_limit), "fp").join(ids, place)
+    first = F.min(F.struct(F.col("id").isNull(), "id", place)).alias("first")
+    winners = stage(placed.groupBy("root").agg(first).select(f"first.{place}"), "kept")
+    return numbered.join(winners, place, "left_semi").drop(place)
+
+
 def fingerprint_text(column: str = "fp"):
     """16 lower-case hex digits of a signed fingerprint."""
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))

@@ -119,3 +119,14 @@ def test_correlated_bits_share_a_group():
     groups = simhash.bit_groups(bits.T @ bits, bits.sum(0), 2000, 3)
     assert sorted(sum(groups, [])) == list(range(64))
     assert max(len(set(group) & set(range(20))) for group in groups) == 20
+
+
+def test_one_row_of_each_component_stays(spark):
+    base = [(1, "One two THREE four"), (2, "one two three four"), (3, "Ä ä words here now"), (None, "only here without an id")]
+    rows = awkward(base)
+    docs = documents(spark, rows).repartition(1)
+    kept = simhash.deduplicate(docs.selectExpr("*", "1 AS fp", "2 AS root", "3 AS id"))
+    assert kept.columns == [*docs.columns, "fp", "root", "id"]
+    got = sorted(((row.doc_id, row.text) for row in kept.collect()), key=str)
+    assert got == sorted([(1, "One two THREE four"), (3, base[2][1]), (None, base[3][1]), (9001, None), (9004, "x")], key=str)
+    assert simhash.deduplicate(spark.createDataFrame([], TEXT)).count() == 0

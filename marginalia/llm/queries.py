@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import bpe, credentials, decontaminate, simhash, toxicity
+from marginalia.llm import bpe, chat, credentials, decontaminate, simhash, toxicity
 
 # The tokenizer file of op7, installed on every machine.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +51,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted windows."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    more = spark.range(2).selectExpr(
+        "-7L AS conv_id", "id AS turn", "IF(id = 0, 'user', 'assistant') AS role", f"'{text}' AS text"
+    )
+    return chat.digests(chat.format_windows(given.unionByName(more)))
+
+
 def secret_columns(found: DataFrame) -> DataFrame:
     """Counts of the base kinds, their digest and all spans, from the operator's spans."""
 
@@ -80,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_decontaminate,
         op7_bpe,
         op8_simhash,
+        op9_chat,
         op10_secrets,
     )
 }

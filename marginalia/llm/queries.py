@@ -8,16 +8,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import bpe, chat, credentials, decontaminate, simhash, toxicity
+from marginalia.llm import bpe, chat, credentials, decontaminate, sharding, simhash, toxicity
 
 # The tokenizer file of op7, installed on every machine.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
+SHARDS = 16
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, shards of near equal bytes, tokens and rows."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "tokens",
+    )
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Fitted on the labels whose remainder of the id is not 1."""
     return toxicity.fit(docs, labels.filter(toxicity.remainder("doc_id", 3) != 1))
@@ -86,6 +103,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op3_sharding,
         op4_toxicity,
         op6_decontaminate,
         op7_bpe,

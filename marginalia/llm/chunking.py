@@ -1,8 +1,8 @@
 """Content-defined chunks: normalised gear-hash boundaries over UTF-8 bytes.
 
-The gear hash of a place is a sum of table values of the bytes before it, each shifted once more
-per byte of distance, so 32 bits depend on the last 32 bytes only and equal passages are cut alike
-wherever they stand. Before the normal size a cut needs ``hard`` zero bits, after it only
+The gear hash of a place is a sum of table values of the last ``window`` bytes, each shifted once
+more per byte of distance. With a window no longer than the least chunk, a cut depends on its own
+chunk only, so equal texts, and equal passages after their first cut, are cut alike. Before the normal size a cut needs ``hard`` zero bits, after it only
 ``easy``, which narrows the spread of sizes. Cuts fall between code points.
 """
 
@@ -20,20 +20,23 @@ _GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uin
 
 @dataclass(frozen=True)
 class Sizes:
-    """Least, normal and greatest chunk bytes, and zero bits before and after the normal size."""
+    """Least, normal and greatest chunk bytes, zero bits before and after the normal size, and the
+    window, a power of two up to 32."""
 
     least: int
     normal: int
     most: int
     hard: int
     easy: int
+    window: int = 32
 
 
-def gear(raw: np.ndarray) -> np.ndarray:
-    """The 32-bit gear hash after each byte, by doubling the window five times."""
-    total = _GEAR[raw]
-    for shift in (1, 2, 4, 8, 16):
+def gear(raw: np.ndarray, window: int = 32) -> np.ndarray:
+    """The 32-bit gear hash after each byte, by doubling the window."""
+    total, shift = _GEAR[raw], 1
+    while shift < window:
         total[shift:] += total[:-shift].copy() << np.uint32(shift)
+        shift *= 2
     return total
 
 
@@ -41,7 +44,7 @@ class Cuts:
     """Places where the bytes of one or more texts may be cut."""
 
     def __init__(self, raw: np.ndarray, sizes: Sizes):
-        codes = gear(raw)
+        codes = gear(raw, sizes.window)
         inner = np.ones(len(raw), bool)
         # Byte i + 1 must not continue a code point.
         inner[:-1] = (raw[1:] & 0xC0) != 0x80

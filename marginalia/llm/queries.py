@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import bpe, chat, credentials, decontaminate, sharding, simhash, toxicity
+from marginalia.llm import bpe, chat, credentials, decontaminate, fingerprints, sharding, simhash, toxicity
 
 # The tokenizer file of op7, installed on every machine.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return fingerprints.with_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, shards of near equal bytes, tokens and rows."""
     placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
@@ -103,6 +108,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op1_fingerprints,
         op3_sharding,
         op4_toxicity,
         op6_decontaminate,

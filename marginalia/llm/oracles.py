@@ -1,3 +1,43 @@
-"""DuckDB twins of this subpackage's queries."""
+"""DuckDB twins of this subpackage's queries, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_warc": """
+        WITH given AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), measured AS (
+            SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM given
+        ), firsts AS (
+            SELECT digest, min(page_id) AS first_id FROM measured WHERE n >= 100 GROUP BY digest
+        )
+        SELECT m.page_id,
+               CAST(m.n AS BIGINT) AS payload_bytes,
+               m.digest AS payload_digest,
+               CASE WHEN f.first_id < m.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN f.first_id < m.page_id THEN f.first_id END AS refers_to
+        FROM measured m LEFT JOIN firsts f USING (digest)
+    """,
+    "op6_decontaminate": r"""
+        WITH items AS (
+            SELECT item_id, regexp_extract_all(lower(text), '(?:[0-9a-z]|[^\x00-\x7F])+') AS w FROM benchmark
+        ), sized AS (
+            SELECT item_id, w, least(5, len(w)) AS k FROM items WHERE len(w) > 0
+        ), item_grams AS (
+            SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+            FROM sized, unnest(range(1, len(w) - k + 2)) AS places(i)
+        ), sizes AS (
+            SELECT item_id, count(*) AS n FROM item_grams GROUP BY item_id
+        ), docs AS (
+            SELECT row_number() OVER () AS place, doc_id,
+                   regexp_extract_all(lower(text), '(?:[0-9a-z]|[^\x00-\x7F])+') AS w
+            FROM documents
+        ), doc_grams AS (
+            SELECT DISTINCT place, doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+            FROM docs, (SELECT DISTINCT k FROM sized) AS widths, unnest(range(1, len(w) - k + 2)) AS places(i)
+        ), shared AS (
+            SELECT place, doc_id, item_id, count(*) AS hits
+            FROM doc_grams JOIN item_grams USING (k, g) GROUP BY place, doc_id, item_id
+        )
+        SELECT doc_id, item_id, CAST(hits AS DOUBLE) / n AS containment
+        FROM shared JOIN sizes USING (item_id) WHERE hits >= 0.8 * n
+    """,
+}

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import bpe, chat, credentials, decontaminate, fingerprints, sharding, simhash, toxicity
+from marginalia.llm import bpe, chat, credentials, decontaminate, fingerprints, sharding, simhash, toxicity, warc
+from marginalia.storage import new_path, stage
 
 # The tokenizer file of op7, installed on every machine.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +26,36 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_neighbours(table(spark, sf_dir, "documents"))
 
 
+def page_columns(records: DataFrame) -> DataFrame:
+    """Per page: payload bytes and digest, record type and, of revisits, the response's page.
+
+    A revisit's payload is that of the response it refers to.
+    """
+    bytes_, digest = F.octet_length("payload").cast("long"), F.sha2("payload", 256)
+    read = records.select("record", "type", "page_id", "refers_to", bytes_.alias("bytes"), digest.alias("sha256"))
+    read = stage(read, "records")
+    responses = read.filter("type = 'response'").select(
+        F.col("record").alias("refers_to"),
+        F.col("page_id").alias("origin"),
+        F.col("bytes").alias("origin_bytes"),
+        F.col("sha256").alias("origin_sha256"),
+    )
+    return read.join(responses, "refers_to", "left").select(
+        "page_id",
+        F.coalesce("bytes", "origin_bytes").alias("payload_bytes"),
+        F.coalesce("sha256", "origin_sha256").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.col("origin").alias("refers_to"),
+    )
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to WARC archives and read back."""
+    path = new_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return page_columns(warc.read_archives(spark, path))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, shards of near equal bytes, tokens and rows."""
     placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
@@ -109,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_fingerprints,
+        op2_warc,
         op3_sharding,
         op4_toxicity,
         op6_decontaminate,

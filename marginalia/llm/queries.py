@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import bpe, chat, credentials, decontaminate, fingerprints, sharding, simhash, toxicity, warc
+from marginalia.llm import bpe, chat, credentials, decontaminate, fingerprints, sharding, simhash, suffix_tree, toxicity, warc
 from marginalia.storage import new_path, stage
 
 # The tokenizer file of op7, installed on every machine.
@@ -88,6 +88,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of every document."""
+    return suffix_tree.score(table(spark, sf_dir, "documents"), toxicity.remainder("doc_id", 7) != 2)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds at least 80 % of a benchmark item's shingles, with the item."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -143,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_warc,
         op3_sharding,
         op4_toxicity,
+        op5_language_model,
         op6_decontaminate,
         op7_bpe,
         op8_simhash,

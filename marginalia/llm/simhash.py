@@ -309,7 +309,8 @@ def deduplicate(
     placed = marked.join(_classes(marked, bucket_limit), "fp").join(ids, place)
     first = F.min(F.struct(F.col("id").isNull(), "id", place)).alias("first")
     winners = stage(placed.groupBy("root").agg(first).select(f"first.{place}"), "kept")
-    return numbered.join(winners, place, "left_semi").drop(place)
+    # The kept rows grow with the documents, so they are not broadcast at any size.
+    return numbered.join(winners.hint("merge"), place, "left_semi").drop(place)
 
 
 def fingerprint_text(column: str = "fp"):

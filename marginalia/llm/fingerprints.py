@@ -7,29 +7,31 @@ The containment of a fingerprint in another is the share of its length whose chu
 
 Defined cases: null is an empty text; its fingerprint is empty, and contained wholly in an empty
 and not at all in any other fingerprint; equal texts have equal fingerprints; documents of equal
-id are ordered by the hash of their text and then as they are read; null ids come last; a lone
+id are ordered as they are read; null ids come last; a lone
 document is its own next one; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.chunking import Cuts, Sizes
 from marginalia.llm.text import steps, strings
-from marginalia.storage import stage
 
 SIZES = Sizes(least=16, normal=40, most=128, hard=7, easy=4, window=16)
 
+# Keys sampled for each range of documents; the driver holds as many and the ranges' bounds.
+SAMPLES = 100
+
 Chunks = list[tuple[str, int]]
 
 
@@ -133,58 +135,75 @@ def compared(ids: list[int | None], texts: list[str]) -> pa.RecordBatch:
     )
 
 
+def _ranges(keys: DataFrame, count: int):
+    """The number of the range that a (``doc_id``, ``row``) falls in, in the order of documents.
+
+    Bounds are quantiles of a sample of keys whose size follows from the number of ranges.
+    """
+    total = keys.count()
+    taken = F.pmod(F.xxhash64("row", "doc_id"), F.lit(max(1, total // (SAMPLES * count)))) == 0
+    sample = keys.filter(taken).toArrow()
+
+    def ordered(ids, rows):
+        return [(key is None, -(key or 0), row) for key, row in zip(ids, rows, strict=True)]
+
+    sample = sorted(ordered(sample.column("doc_id").to_pylist(), sample.column("row").to_pylist()))
+    bounds = [sample[len(sample) * number // count] for number in range(1, count)] if sample else []
+
+    @F.pandas_udf("int")
+    def number(ids: pd.Series, missing: pd.Series, rows: pd.Series) -> pd.Series:
+        found = [None if gone else key for key, gone in zip(ids.tolist(), missing.tolist(), strict=True)]
+        return pd.Series([bisect_right(bounds, key) for key in ordered(found, rows.tolist())], dtype="int32")
+
+    return number(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), F.col("row"))
+
+
 def with_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's fingerprint, that of its edited text, and how much of it the edited text and
     the next document hold.
 
     Documents stand in descending order of their id. The edited text has its last third of code
     points replaced by as many (or all) first ones of the next document, after the last one the
-    first. Documents are dealt by ranges of their id; a range's last document meets the first of
-    the next range in a join on the range's number.
+    first. Documents are dealt by ranges of this order, a range to a task, and each range gets a copy
+    of the next one's first document. Texts are shuffled once. Ties are told apart by their place,
+    so ``docs`` has to be a table that is read in the same order each time, such as files.
     """
     spark = docs.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        F.col(text_col).cast("string").alias("text"),
         F.monotonically_increasing_id().alias("row"),
-    ).withColumn("tie", F.xxhash64("text"))
-    order = (F.col("doc_id").desc_nulls_last(), "tie", "row")
-    ordered = source.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    edges = pa.schema([("range", pa.int32()), ("first", pa.bool_()), ("text", pa.string())])
-    schema = pa.schema([*RESULT, *edges])
-
-    def edge(number: int, first: bool, key: int | None, text: str) -> pa.RecordBatch:
-        row = dict.fromkeys(schema.names) | {"doc_id": key, "range": number, "first": first, "text": text}
-        return pa.RecordBatch.from_pylist([row], schema=schema)
+    )
+    keys = source.select("doc_id", "row")
+    number = _ranges(keys, count)
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), F.bitwise_not("doc_id").alias("order"), "row")
+    # One row for each range in use.
+    heads = keys.withColumn("range", number).groupBy("range").agg(F.min(place).alias("first"))
+    heads = heads.select("range", "first.row").orderBy("range").collect()
+    before = [head.range for head in heads[-1:] + heads[:-1]]
+    copies = spark.createDataFrame(
+        [(head.row, last) for head, last in zip(heads, before, strict=True)], "row long, before int"
+    )
+    homes = F.filter(
+        F.array(
+            F.struct(F.col("range"), F.lit(False).alias("copy")),
+            F.struct(F.col("before").alias("range"), F.lit(True).alias("copy")),
+        ),
+        lambda home: home.range.isNotNull(),
+    )
+    dealt = source.withColumn("range", number).join(F.broadcast(copies), "row", "left")
+    dealt = dealt.select("doc_id", "text", "row", F.explode(homes).alias("home")).select("doc_id", "text", "row", "home.*")
+    order = (F.col("copy"), F.col("doc_id").desc_nulls_last(), F.col("row"))
+    dealt = dealt.repartitionById(count, "range").sortWithinPartitions(*order).select("doc_id", "text")
 
     def scan(batches) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId()
-        last: tuple[list, list] = ([], [])
+        ids: list[int | None] = []
+        texts: list[str] = []
         for batch in batches:
             for part in steps(batch, "text"):
-                ids = last[0] + part.column("doc_id").to_pylist()
-                texts = last[1] + strings(part.column("text"))
-                if not last[1]:
-                    yield edge(number, True, ids[0], texts[0])
-                rows = compared(ids, texts)
-                blank = [pa.nulls(rows.num_rows, field.type) for field in edges]
-                yield pa.RecordBatch.from_arrays([*rows.columns, *blank], schema=schema)
-                last = (ids[-1:], texts[-1:])
-        if last[1]:
-            yield edge(number, False, last[0][0], last[1][0])
-
-    rows = stage(ordered.mapInArrow(scan, RESULT_COLUMNS + ", range int, first boolean, text string"), "neighbours")
-    # Two rows for each range in use.
-    ranges = [row.range for row in rows.filter("first").select("range").orderBy("range").collect()]
-    following = spark.createDataFrame(list(zip(ranges, ranges[1:] + ranges[:1], strict=True)), "range int, after int")
-    heads = rows.filter("first").select(F.col("range").alias("after"), F.col("text").alias("next_text"))
-    pairs = rows.filter("NOT first").select("doc_id", "text", "range").join(following, "range").join(heads, "after")
-
-    def meet(batches):
-        for batch in batches:
-            columns = (batch.column(name).to_pylist() for name in ("doc_id", "text", "next_text"))
-            for key, text, after in zip(*columns, strict=True):
-                yield compared([key, None], [text, after])
+                ids = ids[-1:] + part.column("doc_id").to_pylist()
+                texts = texts[-1:] + strings(part.column("text"))
+                yield compared(ids, texts)
 
-    bridged = pairs.select("doc_id", "text", "next_text").mapInArrow(meet, RESULT_COLUMNS)
-    return rows.filter("range IS NULL").select(*RESULT.names).unionByName(bridged)
+    return dealt.mapInArrow(scan, RESULT_COLUMNS)

@@ -18,15 +18,11 @@ from marginalia.plans.catalog import QUERIES  # noqa: E402
 from marginalia.session import build_session  # noqa: E402
 from marginalia.sources.retail import retail_lines  # noqa: E402
 
-# Model fits are bounded by the number of boosting rounds, not by the data; the slowest
-# (cross-validation) is left to the tests.
-SKIPPED = {"cv_scores"}
-
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    names = sys.argv[1:] or [name for name in QUERIES if name not in SKIPPED]
+    names = sys.argv[1:] or list(QUERIES)
     spark = build_session(
         "bench",
         f"local[{cpus}]",

@@ -182,11 +182,12 @@ def exec_snapshot(lines: DataFrame) -> DataFrame:
     """Headline totals and the profit that could be recovered.
 
     ``combined_recovery`` adds two overlapping sets, as the figure is defined;
-    ``distinct_recovery`` counts each loss line once.
+    ``distinct_recovery`` takes their union, each line once.
     """
     profit, deep = F.col("profit"), F.col("discount") > 0.30
     loss = F.sum(F.when(profit < 0, profit).otherwise(0))
     drain = F.sum(F.when(deep, profit).otherwise(0))
+    union = F.sum(F.when((profit < 0) | deep, profit).otherwise(0))
     snapshot = lines.agg(
         F.count("*").alias("transactions"),
         F.min("order_date").alias("first_date"),
@@ -198,12 +199,13 @@ def exec_snapshot(lines: DataFrame) -> DataFrame:
         F.countDistinct("customer_id").alias("total_customers"),
         F.abs(loss).alias("recoverable"),
         F.abs(F.least(drain, F.lit(0).cast("decimal(18,4)"))).alias("over_discount_drain"),
+        F.abs(F.least(union, F.lit(0).cast("decimal(18,4)"))).alias("distinct_recovery"),
     )
     both = F.col("recoverable") + F.col("over_discount_drain")
     return snapshot.withColumns(
         {
             "combined_recovery": both.cast("double"),
-            "distinct_recovery": F.col("recoverable").cast("double"),
+            "distinct_recovery": F.col("distinct_recovery").cast("double"),
             "recoverable": F.col("recoverable").cast("double"),
             "over_discount_drain": F.col("over_discount_drain").cast("double"),
         }

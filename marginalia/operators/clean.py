@@ -23,9 +23,16 @@ NULL_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "M-d-yyyy", "yyyy/M/d", "d MMM yyyy", "MMM d, yyyy"]
-
+# Date formats, each with an optional time of day.
+TIME = "['T'HH:mm[:ss[.SSSSSS][.SSS]]][ H:mm[:ss[.SSSSSS][.SSS]]]"
+DATE_FORMATS = [
+    f"{date}{TIME}"
+    for date in ("yyyy-MM-dd", "M/d/yyyy", "M-d-yyyy", "yyyy/M/d", "d MMM yyyy", "MMM d, yyyy")
+]
+
+# Money of the adapted tables, whose columns bound it, and of raw text.
 MONEY = "decimal(18,4)"
+RAW_NUMBER = "decimal(38,10)"
 
 CLEAN_COLUMNS = [
     "row_id", "order_id", "order_date", "ship_date", "ship_mode", "customer_id",
@@ -34,6 +41,8 @@ CLEAN_COLUMNS = [
     "order_year", "order_month", "order_quarter", "order_dayofweek", "ship_days", "revenue",
     "profit_margin", "cost", "profit_per_unit", "is_profitable", "channel",
 ]
+# Those that raw rows bring.
+RAW_COLUMNS = CLEAN_COLUMNS[: CLEAN_COLUMNS.index("profit") + 1]
 
 
 def normalise_names(df: DataFrame) -> DataFrame:
@@ -61,21 +70,27 @@ def parse_date(text: Column | str, formats: list[str] = DATE_FORMATS) -> Column:
 def coerce_numeric(
     df: DataFrame, defaults: dict[str, float], types: dict[str, str] | None = None
 ) -> DataFrame:
-    """Text columns cast to numbers; unreadable or missing values take the default."""
+    """Text columns cast to numbers; unreadable or missing values take the default.
+
+    A number that does not fit the type is neither: it raises an error instead of becoming the
+    default.
+    """
     types = types or {}
-    columns = {
-        name: F.coalesce(
-            F.trim(F.col(name).cast("string")).try_cast(types.get(name, MONEY)),
-            F.lit(default).cast(types.get(name, MONEY)),
-        )
-        for name, default in defaults.items()
-    }
+    columns = {}
+    for name, default in defaults.items():
+        kind = types.get(name, MONEY)
+        text = F.trim(F.col(name).cast("string"))
+        value = text.try_cast(kind)
+        lost = value.isNull() & text.try_cast("double").isNotNull() & ~F.isnan(text.try_cast("double"))
+        error = F.raise_error(F.concat(F.lit(f"{name} does not fit {kind}: "), text))
+        columns[name] = F.when(lost, error).otherwise(F.coalesce(value, F.lit(default).cast(kind)))
     return df.withColumns(columns)
 
 
 def derive(df: DataFrame) -> DataFrame:
     """Calendar parts, shipping latency and the money ratios of each line."""
     sales, profit, quantity = F.col("sales"), F.col("profit"), F.col("quantity")
+    money = dict(df.dtypes)["sales"]
     return df.withColumns(
         {
             "order_year": F.year("order_date"),
@@ -85,7 +100,7 @@ def derive(df: DataFrame) -> DataFrame:
             "ship_days": F.datediff("ship_date", "order_date"),
             "revenue": sales,
             "profit_margin": ratio_or_zero(profit, sales),
-            "cost": (sales - profit).cast(MONEY),
+            "cost": (sales - profit).cast(money),
             "profit_per_unit": ratio_or_zero(profit, quantity),
             "is_profitable": (profit > 0).cast("int"),
         }
@@ -111,25 +126,30 @@ def dedup_keep_first(df: DataFrame, keys: list[str], order_cols: list) -> DataFr
 
 
 def clean(raw: DataFrame, order_cols: list | None = None) -> DataFrame:
-    """Raw all-text order lines to typed, de-duplicated, derived lines."""
+    """Raw all-text order lines to typed, de-duplicated, derived lines.
+
+    Of rows with the same order and product the first stays: by row number, read as a number
+    where it is one, then by all columns. Numbers keep all digits up to 28 before and 10 after the
+    point. Columns the clean table does not name are carried along; named ones that are missing
+    are NULL. Without a row number, the order and product name the row.
+    """
     df = null_tokens(normalise_names(raw))
-    df = df.withColumn("row_id", F.expr("try_cast(row_id AS bigint)"))
+    given = df.columns
+    absent = [name for name in RAW_COLUMNS if name not in given]
+    df = df.withColumns({name: F.lit(None).cast("string") for name in absent})
+    more = [name for name in given if name not in CLEAN_COLUMNS]
+    number = F.expr("try_cast(row_id AS decimal(38, 0))")
+    order = order_cols or [number.asc_nulls_last(), *sorted(given)]
     # Before any column is derived: the shuffle carries the raw columns only.
-    df = dedup_keep_first(df, ["order_id", "product_id"], order_cols or ["row_id"])
+    df = dedup_keep_first(df, ["order_id", "product_id"], order)
+    key = F.concat_ws("-", "order_id", "product_id")
+    df = df.withColumn("row_id", F.coalesce(F.trim(F.col("row_id").cast("string")), key))
     df = df.withColumns({name: parse_date(name) for name in ("order_date", "ship_date")})
-    df = coerce_numeric(
-        df,
-        {"sales": 0, "profit": 0, "quantity": 1, "discount": 0},
-        {"quantity": "double", "discount": "decimal(10,4)"},
-    )
-    df = df.withColumns(
-        {
-            "quantity": F.expr("try_cast(quantity AS int)"),
-            "discount": clip("discount", 0, 1).cast("decimal(6,2)"),
-        }
-    )
+    numbers = {"sales": 0, "profit": 0, "quantity": 1, "discount": 0}
+    df = coerce_numeric(df, numbers, dict.fromkeys(numbers, RAW_NUMBER))
+    df = df.withColumn("discount", clip("discount", 0, 1).cast("decimal(12,10)"))
     df = assign_channel(derive(df.where(F.col("quantity") > 0)))
-    return df.select(*CLEAN_COLUMNS)
+    return df.select(*CLEAN_COLUMNS, *more)
 
 
 # Fixed rules: name -> violation test.

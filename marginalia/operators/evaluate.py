@@ -74,9 +74,9 @@ def threshold_counts(scored: DataFrame, label: str = "label", score: str = "scor
     """Per distinct score, from high to low: counts and running counts of both classes.
 
     Equal scores are counted first; running counts then span the whole table by range
-    partition, never one task.
+    partition, never one task. Rows without a score belong to no threshold.
     """
-    counts = scored.groupBy(F.col(score).alias("threshold")).agg(
+    counts = scored.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"),
         F.sum(1 - F.col(label).cast("bigint")).alias("neg"),
     )
@@ -85,14 +85,22 @@ def threshold_counts(scored: DataFrame, label: str = "label", score: str = "scor
     return running.withColumn("_totals", one_row(totals)).select("*", "_totals.*").drop("_totals")
 
 
+def _end_point(scored: DataFrame, score: str, **values: float) -> DataFrame:
+    row = scored.sparkSession.range(1)
+    kind = dict(scored.dtypes)[score]
+    fixed = [F.lit(value).alias(name) for name, value in values.items()]
+    return row.select(F.lit(None).cast(kind).alias("threshold"), *fixed)
+
+
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One point per distinct score; the origin is implied."""
+    """One point per distinct score, and the origin, which has no threshold."""
     points = threshold_counts(scored, label, score)
-    return points.select(
+    points = points.select(
         "threshold",
         ratio(F.col("fp"), F.col("all_neg")).alias("fpr"),
         ratio(F.col("tp"), F.col("all_pos")).alias("tpr"),
     )
+    return points.unionByName(_end_point(scored, score, fpr=0.0, tpr=0.0))
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -107,12 +115,14 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
 
 
 def pr_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """One point per distinct score, and the end without positives, which has no threshold."""
     points = threshold_counts(scored, label, score)
-    return points.select(
+    points = points.select(
         "threshold",
         ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         ratio(F.col("tp"), F.col("all_pos")).alias("recall"),
     )
+    return points.unionByName(_end_point(scored, score, precision=1.0, recall=0.0))
 
 
 def average_precision(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -127,8 +137,9 @@ def average_precision(scored: DataFrame, label: str = "label", score: str = "sco
 def lift_table(
     scored: DataFrame, label: str = "label", score: str = "score", q: int = 10
 ) -> DataFrame:
-    """Counts, rates and lift per score decile, riskiest first."""
-    binned = quantile_cut(scored.select(label, score), score, q, "decile")
+    """Counts, rates and lift per score decile, riskiest first. Rows without a score are left out."""
+    known = scored.select(label, score).where(F.col(score).isNotNull())
+    binned = quantile_cut(known, score, q, "decile")
     rows = binned.groupBy("decile").agg(
         F.count(label).alias("n"),
         F.sum(F.col(label).cast("bigint")).alias("churned"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -247,28 +248,31 @@ def cross_validate(
 ) -> DataFrame:
     """Stratified cross-validation: mean and deviation over folds of AUC, F1, precision, recall.
 
-    The fits run one after the other, as each is a distributed job of its own; their held-out
-    scores are then measured together.
+    The folds are fitted side by side, as a fit is a chain of small jobs; their held-out scores
+    are then measured together.
     """
-    numbered = features.stratified_folds(rows, keys, label, folds)
-    if balanced:
-        negatives, positives = balance_weights(numbered, label)
-        everyone = negatives + positives
-        heavy = everyone / (2 * positives) if positives else 1.0
-        light = everyone / (2 * negatives) if negatives else 1.0
-        numbered = numbered.withColumn(
-            "weight", F.when(F.col(label) == 1, heavy).otherwise(light)
-        )
-        estimator = estimator.copy({estimator.weightCol: "weight"})
-    held_out = None
-    for fold in range(folds):
+    numbered = storage.stage(features.stratified_folds(rows, keys, label, folds), "folds")
+
+    def held_out(fold: int) -> DataFrame:
         train = numbered.where(F.col("fold") != fold)
-        model = _pipeline(names, estimator).fit(train)
-        scored = model.transform(numbered.where(F.col("fold") == fold)).select(
+        own = estimator
+        if balanced:
+            # Weights follow from the training folds alone.
+            negatives, positives = balance_weights(train, label)
+            heavy = (negatives + positives) / (2 * positives) if positives else 1.0
+            light = (negatives + positives) / (2 * negatives) if negatives else 1.0
+            train = train.withColumn("weight", F.when(F.col(label) == 1, heavy).otherwise(light))
+            own = estimator.copy({estimator.weightCol: "weight"})
+        scored = _pipeline(names, own).fit(train).transform(numbered.where(F.col("fold") == fold))
+        return scored.select(
             "fold", F.col(label).alias("label"), vector_to_array("probability")[1].alias("score")
         )
-        held_out = scored if held_out is None else held_out.unionByName(scored)
-    per_fold = fold_metrics(storage.stage(held_out, "held-out"))
+
+    with ThreadPool(folds) as pool:
+        session = inheritable_thread_target(rows.sparkSession)
+        parts = pool.map(session(held_out), range(folds))
+    scores = reduce(DataFrame.unionByName, parts)
+    per_fold = fold_metrics(storage.stage(scores, "held-out"))
     metrics = ["auc", "f1", "precision", "recall"]
     summary = per_fold.agg(
         *[F.avg(m).alias(f"{m}_mean") for m in metrics],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marginalia import storage
@@ -157,6 +157,53 @@ def dirty_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(clean.coerce_numeric(text, {"quantity": 1, "sales": 0, "discount": 0}))
 
 
+def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as raw text rows with holes, fractions, huge values and dates with times."""
+    key = F.col("l_orderkey") + F.col("l_partkey")
+
+    def odd(divisor: int, cases: dict[int, str], rest: Column) -> Column:
+        chain = F.when(F.lit(False), rest)
+        for remainder, text in cases.items():
+            chain = chain.when(key % divisor == remainder, F.lit(text))
+        return chain.otherwise(rest)
+
+    day = F.col("l_shipdate").cast("date")
+    order = F.col("l_orderkey").cast("string")
+    dates = (
+        F.when(key % 5 == 0, F.concat(day.cast("string"), F.lit(" 00:00:00")))
+        .when(key % 5 == 1, F.date_format(day, "M/d/yyyy"))
+        .when(key % 5 == 2, "not a date")
+        .when(key % 5 == 3, F.concat(day.cast("string"), F.lit("T10:20:30")))
+        .otherwise(day.cast("string"))
+    )
+    return first_lines(spark, sf_dir).select(
+        odd(17, {0: "NULL"}, F.concat_ws("-", "l_orderkey", "l_partkey")).alias("Row ID"),
+        order.alias("Order ID"),
+        F.col("l_partkey").cast("string").alias("Product ID"),
+        dates.alias("Order Date"),
+        odd(7, {0: "n/a", 1: "0.5", 2: "3000000000", 3: "-4"}, F.col("l_quantity").cast("int").cast("string")).alias("Quantity"),
+        odd(11, {0: "0.3001", 1: "0.305", 2: "1.7", 3: ""}, F.col("l_discount").cast("decimal(4,2)").cast("string")).alias("Discount"),
+        odd(13, {0: "1e15", 1: "NULL"}, F.col("l_extendedprice").cast("decimal(12,2)").cast("string")).alias("Sales"),
+        odd(19, {0: "0.00004", 1: "-5"}, F.lit("10")).alias("Profit"),
+        F.concat(F.lit("C"), key % 3).alias("Country"),
+    )
+
+
+DIRTY_COLUMNS = [
+    "row_id", "order_id", "product_id", "order_date", "quantity", "discount", "sales", "profit",
+    "is_profitable", "country",
+]
+
+
+def clean_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(clean.clean(dirty_lines(spark, sf_dir)).select(*DIRTY_COLUMNS))
+
+
+def profile_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profiled = clean.profile_nulls(clean.clean(dirty_lines(spark, sf_dir)).select(*DIRTY_COLUMNS))
+    return tidy(profiled.select("column_name", "row_count", "null_count"))
+
+
 def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(
         first_lines(spark, sf_dir).select(
@@ -229,8 +276,8 @@ def reorder_override(lines: DataFrame) -> DataFrame:
 
 def pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     bought = purchase_table(spark, sf_dir)
-    names = [f"Brand#{number}" for number in range(1, 26)]
-    wide = aggregates.pivot_purchases(bought, names)
+    # One column per sub-category that occurs: a dimension, not the data, bounds their number.
+    wide = aggregates.pivot_purchases(bought)
     return tidy(wide.toDF(*[name.lower().replace("#", "_") for name in wide.columns]))
 
 
@@ -351,6 +398,8 @@ QUERIES: dict[str, Query] = {
     "assign_channel": on_lines(channel_draw),
     "dedup_keep_first": dedup,
     "validate_rules": rules,
+    "clean_dirty": clean_dirty,
+    "profile_dirty": profile_dirty,
     "encode_ordinal": on_lines(encoded),
     # joins
     "join_semi_top_categories": on_lines(
@@ -476,12 +525,6 @@ QUERIES: dict[str, Query] = {
 
 # ---------------------------------------------------------------- fitted models
 
-# Boosting rounds are sequential jobs. The registered queries fit fewer rounds and trees than
-# the operators' defaults, over all rows.
-ROUNDS = 20
-TREES = 20
-CV_ROUNDS = 5
-
 _models: dict[tuple[str, str, str], models.Fitted] = {}
 
 
@@ -491,11 +534,11 @@ def fitted(spark: SparkSession, sf_dir: str, name: str) -> models.Fitted:
     if key not in _models:
         lines = retail_lines(spark, sf_dir)
         _models[key] = {
-            "churn": lambda: models.fit_churn(customer_table(spark, sf_dir), rounds=ROUNDS),
-            "returns": lambda: models.fit_returns(lines, trees=TREES),
-            "revenue": lambda: models.fit_revenue(lines, rounds=ROUNDS),
-            "residuals": lambda: models.fit_residuals(lines, rounds=ROUNDS),
-            "demand": lambda: models.fit_demand(lines, rounds=ROUNDS),
+            "churn": lambda: models.fit_churn(customer_table(spark, sf_dir)),
+            "returns": lambda: models.fit_returns(lines),
+            "revenue": lambda: models.fit_revenue(lines),
+            "residuals": lambda: models.fit_residuals(lines),
+            "demand": lambda: models.fit_demand(lines),
         }[name]()
     return _models[key]
 
@@ -553,19 +596,23 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return once(spark, sf_dir, "cv", lambda: cross_validated(spark, sf_dir))
+
+
+def cross_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     churn = models.cross_validate(
         customer_table(spark, sf_dir),
         aggregates.CHURN_FEATURES,
         ["customer_id"],
         "churned",
-        models.churn_estimator(rounds=CV_ROUNDS, depth=5),
+        models.churn_estimator(),
     )
     returns = models.cross_validate(
         models.return_inputs(retail_lines(spark, sf_dir)),
         models.RETURN_FEATURES,
         models.LINE_KEY,
         "returned",
-        models.returns_estimator(trees=CV_ROUNDS, depth=8),
+        models.returns_estimator(),
         balanced=True,
     ).where(F.col("metric").isin("auc", "f1"))
     churn = churn.withColumn("model", F.lit("churn"))
@@ -577,6 +624,79 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(spark, sf_dir, "clusters", lambda: models.rfm_clusters(base))
 
 
+def close(first: Column, second: Column) -> Column:
+    return (F.abs(first - second) < 1e-9).cast("bigint")
+
+
+def churn_scores_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split and label of each customer, and whether exactly the test rows have a probability."""
+    scored = fitted(spark, sf_dir, "churn").scored
+    inside = F.coalesce(F.col("churn_prob").between(0, 1), F.lit(False)).cast("bigint")
+    agrees = F.coalesce((F.col("churn_prob") >= 0.5).cast("int") == F.col("prediction"), F.lit(True))
+    return tidy(
+        scored.select("customer_id", "churned", "is_test", inside.alias("scored"), agrees.cast("bigint").alias("agrees"))
+    )
+
+
+def return_scores_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The held-out lines, their label and whether the probability is one."""
+    inside = F.coalesce(F.col("return_prob").between(0, 1), F.lit(False)).cast("bigint")
+    scored = fitted(spark, sf_dir, "returns").scored
+    return tidy(scored.select(*models.LINE_KEY, "returned", inside.alias("scored")))
+
+
+def backtest_check(name: str, keys: list[str]) -> Query:
+    """The held-out rows, their true value and whether residual and prediction add up to it."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        scored = evaluate.with_residuals(fitted(spark, sf_dir, name).scored)
+        adds_up = (F.abs(F.col("predicted") + F.col("residual") - F.col("actual")) < 1e-6).cast("bigint")
+        return tidy(scored.select(*keys, "actual", F.coalesce(adds_up, F.lit(0)).alias("adds_up")), 4)
+
+    return query
+
+
+def importance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = importances(spark, sf_dir).groupBy("model").agg(
+        F.sum("importance").alias("total"), F.min("importance").alias("least")
+    )
+    fine = ((F.abs(F.col("total") - 1) < 1e-4) & (F.col("least") >= 0)).cast("bigint")
+    return sums.select("model", fine.alias("adds_up"))
+
+
+def roundtrip_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = model_roundtrip(spark, sf_dir)
+    return scores.select("customer_id", close(F.col("fitted_prob"), F.col("loaded_prob")).alias("equal"))
+
+
+def cv_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inside = (F.col("mean").between(0, 1) & F.col("std").between(0, 0.5)).cast("bigint")
+    return cv_scores(spark, sf_dir).select("model", "metric", F.coalesce(inside, F.lit(0)).alias("inside"))
+
+
+def attribution_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per explained customer, whether base and attributions give the margin, and the margin the
+    fitted probability."""
+    parts = explained(spark, sf_dir)
+    names = [name for name in parts.columns if name.startswith("phi_")]
+    total = sum((F.col(name) for name in names), F.col("base_value"))
+    probability = 1 / (1 + F.exp(-2 * F.col("margin")))
+    scored = fitted(spark, sf_dir, "churn").scored.select("customer_id", "churn_prob")
+    return parts.join(scored, "customer_id").select(
+        "customer_id",
+        close(total, F.col("margin")).alias("adds_up"),
+        close(probability, F.col("churn_prob")).alias("gives_score"),
+    )
+
+
+def cluster_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers per cluster label in order of mean monetary value: the place each label takes."""
+    means = clusters(spark, sf_dir).groupBy("segment_label").agg(F.avg("monetary").alias("mean"))
+    # One row per cluster.
+    place = F.row_number().over(Window.orderBy(F.col("mean").desc()))
+    return means.select("segment_label", place.cast("bigint").alias("place"))
+
+
 def explained(spark: SparkSession, sf_dir: str) -> DataFrame:
     churn = fitted(spark, sf_dir, "churn")
     tested = models.Fitted(churn.model, churn.features, churn.scored.where("is_test = 1"))
@@ -615,6 +735,16 @@ QUERIES.update(
         "feature_importance": importances,
         "model_roundtrip": model_roundtrip,
         "cv_scores": cv_scores,
+        "churn_scores_check": churn_scores_check,
+        "return_scores_check": return_scores_check,
+        "revenue_backtest_check": backtest_check("revenue", ["period"]),
+        "residual_table_check": backtest_check("residuals", ["period"]),
+        "demand_backtest_check": backtest_check("demand", ["sub_category", "month_no"]),
+        "importance_check": importance_check,
+        "model_roundtrip_check": roundtrip_check,
+        "cv_check": cv_check,
+        "attribution_check": attribution_check,
+        "cluster_check": cluster_check,
         "attributions": lambda spark, sf_dir: tidy(explained(spark, sf_dir)),
         "attribution_summary": lambda spark, sf_dir: tidy(
             attributions.attribution_summary(explained(spark, sf_dir))

@@ -67,7 +67,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(*[F.lit(x) for x in ("Furniture", "Office Supplies", "Technology")]), brand % 3 + 1
     )
     lines = joined.select(
-        (F.col("l_orderkey") * 1_000_000 + F.col("l_partkey")).alias("row_id"),
+        F.concat_ws("-", "l_orderkey", "l_partkey").alias("row_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("l_shipdate").cast("date").alias("ship_date"),

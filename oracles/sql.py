@@ -17,7 +17,7 @@ first_lines AS (
 
 LINES = f"""{FIRST_LINES},
 base AS (
-  SELECT l_orderkey * 1000000 + l_partkey AS row_id,
+  SELECT l_orderkey || '-' || l_partkey AS row_id,
          l_orderkey AS order_id,
          CAST(o_orderdate AS DATE) AS order_date,
          CAST(l_shipdate AS DATE) AS ship_date,
@@ -309,6 +309,30 @@ def draw(key: str) -> str:
     return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"
 
 
+DIRTY = f"""{FIRST_LINES},
+keyed AS (
+  SELECT *, l_orderkey + l_partkey AS key FROM first_lines),
+dirty AS (
+  SELECT l_orderkey || '-' || l_partkey AS row_id,
+         CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS product_id,
+         CASE WHEN key % 5 <> 2 THEN CAST(l_shipdate AS DATE) END AS order_date,
+         CASE key % 7 WHEN 0 THEN 1 WHEN 1 THEN 0.5 WHEN 2 THEN 3000000000 WHEN 3 THEN -4
+              ELSE CAST(l_quantity AS INT) END AS quantity,
+         CASE key % 11 WHEN 0 THEN 0.3001 WHEN 1 THEN 0.305 WHEN 2 THEN 1 WHEN 3 THEN 0
+              ELSE CAST(l_discount AS DECIMAL(4,2)) END AS discount,
+         CASE key % 13 WHEN 0 THEN 1e15::DOUBLE WHEN 1 THEN 0::DOUBLE
+              ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE) END AS sales,
+         CASE key % 19 WHEN 0 THEN 0.00004 WHEN 1 THEN -5 ELSE 10 END AS profit,
+         CAST(key % 19 <> 1 AS BIGINT) AS is_profitable,
+         'C' || (key % 3) AS country
+  FROM keyed WHERE key % 7 <> 3)"""
+
+RETURNS = """returns AS (
+  SELECT order_id, product_id, CAST(0.3::DOUBLE * CAST(discount > 0.3 AS INT)
+         + 0.2::DOUBLE * CAST(profit_margin < -0.1::DOUBLE AS INT)
+         + 0.1::DOUBLE * (((order_id * 7919 + product_id * 104729) % 1000) / 1000.0::DOUBLE)
+         > 0.35::DOUBLE AS BIGINT) AS returned FROM lines)"""
+
 SIMILAR = """bought AS (
   SELECT customer_id, sub_category, CAST(SUM(sales) AS DOUBLE) AS amount
   FROM lines GROUP BY 1, 2),
@@ -350,7 +374,10 @@ def core_sql(keys: str) -> str:
 
 
 ORACLES: dict[str, str] = {
-    "csv_ingest": over_lines(f"SELECT {LINE_COLUMNS} FROM lines"),
+    # Raw text may hold fractions, so quantities of raw lines are not integers.
+    "csv_ingest": over_lines(
+        "SELECT " + LINE_COLUMNS.replace("CAST(quantity AS BIGINT)", "CAST(quantity AS DOUBLE)") + " FROM lines"
+    ),
     "csv_roundtrip": over_lines(f"SELECT {FACT_MART_COLUMNS} FROM lines"),
     "clean_lines": over_lines(f"SELECT {LINE_COLUMNS} FROM lines"),
     "mart_fact": over_lines(f"SELECT {FACT_MART_COLUMNS} FROM lines"),
@@ -601,7 +628,7 @@ ORACLES: dict[str, str] = {
                    {r("ABS(SUM(profit) FILTER (profit < 0))", "recoverable")},
                    {r("ABS(LEAST(SUM(profit) FILTER (discount > 0.30), 0))", "over_discount_drain")},
                    {r("ABS(SUM(profit) FILTER (profit < 0)) + ABS(LEAST(SUM(profit) FILTER (discount > 0.30), 0))", "combined_recovery")},
-                   {r("-SUM(LEAST(profit, 0)) FILTER (profit < 0 OR discount > 0.30)", "distinct_recovery")}
+                   {r("ABS(LEAST(SUM(profit) FILTER (profit < 0 OR discount > 0.30), 0))", "distinct_recovery")}
             FROM lines"""
     ),
     "pivot_purchases": over_lines(
@@ -841,7 +868,7 @@ ORACLES: dict[str, str] = {
     ),
     "roc_curve": over_lines(
         f"""SELECT {r("threshold", "threshold")}, {r("fp / all_neg", "fpr")}, {r("tp / all_pos", "tpr")}
-            FROM running""", CUSTOMERS, SCORED, THRESHOLDS,
+            FROM running UNION ALL SELECT NULL::DOUBLE, 0::DOUBLE, 0::DOUBLE""", CUSTOMERS, SCORED, THRESHOLDS,
     ),
     "roc_auc": over_lines(
         f"""SELECT {r("SUM(neg * (2 * tp - pos)) / (2 * MAX(all_pos) * MAX(all_neg))", "auc")}
@@ -849,7 +876,8 @@ ORACLES: dict[str, str] = {
     ),
     "pr_curve": over_lines(
         f"""SELECT {r("threshold", "threshold")}, {r("tp / (tp + fp)", "precision")},
-                   {r("tp / all_pos", "recall")} FROM running""", CUSTOMERS, SCORED, THRESHOLDS,
+                   {r("tp / all_pos", "recall")} FROM running
+            UNION ALL SELECT NULL::DOUBLE, 1::DOUBLE, 0::DOUBLE""", CUSTOMERS, SCORED, THRESHOLDS,
     ),
     "average_precision": over_lines(
         f"""SELECT {r("SUM(pos / all_pos * tp / (tp + fp))", "average_precision")} FROM running""",
@@ -1030,4 +1058,67 @@ ORACLES: dict[str, str] = {
           FROM (SELECT DISTINCT customer_id FROM bought) CROSS JOIN (SELECT DISTINCT sub_category FROM bought)
           LEFT JOIN bought USING (customer_id, sub_category))""",
     ),
+    "clean_dirty": "WITH " + DIRTY + f"""
+        SELECT row_id, order_id, product_id, order_date, {r("quantity", "quantity")}, {r("discount", "discount")},
+               {r("sales", "sales")}, {r("profit", "profit")}, is_profitable, country FROM dirty""",
+    "profile_dirty": "WITH " + DIRTY + """, sums AS (
+        SELECT COUNT(*) AS n, COUNT(*) FILTER (order_date IS NULL) AS undated FROM dirty)
+        SELECT name AS column_name, n AS row_count,
+               CASE WHEN name = 'order_date' THEN undated ELSE 0 END AS null_count
+        FROM sums, (VALUES ('row_id'), ('order_id'), ('product_id'), ('order_date'), ('quantity'), ('discount'),
+                    ('sales'), ('profit'), ('is_profitable'), ('country')) AS names(name)""",
+    # Fitted values have no SQL form; what has to hold for each of them does.
+    "churn_scores_check": over_lines(
+        """SELECT customer_id, churned, is_test, is_test AS scored, CAST(1 AS BIGINT) AS agrees FROM (
+             SELECT customer_id, churned,
+                    CAST(row_number() OVER w <= ROUND(COUNT(*) OVER (PARTITION BY churned) * 0.2) AS BIGINT) AS is_test
+             FROM customers WINDOW w AS (PARTITION BY churned ORDER BY """
+        + draw("customer_id") + ", customer_id))",
+        CUSTOMERS,
+    ),
+    "return_scores_check": over_lines(
+        """SELECT order_id, product_id, returned, CAST(1 AS BIGINT) AS scored FROM (
+             SELECT *, row_number() OVER w <= ROUND(COUNT(*) OVER (PARTITION BY returned) * 0.2) AS is_test
+             FROM returns WINDOW w AS (PARTITION BY returned ORDER BY """
+        + draw("order_id || '|' || product_id") + ", order_id, product_id)) WHERE is_test",
+        RETURNS,
+    ),
+    "revenue_backtest_check": over_lines(
+        f"""SELECT period, {r("revenue", "actual", 4)}, CAST(1 AS BIGINT) AS adds_up
+            FROM (SELECT *, row_number() OVER (ORDER BY month_no) - 1 AS place, COUNT(*) OVER () AS n
+                  FROM (SELECT make_date(order_year, order_month, 1) AS period, month_no, revenue,
+                               lag(revenue, 12) OVER (ORDER BY month_no) AS lag12 FROM monthly)
+                  WHERE lag12 IS NOT NULL)
+            WHERE place >= floor(n * 0.8)""", MONTHLY,
+    ),
+    "residual_table_check": over_lines(
+        f"""SELECT period, {r("revenue", "actual", 4)}, CAST(1 AS BIGINT) AS adds_up
+            FROM (SELECT make_date(order_year, order_month, 1) AS period, month_no, revenue,
+                         lag(revenue, 3) OVER (ORDER BY month_no) AS lag3 FROM monthly)
+            WHERE lag3 IS NOT NULL AND """ + draw("month_no") + " % 1000 < 200", MONTHLY,
+    ),
+    "demand_backtest_check": over_lines(
+        f"""SELECT sub_category, month_no, {r("quantity", "actual", 4)}, CAST(1 AS BIGINT) AS adds_up
+            FROM (SELECT *, lag(quantity, 3) OVER (PARTITION BY sub_category ORDER BY month_no) AS l3
+                  FROM (SELECT sub_category, order_year * 12 + order_month - 1 AS month_no,
+                               CAST(SUM(quantity) AS BIGINT) AS quantity FROM lines GROUP BY 1, 2))
+            WHERE l3 IS NOT NULL AND """ + draw("sub_category || '|' || month_no") + " % 1000 < 200",
+    ),
+    "importance_check": """SELECT model, CAST(1 AS BIGINT) AS adds_up
+        FROM (VALUES ('churn'), ('returns'), ('demand')) AS names(model)""",
+    "model_roundtrip_check": over_lines(
+        "SELECT customer_id, CAST(1 AS BIGINT) AS equal FROM customers", CUSTOMERS
+    ),
+    "cv_check": """SELECT model, metric, CAST(1 AS BIGINT) AS inside
+        FROM (VALUES ('churn', 'auc'), ('churn', 'f1'), ('churn', 'precision'), ('churn', 'recall'),
+                     ('returns', 'auc'), ('returns', 'f1')) AS names(model, metric)""",
+    "attribution_check": over_lines(
+        """SELECT customer_id, CAST(1 AS BIGINT) AS adds_up, CAST(1 AS BIGINT) AS gives_score FROM (
+             SELECT customer_id, row_number() OVER w <= ROUND(COUNT(*) OVER (PARTITION BY churned) * 0.2) AS is_test
+             FROM customers WINDOW w AS (PARTITION BY churned ORDER BY """
+        + draw("customer_id") + ", customer_id)) WHERE is_test",
+        CUSTOMERS,
+    ),
+    "cluster_check": """SELECT segment_label, CAST(place AS BIGINT) AS place
+        FROM (VALUES ('Champions', 1), ('Loyal', 2), ('At Risk', 3), ('Lost', 4)) AS names(segment_label, place)""",
 }

@@ -40,7 +40,8 @@ def test_dirty_values_take_their_defaults(spark, write):
         raw_row(5, order="O5", sales="0", profit="-3", order_date="2014-03-08"),
     ])
     rows = {r.row_id: r for r in clean.clean(files.read_csv(spark, folder)).collect()}
-    assert set(rows) == {1, 2, 5}
+    assert set(rows) == {"1", "2", "5"}
+    rows = {int(key): row for key, row in rows.items()}
     assert rows[1].order_date == dt.date(2014, 1, 3) and rows[1].ship_days == 4
     assert rows[1].product_name == 'Chair, "oak"'
     assert (rows[1].order_year, rows[1].order_month, rows[1].order_quarter) == (2014, 1, 1)
@@ -53,6 +54,37 @@ def test_dirty_values_take_their_defaults(spark, write):
     assert rows[5].profit_per_unit == -1.5 and rows[5].order_dayofweek == 5
 
 
+def test_cleaning_loses_no_digits(spark, write):
+    folder = write("a.csv", [
+        raw_row(1, quantity="0.5", sales="1e15", discount="0.3001", profit="0.00004", order_date="2016-11-08 00:00:00"),
+        raw_row(2, order="O2", quantity="3000000000", discount="0.305", order_date="2016-11-08T10:20:30"),
+        raw_row(3, order="O3", quantity="2.7", discount="0.0005", order_date="11/8/2016 9:05"),
+    ])
+    rows = {r.row_id: r for r in clean.clean(files.read_csv(spark, folder)).collect()}
+    assert set(rows) == {"1", "2", "3"}
+    assert [float(rows[key].quantity) for key in "123"] == [0.5, 3e9, 2.7]
+    assert [float(rows[key].discount) for key in "123"] == [0.3001, 0.305, 0.0005]
+    assert rows["1"].sales == 10**15 and float(rows["1"].profit) == 0.00004 and rows["1"].is_profitable == 1
+    assert {rows[key].order_date for key in "123"} == {dt.date(2016, 11, 8)}
+
+
+def test_numbers_that_do_not_fit_are_errors(spark, write):
+    folder = write("a.csv", [raw_row(1, sales="1e40")])
+    with pytest.raises(Exception, match="does not fit"):
+        clean.clean(files.read_csv(spark, folder)).collect()
+
+
+def test_columns_may_be_more_or_fewer(spark, write):
+    folder = write("a.csv", [raw_row(1), raw_row(10, sales="7"), raw_row(9, sales="8"), raw_row(11, order="O2")])
+    raw = files.read_csv(spark, folder).withColumn("Country", F.lit("Austria"))
+    rows = clean.clean(raw.filter("`Row ID` > 1").drop("Ship Date")).orderBy("row_id").collect()
+    assert [(r.row_id, float(r.sales), r.country, r.ship_date) for r in rows] == [
+        ("11", 100.5, "Austria", None), ("9", 8.0, "Austria", None),
+    ]
+    rows = clean.clean(raw.drop("Row ID")).collect()
+    assert sorted(r.row_id for r in rows) == ["O1-P1", "O2-P1"]
+
+
 def test_each_file_gets_its_encoding(spark, write):
     write("a.csv", [raw_row(1, name="José")], "utf-8")
     folder = write("b.csv", [raw_row(2, order="O2", name="José")], "latin-1")

@@ -14,6 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from marginalia import storage  # noqa: E402
 from marginalia.plans.catalog import QUERIES  # noqa: E402
 from marginalia.session import build_session  # noqa: E402
 from marginalia.sources.retail import retail_lines  # noqa: E402
@@ -54,6 +55,7 @@ def main() -> None:
             }
         )
     )
+    storage.release(spark)
     spark.stop()
 
 

@@ -122,10 +122,17 @@ def on_scored(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order lines written in the raw file's shape and read back as text."""
+    """The order lines written in the raw file's shape and read back as text.
+
+    Some parts are written in Latin-1 with a name that UTF-8 would not read.
+    """
     path = storage.new_path(spark, "raw-csv")
-    files.export_raw_csv(retail_lines(spark, sf_dir), path)
-    return files.read_csv(spark, path)
+    lines = retail_lines(spark, sf_dir)
+    old = F.col("order_id") % 9 == 0
+    files.export_raw_csv(lines.where(~old), f"{path}/utf8")
+    accented = lines.where(old).withColumn("customer_name", F.concat("customer_name", F.lit("é")))
+    files.export_raw_csv(accented, f"{path}/latin1", encoding="ISO-8859-1")
+    return files.read_csv(spark, f"{path}/*")
 
 
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,6 +226,7 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = [
         clean.validate(retail_lines(spark, sf_dir), clean.CLEAN_RULES),
         clean.check_unique(fact, ["order_id", "product_id"], "fact_line_unique"),
+        clean.check_unique(fact, ["row_id"], "row_id_unique"),
         clean.check_unique(tables["dim_customer"], ["customer_id"], "customer_id_unique"),
         clean.check_unique(tables["dim_product"], ["product_id"], "product_id_unique"),
         clean.check_reference(fact, tables["dim_customer"], "customer_id", "fact_customer_known"),

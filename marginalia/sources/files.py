@@ -5,29 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginalia import storage
+
 CSV_OPTIONS = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
 
 
-def files_not_utf8(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the files that hold bytes UTF-8 cannot decode: at most one entry per file."""
+def files_not_utf8(spark: SparkSession, path: str) -> DataFrame:
+    """Paths (``file``) of the files that hold bytes UTF-8 cannot decode, as a staged table."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
     bad = lines.where(~F.is_valid_utf8("value")).select("file").distinct()
-    return [row.file for row in bad.collect()]
+    return storage.stage(bad, "not-utf8")
 
 
 def read_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """All-text CSV scan. Each file is read as UTF-8 if it is valid UTF-8, else as Latin-1.
 
-    Spark replaces undecodable bytes without complaint, so the encoding is settled first.
+    Spark replaces undecodable bytes without complaint, so the encoding is settled first. The
+    paths stay in a table: both readings are joined with it, and none is kept on the driver.
     """
     options = {**CSV_OPTIONS, **options}
     bad = files_not_utf8(spark, path)
     utf8 = spark.read.options(**options).csv(path)
-    if not bad:
+    if bad.isEmpty():
         return utf8
-    utf8 = utf8.where(~F.col("_metadata.file_path").isin(bad))
-    latin = spark.read.options(**options, encoding="ISO-8859-1").csv(bad)
-    return utf8.unionByName(latin, allowMissingColumns=True)
+
+    def rows(df: DataFrame, how: str) -> DataFrame:
+        named = df.withColumn("_file", F.col("_metadata.file_path"))
+        return named.join(bad.withColumnRenamed("file", "_file"), "_file", how).drop("_file")
+
+    latin = spark.read.options(**options, encoding="ISO-8859-1").csv(path)
+    return rows(utf8, "left_anti").unionByName(rows(latin, "left_semi"), allowMissingColumns=True)
 
 
 def read_typed_csv(
@@ -37,9 +44,10 @@ def read_typed_csv(
     return spark.read.options(**CSV_OPTIONS, dateFormat=date_format).schema(schema).csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """CSV sink with a header in every part file."""
-    df.write.mode("overwrite").options(header="true", escape='"', dateFormat="yyyy-MM-dd").csv(path)
+    options = {"header": "true", "escape": '"', "dateFormat": "yyyy-MM-dd", "encoding": encoding}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -63,7 +71,7 @@ RAW_HEADERS = {
 }
 
 
-def export_raw_csv(lines: DataFrame, path: str) -> None:
+def export_raw_csv(lines: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """Order lines in the shape of the raw file: raw headers, month-first dates, text."""
     columns = []
     for name, header in RAW_HEADERS.items():
@@ -71,4 +79,4 @@ def export_raw_csv(lines: DataFrame, path: str) -> None:
         if name in ("order_date", "ship_date"):
             value = F.date_format(value, "M/d/yyyy")
         columns.append(value.cast("string").alias(header))
-    write_csv(lines.select(*columns), path)
+    write_csv(lines.select(*columns), path, encoding)

@@ -23,7 +23,7 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = context.applicationId
     if app not in _local_roots:
@@ -47,3 +47,13 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
         writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table this application has staged, for when it ends.
+
+    Only the application's own folder goes; frames that read from it cannot be used any more.
+    """
+    folder = f"{shared_root(spark)}/marginalia/{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

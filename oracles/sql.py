@@ -376,7 +376,11 @@ def core_sql(keys: str) -> str:
 ORACLES: dict[str, str] = {
     # Raw text may hold fractions, so quantities of raw lines are not integers.
     "csv_ingest": over_lines(
-        "SELECT " + LINE_COLUMNS.replace("CAST(quantity AS BIGINT)", "CAST(quantity AS DOUBLE)") + " FROM lines"
+        "SELECT "
+        + LINE_COLUMNS.replace("CAST(quantity AS BIGINT)", "CAST(quantity AS DOUBLE)").replace(
+            "customer_name", "CASE WHEN order_id % 9 = 0 THEN customer_name || 'é' ELSE customer_name END AS customer_name"
+        )
+        + " FROM lines"
     ),
     "csv_roundtrip": over_lines(f"SELECT {FACT_MART_COLUMNS} FROM lines"),
     "clean_lines": over_lines(f"SELECT {LINE_COLUMNS} FROM lines"),
@@ -417,6 +421,7 @@ ORACLES: dict[str, str] = {
            UNION ALL SELECT 'discount_in_range', COUNT(*) FILTER (discount IS NULL OR discount < 0 OR discount > 1) FROM lines
            UNION ALL SELECT 'quantity_positive', COUNT(*) FILTER (quantity <= 0) FROM lines
            UNION ALL SELECT 'order_date_present', COUNT(*) FILTER (order_date IS NULL) FROM lines
+           UNION ALL SELECT 'row_id_unique', COUNT(*) FROM (SELECT 1 FROM lines GROUP BY row_id HAVING COUNT(*) > 1)
            UNION ALL SELECT 'fact_line_unique', COUNT(*) FROM (SELECT 1 FROM lines GROUP BY order_id, product_id HAVING COUNT(*) > 1)
            UNION ALL SELECT 'customer_id_unique', COUNT(*) FROM (SELECT c_custkey FROM customer GROUP BY 1 HAVING COUNT(*) > 1)
            UNION ALL SELECT 'product_id_unique', COUNT(*) FROM (SELECT p_partkey FROM part GROUP BY 1 HAVING COUNT(*) > 1)

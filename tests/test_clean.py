@@ -88,7 +88,7 @@ def test_columns_may_be_more_or_fewer(spark, write):
 def test_each_file_gets_its_encoding(spark, write):
     write("a.csv", [raw_row(1, name="José")], "utf-8")
     folder = write("b.csv", [raw_row(2, order="O2", name="José")], "latin-1")
-    assert len(files.files_not_utf8(spark, folder)) == 1
+    assert files.files_not_utf8(spark, folder).count() == 1
     names = [r[0] for r in files.read_csv(spark, folder).select("Customer Name").collect()]
     assert names == ["José", "José"]
 

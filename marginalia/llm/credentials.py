@@ -4,15 +4,17 @@ Base spans, leftmost and non-overlapping per kind, are ``assign`` (a named value
 (access keys) and ``hex`` (long hexadecimal runs); offsets are code points, the end exclusive.
 Their strings are labelled credentials. Per kind, a prefix tree of a sample of them is turned into
 a probabilistic automaton: states whose end and next-symbol frequencies the Hoeffding bound cannot
-tell apart are merged, from the root outwards. Every other run of credential characters with a
-digit is a candidate; it becomes a ``format`` span if some automaton finds it as likely, per
-symbol, as all but the least likely ``OUTLIERS`` of its labelled strings, and clearly likelier than
-the symbols of all candidates in the corpus make it. Candidates that touch a base span are
-covered already.
+tell apart are merged, from the root outwards. Every other run of credential characters is a
+candidate, and so is what a base span leaves of a run on either side, without the glue characters
+next to the span. A candidate has at least as many characters as the shortest labelled string or
+``RUN_LEAST``, whichever is less. It becomes a ``format`` span if some automaton finds it as likely,
+per symbol, as all but the least likely ``OUTLIERS`` of its labelled strings, and clearly likelier
+than the neighbouring symbols of all candidates of ``ASSIGN_LEAST`` characters in the corpus make it:
+ordinary words and numbers are rejected by that margin, not by a filter.
 
 The automata are fitted on at most ``SAMPLE`` different strings per kind, those with the least
-hash; base spans, symbol counts and scores cover all texts. Texts are scanned where they lie;
-only found strings are shuffled, summed in the map tasks first.
+hash; base spans, symbol counts and scores cover all texts. Texts are scanned where they lie; only
+labelled strings and counts of symbol pairs are shuffled, summed in the map tasks first.
 
 Defined cases: null and empty texts have no span; equal rows give equal rows; a corpus without
 labelled strings has no ``format`` span; null ids are kept; other columns are ignored by
@@ -46,14 +48,15 @@ KINDS = ("assign", "access", "hex", "format")
 NAMED = ("passw", "secret", "token", "api")
 
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")
-DIGIT = re.compile(r"[0-9]")
+GLUE = "+/_.=-"
 RUN_LEAST = 12
+# Different strings whose decisions a task remembers.
+REMEMBERED = 200_000
 SAMPLE, ALPHA, CERTAIN = 1000, 0.05, 10
 OUTLIERS, MARGIN = 0.05, 0.35
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 
 _HEX_BYTE = np.isin(np.arange(256), list(b"0123456789abcdef"))
-_DIGIT_BYTE = np.isin(np.arange(256), list(b"0123456789"))
 
 
 def base_spans(text: str, may_hold_hex: bool = True) -> list[tuple[str, int, int, str]]:
@@ -75,21 +78,41 @@ def base_spans(text: str, may_hold_hex: bool = True) -> list[tuple[str, int, int
     return sorted(found, key=lambda span: (span[1], KINDS.index(span[0])))
 
 
-def candidates(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[int, int]]:
-    """Runs of credential characters with a digit that touch no base span."""
-    out, at = [], 0
-    while hit := DIGIT.search(text, at):
-        start = hit.start()
-        while start > 0 and RUN.match(text, start - 1, start):
-            start -= 1
-        at = RUN.match(text, start).end()
-        if at - start >= RUN_LEAST and not any(low < at and start < high for _, low, high, _ in base):
-            out.append((start, at))
-    return out
+def candidates(text: str, base: list[tuple[str, int, int, str]], least: int = RUN_LEAST) -> list[tuple[int, int]]:
+    """Runs of ``least`` or more credential characters, and such parts of runs beside base spans."""
+    out, ahead, high = [], 0, 0
+    for run in RUN.finditer(text):
+        start, stop = run.span()
+        if stop - start < least:
+            continue
+        # Spans are sorted by start; ``high`` is the furthest end of those before the run.
+        while ahead < len(base) and base[ahead][1] < start:
+            high = max(high, base[ahead][2])
+            ahead += 1
+        at, cut, place = start, high > start, ahead
+        if cut:
+            at = min(high, stop)
+        while place < len(base) and base[place][1] < stop:
+            low, end = base[place][1:3]
+            if low > at:
+                out.append(_trimmed(text, at, low, cut, True))
+            at, cut, place = max(at, min(end, stop)), True, place + 1
+        if at < stop:
+            out.append(_trimmed(text, at, stop, cut, False))
+    return [(low, end) for low, end in out if end - low >= least]
+
+
+def _trimmed(text: str, low: int, high: int, left: bool, right: bool) -> tuple[int, int]:
+    """The part without glue characters on the sides where a base span is."""
+    if right:
+        high = low + len(text[low:high].rstrip(GLUE))
+    if left:
+        low = high - len(text[low:high].lstrip(GLUE))
+    return low, high
 
 
 def _rows(column: pa.Array):
-    """(text, may it hold a long hexadecimal run, has it a digit) of each row."""
+    """(text, may it hold a long hexadecimal run) of each row."""
     raw, offsets = flat(column)
     count = len(column)
     # Places that end a run: other bytes, and row bounds.
@@ -100,9 +123,10 @@ def _rows(column: pa.Array):
     long_runs = stops[:-1][np.diff(stops) >= HEX_LEAST]
     has_hex = np.zeros(count, bool)
     has_hex[np.clip(np.searchsorted(offsets, long_runs, side="right") - 1, 0, max(count - 1, 0))] = True
-    digits = np.zeros(count, bool)
-    digits[np.searchsorted(offsets, np.flatnonzero(_DIGIT_BYTE[raw]), side="right") - 1] = True
-    return zip(strings(column), has_hex.tolist(), digits.tolist(), strict=True)
+    return zip(strings(column), has_hex.tolist(), strict=True)
+
+
+SYMBOLS = [chr(code) for code in range(128) if RUN.match(chr(code))]
 
 
 class Automaton:
@@ -128,6 +152,14 @@ class Automaton:
         self._merge_states()
         alphabet = {symbol for arcs in self.next for symbol in arcs}
         self.size = len(alphabet) + 1
+        shares = [self.visits[state] + 0.1 * self.size + 1 for state in range(len(self.visits))]
+        best = {symbol: 0.1 / min(shares) for symbol in SYMBOLS}
+        for share, arcs in zip(shares, self.taken, strict=True):
+            for symbol, times in arcs.items():
+                best[symbol] = max(best[symbol], (times + 0.1) / share)
+        # No string scores higher than its symbols do in the states that suit them best.
+        self.best = {symbol: math.log(value) for symbol, value in best.items()}
+        self.best_end = math.log(max((ends + 0.1) / share for ends, share in zip(self.ends, shares, strict=True)))
         self.least = 0.0
         likely = sorted(self.score(sample) for sample in samples)
         if likely:
@@ -202,68 +234,108 @@ class Automaton:
 
 
 class Formats:
-    """The automata and the symbol shares of all candidates."""
+    """The automata, the least length, and the shares of symbol pairs in all candidates."""
 
-    def __init__(self, labelled: dict[str, list[str]], symbols: dict[str, int]):
+    def __init__(self, labelled: dict[str, list[str]], pairs: dict[tuple[str, str], int], least: int = RUN_LEAST):
+        self.least = min(least, RUN_LEAST)
         self.automata = [Automaton(sorted(samples)) for _, samples in sorted(labelled.items()) if samples]
-        total = sum(symbols.values())
-        self.background = {s: math.log((n + 1) / (total + 65)) for s, n in symbols.items()}
-        self.unseen = math.log(1 / (total + 65))
+        # A space is before the first and after the last symbol.
+        befores, symbols = Counter(), Counter()
+        for (before, symbol), n in pairs.items():
+            befores[before] += n
+            symbols[symbol] += n
+        total, kinds = sum(symbols.values()), len(SYMBOLS) + 1
+        self.pairs = {
+            (before, symbol): math.log(
+                (pairs.get((before, symbol), 0) + kinds * (symbols[symbol] + 1) / (total + kinds)) / (befores[before] + kinds)
+            )
+            for before in [" ", *SYMBOLS]
+            for symbol in [" ", *SYMBOLS]
+        }
+        self.known: dict[str, bool] = {}
+
+    def plain(self, text: str) -> float:
+        """Mean natural log probability per symbol, the end included, in candidates of the corpus."""
+        return sum(map(self.pairs.__getitem__, zip(" " + text, text + " ", strict=True))) / (len(text) + 1)
 
     def accepts(self, text: str) -> bool:
-        plain = sum(self.background.get(symbol, self.unseen) for symbol in text) / (len(text) + 1)
-        return any(
-            score >= automaton.least and score - plain >= MARGIN
-            for automaton in self.automata
-            for score in (automaton.score(text),)
-        )
-
-    def spans(self, text: str, may_hold_hex: bool = True, has_digit: bool = True) -> list[tuple[str, int, int]]:
+        known = self.known.get(text)
+        if known is None:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            known = self.known[text] = self._likely(text)
+        return known
+
+    def _likely(self, text: str) -> bool:
+        bar = self.plain(text) + MARGIN
+        for automaton in self.automata:
+            needed = max(bar, automaton.least)
+            best = sum(map(automaton.best.__getitem__, text)) + automaton.best_end
+            if best / (len(text) + 1) >= needed - 1e-9 and automaton.score(text) >= needed:
+                return True
+        return False
+
+    def spans(self, text: str, may_hold_hex: bool = True) -> list[tuple[str, int, int]]:
         base = base_spans(text, may_hold_hex)
         spans = [span[:3] for span in base]
-        if has_digit and self.automata:
-            spans += [("format", low, high) for low, high in candidates(text, base) if self.accepts(text[low:high])]
+        if self.automata:
+            parts = candidates(text, base, self.least)
+            spans += [("format", low, high) for low, high in parts if self.accepts(text[low:high])]
             spans.sort(key=lambda span: (span[1], KINDS.index(span[0])))
         return spans
 
 
+def _pair_counts(found: list[str]) -> np.ndarray:
+    """How often one byte follows another (128 x 128) in ``found``, with spaces around each."""
+    raw = np.frombuffer((" " + " ".join(found) + " ").encode(), np.uint8).astype(np.int64)
+    return np.bincount(raw[:-1] * 128 + raw[1:], minlength=1 << 14)
+
+
 def _found(docs: DataFrame, text_col: str) -> DataFrame:
-    """(``kind``, ``string``, ``n``): credentials of the base kinds and other candidates."""
+    """(``kind``, ``string``, ``n``): credentials of the base kinds, and symbol pairs of candidates."""
     source = docs.select(F.col(text_col).cast("string").alias("text"))
 
     def scan(batches):
+        pairs = np.zeros(1 << 14, np.int64)
         for batch in batches:
             for part in steps(batch, "text"):
                 counts: Counter = Counter()
-                for text, has_hex, has_digit in _rows(part.column("text")):
+                others = []
+                for text, has_hex in _rows(part.column("text")):
                     base = base_spans(text, has_hex)
                     counts.update((kind, string) for kind, _, _, string in base)
-                    if has_digit:
-                        counts.update(("other", text[low:high]) for low, high in candidates(text, base))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([kind for kind, _ in counts], pa.string()),
-                        pa.array([string for _, string in counts], pa.string()),
-                        pa.array(list(counts.values()), pa.int64()),
-                    ],
-                    ["kind", "string", "n"],
-                )
+                    others += [text[low:high] for low, high in candidates(text, base, ASSIGN_LEAST)]
+                if others:
+                    pairs += _pair_counts(others)
+                yield rows_of(counts)
+        used = np.flatnonzero(pairs).tolist()
+        yield rows_of({("pair", chr(code >> 7) + chr(code & 127)): int(pairs[code]) for code in used})
+
+    def rows_of(counts):
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([kind for kind, _ in counts], pa.string()),
+                pa.array([string for _, string in counts], pa.string()),
+                pa.array(list(counts.values()), pa.int64()),
+            ],
+            ["kind", "string", "n"],
+        )
 
     rows = source.mapInArrow(scan, "kind string, string string, n long")
     return rows.groupBy("kind", "string").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Formats:
-    """Automata from at most ``sample`` labelled strings per kind; symbol counts from all texts."""
+    """Automata from at most ``sample`` labelled strings per kind; lengths and pair counts from all texts."""
     found = stage(_found(docs, text_col), "credentials")
     labelled = {}
     for kind in KINDS[:3]:
         rows = found.filter(F.col("kind") == kind).orderBy(F.xxhash64("string"), "string").limit(sample)
         labelled[kind] = [row.string for row in rows.select("string").collect()]
-    letters = found.filter("kind = 'other'").select(F.explode(F.split("string", "")).alias("symbol"), "n")
-    symbols = letters.filter("symbol <> ''").groupBy("symbol").agg(F.sum("n").alias("n"))
-    # Candidates have 67 different symbols at most.
-    return Formats(labelled, {row.symbol: row.n for row in symbols.collect()})
+    # Symbols are 67 and the space, so pairs are 4,624 at most.
+    pairs = {(row.string[0], row.string[1]): row.n for row in found.filter("kind = 'pair'").collect()}
+    least = found.filter("kind <> 'pair'").agg(F.min(F.length("string"))).first()[0]
+    return Formats(labelled, pairs, least or RUN_LEAST)
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", formats: Formats | None = None) -> DataFrame:
@@ -304,7 +376,7 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", form
         for batch in batches:
             for part in steps(batch, text_col):
                 column = part.column(text_col)
-                found = [(text, shared.value.spans(text, a, b)) for text, a, b in _rows(column)]
+                found = [(text, shared.value.spans(text, has_hex)) for text, has_hex in _rows(column)]
                 texts = [covered(text, spans, mask) if spans else None for text, spans in found]
                 masked = pa.array(texts, pa.string()).cast(column.type)
                 place = part.schema.get_field_index(text_col)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -88,3 +89,30 @@ def test_redaction_keeps_rows_and_columns(spark):
     assert out.columns == docs.columns and out.count() == docs.count()
     texts = {row.doc_id: row.text for row in out.collect()}
     assert texts[9001] is None and texts[9002] == "" and texts[2] == "ä [SECRET] tail [SECRET]"
+
+
+def test_short_and_letter_only_formats_and_rests_of_runs(spark):
+    rng = random.Random(3)
+    letters = "bcdfghjkmnpqrstvwxzBCDFGHJKMNPQRSTVWXZ"
+    code = lambda size: "".join(rng.choice(letters) for _ in range(size))
+    rows = [(i, f"password={code(6 + i % 12)} end") for i in range(600)]
+    words = ["ordinary", "language", "sentence", "together", "document", "2024-10-11", "5550123456"]
+    rows += [(1000 + i, " ".join(rng.choice(words) for _ in range(30))) for i in range(300)]
+    short, rest = code(8), code(10)
+    access = "AKIA" + "B2" * 8
+    rows += [(5000, f"see {short} there"), (5001, f"see {access}/{rest} there")]
+    rows += [(5002, f"see {rest}." + "0a" * 12)]
+    found = credentials.find(documents(spark, rows)).collect()
+    spans = {row.doc_id: [tuple(span) for span in row.spans] for row in found}
+    rest_span = ("format", 5 + len(access), 15 + len(access))
+    assert spans[5000] == [("format", 4, 12)]
+    assert rest_span in spans[5001]
+    assert ("format", 4, 14) in spans[5002]
+    assert not any(spans[1000 + i] for i in range(300))
+
+
+def test_parts_of_runs_beside_spans():
+    text = "x AKIA" + "B2" * 8 + "/one-piece_ password=abcdefg"
+    base = credentials.base_spans(text)
+    assert [text[a:b] for a, b in credentials.candidates(text, base, 6)] == ["one-piece_"]
+    assert credentials.candidates("left." + "f" * 24 + ".right", [("hex", 5, 29, "f" * 24)], 4) == [(0, 4), (30, 35)]

@@ -316,5 +316,5 @@ def churn_estimator(rounds: int = 200, rate: float = 0.05, depth: int = 6) -> GB
     )
 
 
-def returns_estimator(trees: int = 100, depth: int = 12) -> RandomForestClassifier:
+def returns_estimator(trees: int = 100, depth: int = 30) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol="returned", numTrees=trees, maxDepth=depth, seed=42)

@@ -104,3 +104,8 @@ def test_demand_with_a_yearly_rhythm_is_predicted(spark):
     )
     row = evaluate.regression_metrics(models.fit_demand(lines, rounds=40).scored).first()
     assert row.n > 30 and row.r2 > 0.5
+
+
+def test_returns_forest_in_cross_validation_has_the_full_depth(spark):
+    # The reference sets no depth; 30 is the most that Spark ML allows.
+    assert models.returns_estimator().getMaxDepth() == 30

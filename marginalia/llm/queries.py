@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import bpe, chat, credentials, decontaminate, fingerprints, sharding, simhash, suffix_tree, toxicity, warc
+from marginalia.llm import bpe, chat, credentials, decontaminate, fingerprints, pages, sharding, simhash, spelling, suffix_tree, toxicity, warc
 from marginalia.storage import new_path, stage
 
 # The tokenizer file of op7, installed on every machine.
@@ -141,6 +141,16 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_columns(credentials.find(table(spark, sf_dir, "documents")))
 
 
+def op11_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of the corpus with its near words, form and root."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -154,5 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_chat,
         op10_secrets,
+        op11_html,
+        op13_spelling,
     )
 }

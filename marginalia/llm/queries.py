@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import bpe, chat, credentials, decontaminate, fingerprints, pages, sharding, simhash, spelling, suffix_tree, toxicity, warc
+from marginalia.llm import alignment, bpe, chat, credentials, decontaminate, fingerprints, pages, sharding, simhash, spelling, suffix_tree, toxicity, warc
 from marginalia.storage import new_path, stage
 
-# The tokenizer file of op7, installed on every machine.
+# The tokenizer files of op7 and op12, installed on every machine.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 SHARDS = 16
 
@@ -146,6 +147,11 @@ def op11_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of both tokenizers on every document, with counts over all documents."""
+    return alignment.compare(table(spark, sf_dir, "documents"), VOCABULARY, PIECES)
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every frequent word of the corpus with its near words, form and root."""
     return spelling.variants(table(spark, sf_dir, "documents"))
@@ -165,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat,
         op10_secrets,
         op11_html,
+        op12_alignment,
         op13_spelling,
     )
 }

@@ -49,11 +49,26 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a staged ``table`` whose last reader has written its result.
+
+    Only folders that ``stage`` made are deleted, and frames that read from it cannot be used any
+    more. A table without files is left for ``release``.
+    """
+    spark = table.sparkSession
+    home = f"/marginalia/{spark.sparkContext.applicationId}/"
+    for folder in {file.split(home, 1)[1].split("/", 1)[0] for file in table.inputFiles() if home in file}:
+        _delete(spark, f"{shared_root(spark)}{home}{folder}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table this application has staged, for when it ends.
 
     Only the application's own folder goes; frames that read from it cannot be used any more.
     """
-    folder = f"{shared_root(spark)}/marginalia/{spark.sparkContext.applicationId}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_root(spark)}/marginalia/{spark.sparkContext.applicationId}")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.components import components
-from marginalia.llm.text import steps
+from marginalia.llm.text import steps, unused_name
 from marginalia.storage import stage
 
 WIDTH, BITS, SEED = 3, 2, 42
@@ -302,7 +302,7 @@ def deduplicate(
     Rows are told apart by their place, so ``docs`` has to be a table that is read in the same
     order each time, such as files.
     """
-    place = "__place"
+    place = unused_name("place", docs.columns)
     numbered = docs.withColumn(place, F.monotonically_increasing_id())
     marked = stage(fingerprints(numbered, place, text_col, width).withColumnRenamed("doc_id", place), "fingerprints")
     ids = numbered.select(place, F.col(id_col).cast("long").alias("id"))

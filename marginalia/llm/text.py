@@ -42,6 +42,14 @@ def strings(column: pa.Array) -> list[str]:
     return [value or "" for value in column.to_pylist()]
 
 
+def unused_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores behind it until no column (in any case) has it."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes so that every bit depends on all input bits."""
     values = (values ^ (values >> np.uint64(30))) * MIX_A

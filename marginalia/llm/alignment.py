@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import os
 from array import array
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,9 @@ from marginalia.storage import stage
 # Pairs whose counts every executor holds, of 24 bytes each.
 HOT_PAIRS = 1 << 20
 # Windows a task remembers.
-MEMORY = 1 << 18
+MEMORY = 1 << 19
+# What tells ids of the second kind in a window's tuple.
+SECOND = 1 << 24
 # An id pair is one number: the first id above this many bits, the second below.
 ID_BITS = 31
 
@@ -44,24 +46,6 @@ COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pair
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
 
 
-def align(a: list[int], b: list[int], a_size, b_size) -> tuple[str, int, list[int]]:
-    """Groups (written ``a1,a2|b1;...``), their number and the overlapping pairs of one window.
-
-    ``a`` and ``b`` spell the same bytes; the sizes are bytes per id.
-    """
-    a_ends, b_ends = list(accumulate(a_size[i] for i in a)), list(accumulate(b_size[i] for i in b))
-    groups, pairs, i, j, a_from, b_from = [], [], 0, 0, 0, 0
-    while i < len(a):
-        pairs.append(a[i] << ID_BITS | b[j])
-        left, right = a_ends[i], b_ends[j]
-        i += left <= right
-        j += right <= left
-        if left == right:
-            groups.append(f"{','.join(map(str, a[a_from:i]))}|{','.join(map(str, b[b_from:j]))}")
-            a_from, b_from = i, j
-    return ";".join(groups), len(groups), pairs
-
-
 class Aligner:
     """Both tokenizers and the remembered windows of one worker."""
 
@@ -90,11 +74,17 @@ class Aligner:
         self.a_space, self.b_space = (
             np.array([item.startswith(b" ") for item in items]) for items in (self.a_bytes, self.b_bytes)
         )
+        # Ids as written inside a group and at its end.
+        self.a_text, self.b_text = (
+            np.array([[f"{i}{mark}" for i in range(len(items))] for mark in marks], object)
+            for items, marks in ((self.a_bytes, ",|"), (self.b_bytes, ",;"))
+        )
         self.memory = memory
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[tuple[bytes, bytes], int] = {}
+        """Empty the memory: numbers of windows by their ids, written groups, sizes and pairs."""
+        self.known: dict[bytes, int] = {}
         self.groups: list[str] = []
         self.n_groups, self.pairs, self.starts = array("q"), array("q"), array("q", [0])
 
@@ -126,18 +116,45 @@ class Aligner:
         zero = np.zeros(1, np.int64)
         return np.concatenate([zero, a_next[cut]]), np.concatenate([zero, b_next[cut]])
 
-    def number(self, key: tuple[bytes, bytes]) -> int:
-        """The number of a window, aligned when it is met for the first time."""
-        found = self.known.get(key)
-        if found is None:
-            found = self.known[key] = len(self.groups)
-            a, b = (np.frombuffer(part, np.int32).tolist() for part in key)
-            text, count, pairs = align(a, b, self.a_size, self.b_size)
-            self.groups.append(text)
-            self.n_groups.append(count)
-            self.pairs.extend(pairs)
-            self.starts.append(len(self.pairs))
-        return found
+    def align(self, a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray):
+        """Groups, numbers of groups and overlapping pairs, with their offsets, of windows that
+        lie one after another; both sides of each spell the same bytes.
+
+        A byte end of either kind closes exactly one overlap of two tokens; an end of both closes a
+        group.
+        """
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        ends = np.union1d(a_ends, b_ends)
+        a_of, b_of = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        pairs = a[a_of].astype(np.int64) << ID_BITS | b[b_of]
+        shared = (a_ends[a_of] == ends) & (b_ends[b_of] == ends)
+        closed = ends[shared]
+        limits = a_ends[a_cuts[1:] - 1]
+        n_groups = np.diff(np.searchsorted(closed, limits, side="right"), prepend=0)
+        starts = np.searchsorted(ends, limits, side="right")
+        # A group is written as its first ids and then its second ids, each with what follows it.
+        a_group, b_group = np.searchsorted(closed, a_ends), np.searchsorted(closed, b_ends)
+        a_last, b_last = np.diff(a_group, append=-1) != 0, np.diff(b_group, append=-1) != 0
+        texts = np.empty(len(a) + len(b), object)
+        texts[np.arange(len(a)) + np.searchsorted(b_group, a_group)] = self.a_text[a_last.astype(np.int64), a]
+        texts[np.arange(len(b)) + np.searchsorted(a_group, b_group, side="right")] = self.b_text[b_last.astype(np.int64), b]
+        listed, bounds = texts.tolist(), (a_cuts + b_cuts).tolist()
+        groups = ["".join(listed[low:high]) for low, high in zip(bounds[:-1], bounds[1:], strict=True)]
+        return groups, n_groups, pairs, starts
+
+    def learn(self, keys: list[bytes]) -> None:
+        """Align windows that are met for the first time, all at once, and remember them."""
+        ids = np.frombuffer(b"".join(keys), np.int32)
+        ends = np.cumsum([len(key) // 4 for key in keys])
+        second = ids >= SECOND
+        b_cuts = np.concatenate([np.zeros(1, np.int64), np.cumsum(second)[ends - 1]])
+        a_cuts = np.concatenate([np.zeros(1, np.int64), ends]) - b_cuts
+        groups, n_groups, pairs, starts = self.align(ids[~second], ids[second] - SECOND, a_cuts, b_cuts)
+        self.known.update(zip(keys, range(len(self.groups), len(self.groups) + len(keys)), strict=True))
+        self.groups += groups
+        self.n_groups.frombytes(n_groups.astype(np.int64).tobytes())
+        self.starts.frombytes((starts + len(self.pairs)).astype(np.int64).tobytes())
+        self.pairs.frombytes(pairs.tobytes())
 
     def align_texts(self, texts: list[str]):
         """Per text: numbers of tokens, groups and links, the written groups; and per text its
@@ -147,18 +164,20 @@ class Aligner:
         every_a, every_b = self.tokens(texts)
         n_a, n_b = (np.array([len(ids) for ids in every], np.int64) for every in (every_a, every_b))
         a_rows, b_rows = (np.concatenate([[0], np.cumsum(sizes)]) for sizes in (n_a, n_b))
-        a, b = (np.fromiter((i for ids in every for i in ids), np.int32, sizes.sum()) for every, sizes in ((every_a, n_a), (every_b, n_b)))
-        a_cuts, b_cuts = self.windows(a, b, a_rows, b_rows)
-        a_raw, b_raw = a.tobytes(), b.tobytes()
-        a_bounds, b_bounds = (4 * a_cuts).tolist(), (4 * b_cuts).tolist()
-        number = self.number
-        numbers = np.array(
-            [
-                number((a_raw[low:high], b_raw[from_:to]))
-                for low, high, from_, to in zip(a_bounds[:-1], a_bounds[1:], b_bounds[:-1], b_bounds[1:], strict=True)
-            ],
-            np.int64,
+        a, b = (
+            np.fromiter(chain.from_iterable(every), np.int32, sizes.sum()) for every, sizes in ((every_a, n_a), (every_b, n_b))
         )
+        a_cuts, b_cuts = self.windows(a, b, a_rows, b_rows)
+        # The ids of a window, first kind and then second, lie side by side: its key is one slice.
+        ids = np.empty(len(a) + len(b), np.int32)
+        ids[np.arange(len(a)) + np.repeat(b_cuts[:-1], np.diff(a_cuts))] = a
+        ids[np.arange(len(b)) + np.repeat(a_cuts[1:], np.diff(b_cuts))] = b + SECOND
+        raw, bounds = ids.tobytes(), (4 * (a_cuts + b_cuts)).tolist()
+        keys = [raw[low:high] for low, high in zip(bounds[:-1], bounds[1:], strict=True)]
+        fresh = [key for key in dict.fromkeys(keys) if key not in self.known]
+        if fresh:
+            self.learn(fresh)
+        numbers = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
         owners = np.searchsorted(a_rows, a_cuts[:-1], side="right") - 1
         starts, pairs = np.frombuffer(self.starts, np.int64), np.frombuffer(self.pairs, np.int64)
         sizes = starts[1:] - starts[:-1]
@@ -167,14 +186,15 @@ class Aligner:
         bounds = np.searchsorted(owners, np.arange(len(texts) + 1)).tolist()
         listed = numbers.tolist()
         look = self.groups.__getitem__
-        written = [";".join(map(look, listed[low:high])) for low, high in zip(bounds[:-1], bounds[1:], strict=True)]
+        written = ["".join(map(look, listed[low:high]))[:-1] for low, high in zip(bounds[:-1], bounds[1:], strict=True)]
         # A text's windows are made distinct before their pairs are.
         windows, often = np.unique(owners * len(self.groups) + numbers, return_counts=True)
         rows, windows = np.divmod(windows, max(len(self.groups), 1))
         lengths = sizes[windows]
         places = np.repeat(starts[windows] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
         rows, held, often = np.repeat(rows, lengths), pairs[places], np.repeat(often, lengths)
-        order = np.lexsort((held, rows))
+        # Rows fit above a pair's 47 bits unless a batch has many thousands of them.
+        order = np.argsort(rows << 47 | held, kind="stable") if len(texts) < 1 << 16 else np.lexsort((held, rows))
         rows, held, often = rows[order], held[order], often[order]
         first = np.ones(len(rows), bool)
         first[1:] = (rows[1:] != rows[:-1]) | (held[1:] != held[:-1])

@@ -20,6 +20,7 @@ from marginalia import storage
 from marginalia.functions.columns import ratio
 from marginalia.operators import clean, features
 from marginalia.operators.aggregates import CHURN_FEATURES
+from marginalia.operators.forest import Forest, held_out_scores
 from marginalia.operators.windows import running_totals
 
 # Names of the clusters by falling mean monetary value.
@@ -242,16 +243,18 @@ def cross_validate(
     names: list[str],
     keys: list[str],
     label: str,
-    estimator: Estimator,
+    estimator: Estimator | Forest,
     folds: int = 5,
     balanced: bool = False,
 ) -> DataFrame:
     """Stratified cross-validation: mean and deviation over folds of AUC, F1, precision, recall.
 
-    The folds are fitted side by side, as a fit is a chain of small jobs; their held-out scores
-    are then measured together.
+    A ``Forest`` grows the trees of all folds from one binned table. Folds of an estimator are
+    fitted side by side, as a fit is a chain of small jobs. Held-out scores are measured together.
     """
     numbered = storage.stage(features.stratified_folds(rows, keys, label, folds), "folds")
+    if isinstance(estimator, Forest):
+        return _over_folds(held_out_scores(numbered, names, keys, label, estimator, folds))
 
     def held_out(fold: int) -> DataFrame:
         train = numbered.where(F.col("fold") != fold)
@@ -271,8 +274,11 @@ def cross_validate(
     with ThreadPool(folds) as pool:
         session = inheritable_thread_target(rows.sparkSession)
         parts = pool.map(session(held_out), range(folds))
-    scores = reduce(DataFrame.unionByName, parts)
-    per_fold = fold_metrics(storage.stage(scores, "held-out"))
+    return _over_folds(storage.stage(reduce(DataFrame.unionByName, parts), "held-out"))
+
+
+def _over_folds(scores: DataFrame) -> DataFrame:
+    per_fold = fold_metrics(scores)
     metrics = ["auc", "f1", "precision", "recall"]
     summary = per_fold.agg(
         *[F.avg(m).alias(f"{m}_mean") for m in metrics],
@@ -316,5 +322,6 @@ def churn_estimator(rounds: int = 200, rate: float = 0.05, depth: int = 6) -> GB
     )
 
 
-def returns_estimator(trees: int = 100, depth: int = 30) -> RandomForestClassifier:
-    return RandomForestClassifier(labelCol="returned", numTrees=trees, maxDepth=depth, seed=42)
+def returns_estimator(trees: int = 100, depth: int | None = None) -> Forest:
+    """Trees of any depth, as the reference grows them, with balanced classes."""
+    return Forest(trees=trees, depth=depth)

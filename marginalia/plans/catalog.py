@@ -621,7 +621,6 @@ def cross_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
         models.LINE_KEY,
         "returned",
         models.returns_estimator(),
-        balanced=True,
     ).where(F.col("metric").isin("auc", "f1"))
     churn = churn.withColumn("model", F.lit("churn"))
     return tidy(churn.unionByName(returns.withColumn("model", F.lit("returns"))))

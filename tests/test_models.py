@@ -106,6 +106,6 @@ def test_demand_with_a_yearly_rhythm_is_predicted(spark):
     assert row.n > 30 and row.r2 > 0.5
 
 
-def test_returns_forest_in_cross_validation_has_the_full_depth(spark):
-    # The reference sets no depth; 30 is the most that Spark ML allows.
-    assert models.returns_estimator().getMaxDepth() == 30
+def test_returns_forest_in_cross_validation_has_no_depth():
+    # The reference sets none.
+    assert models.returns_estimator().depth is None

@@ -1,8 +1,11 @@
 """Similar customers and what to offer them.
 
 Neighbours are exact. Customers with the same purchases form one direction, so copies cost
-nothing; directions are grouped into cells around pivots, and the triangle inequality tells
-which cells can hold a nearer neighbour, so only those are searched.
+nothing. Directions lie in blocks of a fixed size, rings around pivots, and a few blocks of one
+pivot form an area whose neighbours one task searches. The work list is a table of ids: which
+block an area has to see, and how near it can be by the triangle inequality. An area's blocks
+stream through its task nearest first, only the k best of each query stay in memory, and what is
+left is skipped as soon as no block can hold a nearer neighbour.
 """
 
 from __future__ import annotations
@@ -22,12 +25,13 @@ from marginalia.operators.windows import rank_in_group
 
 # Similarities equal to this many digits are ties, settled by the lower customer id.
 SIMILARITY_DIGITS = 9
-# Rows per block, blocks and pivots in all: they bound each task and each broadcast.
+# Directions of a block, most blocks of an area, areas wanted before areas grow to that, pivots in
+# all, and queries multiplied at a time. More data means more areas, never ones beyond the bound.
 BLOCK_ROWS = 2048
-MAX_BLOCKS = 8192
-MAX_PIVOTS = 4096
-# Queries searched together against one block.
-CHUNK_ROWS = 50_000
+AREA_BLOCKS = 32
+LEAST_AREAS = 16
+MAX_PIVOTS = 64
+QUERY_ROWS = 4096
 
 
 def purchase_vectors(bought: DataFrame) -> DataFrame:
@@ -77,165 +81,183 @@ def _pivots(directions: DataFrame, count: int) -> np.ndarray:
     return np.array([row.vector for row in rows.select("vector").collect()])
 
 
-def _nearest_directions(directions: DataFrame, k: int, block_rows: int) -> DataFrame:
-    """(direction, candidate, similarity): the k nearest directions of each, itself included."""
-    spark = directions.sparkSession
+def _gaps(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distances of unit vectors."""
+    return np.sqrt(np.maximum(2.0 - 2.0 * points @ pivots.T, 0.0))
+
+
+def _reach(floor: np.ndarray) -> np.ndarray:
+    """How far a neighbour of this similarity can be; slack covers rounding, so ties are seen."""
+    return np.sqrt(np.maximum(2.0 - 2.0 * (np.maximum(floor, -1.0) - 2e-9), 0.0)) + 1e-9
+
+
+def _blocks(directions: DataFrame, pivots, block_rows: int, area_blocks: int) -> DataFrame:
+    """(direction, vector, block, area): rings around the nearest pivot, cut by distance; staged."""
     key = dict(directions.dtypes)["direction"]
-    shape = f"direction {key}, candidate {key}, similarity double"
-    count = directions.count()
-    if count == 0:
-        return spark.createDataFrame([], shape)
-    width = len(directions.select("vector").head().vector)
-    pivot_count = min(MAX_PIVOTS, max(1, count // block_rows), max(1, 4_000_000 // width))
-    rows_per_block = max(block_rows, math.ceil(count / MAX_BLOCKS))
-    pivots = spark.sparkContext.broadcast(_pivots(directions, pivot_count))
-    digits = SIMILARITY_DIGITS
 
     def assign(batches):
         for batch in batches:
             for start in range(0, len(batch), 1024):
                 part = batch.iloc[start : start + 1024]
-                points = np.stack(part["vector"].to_numpy())
-                gaps = np.sqrt(np.maximum(2.0 - 2.0 * points @ pivots.value.T, 0.0))
+                gaps = _gaps(np.stack(part["vector"].to_numpy()), pivots.value)
                 cell = gaps.argmin(axis=1)
                 yield part.assign(cell=cell, gap=gaps[np.arange(len(cell)), cell])
 
     cells = directions.select("direction", "vector").mapInPandas(
         assign, f"direction {key}, vector array<double>, cell bigint, gap double"
     )
-    # Blocks are rings around the pivot: a narrow range of distances excludes more queries.
     ranked = rank_in_group(cells, ["cell"], ["gap", "direction"], "_rank")
-    ring = F.floor((F.col("_rank") - 1) / rows_per_block)
+    ring = F.floor((F.col("_rank") - 1) / block_rows)
     blocked = ranked.select(
-        "direction", "vector", "gap", "cell", (F.col("cell") * 2**32 + ring).alias("block")
+        "direction",
+        "vector",
+        (F.col("cell") * 2**32 + ring).alias("block"),
+        (F.col("cell") * 2**32 + F.floor(ring / area_blocks)).alias("area"),
     )
-    blocked = storage.stage(blocked, "blocks")
-
-    # At most MAX_BLOCKS + MAX_PIVOTS rows.
-    rings = blocked.groupBy("block", "cell").agg(F.min("gap").alias("lo"), F.max("gap").alias("hi"))
-    table = rings.toPandas()
-    layout = spark.sparkContext.broadcast(
-        (table["block"].to_numpy(), table["cell"].to_numpy(), table["lo"].to_numpy(), table["hi"].to_numpy())
-    )
-
-    def best(names, queries, keys, points, floor):
-        """The k best candidates of each query that reach its floor, in slices of queries."""
-        frames = []
-        order = np.argsort(keys, kind="stable")
-        keys, points = keys[order], points[order]
-        for start in range(0, len(queries), 2048):
-            part = slice(start, start + 2048)
-            near = np.round(queries[part] @ points.T, digits)
-            if near.shape[1] > k:
-                # The k-th best value; ties with it stay, the lower ids come first below.
-                limit = np.partition(near, -k, axis=1)[:, -k]
-            else:
-                limit = np.full(len(near), -np.inf)
-            limit = np.maximum(limit, floor[part])
-            row, column = np.nonzero(near >= limit[:, None])
-            frame = pd.DataFrame(
-                {
-                    "direction": names[part][row],
-                    "candidate": keys[column],
-                    "similarity": near[row, column],
-                }
-            )
-            frame = frame.sort_values(
-                ["direction", "similarity", "candidate"], ascending=[True, False, True]
-            )
-            frames.append(frame.groupby("direction").head(k))
-        return pd.concat(frames)
-
-    def inside(block: pd.DataFrame) -> pd.DataFrame:
-        names = block["direction"].to_numpy()
-        points = np.stack(block["vector"].to_numpy())
-        return best(names, points, names, points, np.full(len(names), -np.inf))
+    return storage.stage(blocked, "blocks")
 
-    own = blocked.select("block", "direction", "vector").groupBy("block").applyInPandas(inside, shape)
-    own = storage.stage(own, "own-block")
-    if table.shape[0] == 1:
-        return own
 
-    # The k-th similarity inside the own block is a floor no final neighbour can be below.
-    floors = own.groupBy("direction").agg(
-        F.when(F.count("*") >= k, F.min("similarity")).alias("floor")
+def _work_list(blocked: DataFrame, pivots, k: int) -> DataFrame:
+    """(block, area, apart): the blocks each area has to see, with the least possible distance."""
+    count = len(pivots.value)
+    shape = "block bigint, area bigint, reach double, near array<double>, far array<double>"
+
+    def describe(block: pd.DataFrame) -> pd.DataFrame:
+        points = np.stack(block["vector"].to_numpy())
+        gaps = _gaps(points, pivots.value)
+        floor = -1.0
+        if len(points) >= k:
+            for start in range(0, len(points), 256):
+                near = np.round(points[start : start + 256] @ points.T, SIMILARITY_DIGITS)
+                least = np.partition(near, -k, axis=1)[:, -k].min()
+                floor = least if start == 0 else min(floor, least)
+        row = block["block"].iloc[0], block["area"].iloc[0], _reach(np.array([floor]))[0], gaps.min(axis=0), gaps.max(axis=0)
+        return pd.DataFrame([row], columns=["block", "area", "reach", "near", "far"])
+
+    stats = storage.stage(blocked.groupBy("block").applyInPandas(describe, shape), "block-stats")
+    bounds = [F.min(F.col("near")[i]) for i in range(count)] + [F.max(F.col("far")[i]) for i in range(count)]
+    # One row per area of AREA_BLOCKS blocks, a few hundred bytes each.
+    areas = stats.groupBy("area").agg(F.max("reach").alias("reach"), F.array(*bounds).alias("bounds")).toPandas()
+    layout = blocked.sparkSession.sparkContext.broadcast(
+        (areas["area"].to_numpy(), areas["reach"].to_numpy(), np.stack(areas["bounds"].to_numpy()))
     )
 
     def route(batches):
-        blocks, cell_of, lo, hi = layout.value
+        names, reach, bounds = layout.value
         for batch in batches:
-            # Slices keep the queries-by-blocks table to a few megabytes.
-            for start in range(0, len(batch), 256):
-                part = batch.iloc[start : start + 256]
-                points = np.stack(part["vector"].to_numpy())
-                gaps = np.sqrt(np.maximum(2.0 - 2.0 * points @ pivots.value.T, 0.0))
-                floor = part["floor"].fillna(-1.0).to_numpy(dtype=float)
-                # Slack covers rounding of similarities, so that ties are still visited.
-                reach = np.sqrt(np.maximum(2.0 - 2.0 * (floor - 2e-9), 0.0)) + 1e-9
-                gaps = gaps[:, cell_of]
-                apart = np.maximum(gaps - hi, lo - gaps)
-                visit = (apart <= reach[:, None]) & (part["block"].to_numpy()[:, None] != blocks)
-                row, column = np.nonzero(visit)
-                yield pd.DataFrame(
-                    {
-                        "block": blocks[column],
-                        "direction": part["direction"].to_numpy()[row],
-                        "vector": part["vector"].to_numpy()[row],
-                        "floor": floor[row],
-                    }
-                )
-
-    visits = (
-        blocked.select("direction", "vector", "block")
-        .join(floors, "direction")
-        .mapInPandas(route, f"block bigint, direction {key}, vector array<double>, floor double")
-    )
-    visits = storage.stage(visits, "visits")
-    # A block many queries visit is searched in chunks; both sides carry the chunk number.
-    chunks = visits.groupBy("block").agg(
-        F.ceil(F.count("*") / CHUNK_ROWS).cast("bigint").alias("chunks")
-    )
-    asked = visits.join(chunks, "block").withColumn(
-        "chunk", F.pmod(F.xxhash64("direction"), F.col("chunks"))
-    )
-    searched = (
-        blocked.select("block", "direction", "vector")
-        .join(chunks, "block")
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-    )
-
-    def across(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or block.empty:
-            return pd.DataFrame({"direction": [], "candidate": [], "similarity": []})
-        return best(
-            queries["direction"].to_numpy(),
-            np.stack(queries["vector"].to_numpy()),
-            block["direction"].to_numpy(),
-            np.stack(block["vector"].to_numpy()),
-            queries["floor"].to_numpy(dtype=float),
+            for row in batch.itertuples():
+                # |query - point| is at least the difference of their distances to any pivot.
+                apart = np.maximum(bounds[:, :count] - row.far, row.near - bounds[:, count:]).max(axis=1)
+                apart = np.maximum(apart, 0.0)
+                seen = apart <= reach
+                yield pd.DataFrame({"block": row.block, "area": names[seen], "apart": apart[seen]})
+
+    return storage.stage(stats.mapInPandas(route, "block bigint, area bigint, apart double"), "work-list")
+
+
+class _Best:
+    """The k best candidates of an area's queries so far."""
+
+    def __init__(self, names: np.ndarray, points: np.ndarray, k: int):
+        self.names, self.points, self.k = names, points, k
+        self.similarity = np.full((len(names), k), -np.inf)
+        self.candidate = np.empty((len(names), k), names.dtype)
+
+    def reach(self) -> float:
+        return float(_reach(self.similarity[:, -1]).max())
+
+    def see(self, names: np.ndarray, points: np.ndarray) -> None:
+        for start in range(0, len(self.names), QUERY_ROWS):
+            part = slice(start, start + QUERY_ROWS)
+            near = np.round(self.points[part] @ points.T, SIMILARITY_DIGITS)
+            row, column = np.nonzero(near >= self.similarity[part, -1:])
+            if not len(row):
+                continue
+            touched, place = np.unique(row, return_inverse=True)
+            held = self.similarity[part][touched]
+            owner = np.concatenate([np.repeat(np.arange(len(touched)), self.k), place])
+            value = np.concatenate([held.ravel(), near[row, column]])
+            candidate = np.concatenate([self.candidate[part][touched].ravel(), names[column]])
+            # Ties go to the lower id.
+            order = np.lexsort((candidate, -value, owner))
+            owner, value, candidate = owner[order], value[order], candidate[order]
+            rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
+            kept = rank < self.k
+            rows, ranks = start + touched[owner[kept]], rank[kept]
+            self.similarity[rows, ranks], self.candidate[rows, ranks] = value[kept], candidate[kept]
+
+    def frame(self) -> pd.DataFrame:
+        row, rank = np.nonzero(self.similarity > -np.inf)
+        return pd.DataFrame(
+            {"direction": self.names[row], "candidate": self.candidate[row, rank], "similarity": self.similarity[row, rank]}
         )
 
-    found = (
-        asked.select("block", "chunk", "direction", "vector", "floor")
-        .groupBy("block", "chunk")
-        .cogroup(
-            searched.select("block", "chunk", "direction", "vector").groupBy("block", "chunk")
-        )
-        .applyInPandas(across, shape)
-    )
-    order = Window.partitionBy("direction").orderBy(F.col("similarity").desc(), "candidate")
-    everything = own.unionByName(found).withColumn("_rn", F.row_number().over(order))
-    return everything.where(F.col("_rn") <= k).drop("_rn")
 
+def _nearest_directions(
+    directions: DataFrame, k: int, block_rows: int, area_blocks: int = AREA_BLOCKS
+) -> DataFrame:
+    """(direction, candidate, similarity): the k nearest directions of each, itself included."""
+    spark = directions.sparkSession
+    key = dict(directions.dtypes)["direction"]
+    shape = f"direction {key}, candidate {key}, similarity double"
+    count = directions.count()
+    if count == 0:
+        return spark.createDataFrame([], shape)
+    # A small table has smaller areas, so that all tasks take part.
+    area_blocks = min(area_blocks, max(1, count // (block_rows * LEAST_AREAS)))
+    pivot_count = min(MAX_PIVOTS, max(1, count // (block_rows * area_blocks)))
+    pivots = spark.sparkContext.broadcast(_pivots(directions, pivot_count))
+    blocked = _blocks(directions, pivots, block_rows, area_blocks)
+    work = _work_list(blocked, pivots, k)
+    queries = blocked.select("area", F.lit(-1.0).alias("apart"), "block", "direction", "vector")
+    seen = blocked.drop("area").join(work, "block").select(*queries.columns)
+
+    def search(batches):
+        area, best, names, points = None, None, [], []
 
-def similar_customers(bought: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS) -> DataFrame:
+        def gathered():
+            found = np.array([name for part in names for name in part]), np.concatenate(points)
+            names.clear()
+            points.clear()
+            return found
+
+        for batch in batches:
+            # An area's own rows come first, then what it has to see, the nearest blocks first.
+            for (now, apart), part in batch.groupby(["area", "apart"], sort=True):
+                if now != area:
+                    if best is not None:
+                        yield best.frame()
+                    area, best = now, None
+                if apart < 0:
+                    names.append(part["direction"].tolist())
+                    points.append(np.stack(part["vector"].to_numpy()))
+                    continue
+                if best is None:
+                    best, reach = _Best(*gathered(), k), np.inf
+                if apart <= reach:
+                    for start in range(0, len(part), 1024):
+                        some = part.iloc[start : start + 1024]
+                        best.see(np.array(some["direction"].tolist()), np.stack(some["vector"].to_numpy()))
+                    reach = best.reach()
+        if best is not None:
+            yield best.frame()
+
+    areas = work.select("area").distinct().count()
+    order = ["area", "apart", "block", "direction"]
+    dealt = queries.unionByName(seen).repartition(areas, "area").sortWithinPartitions(*order)
+    return dealt.mapInPandas(search, shape)
+
+
+def similar_customers(
+    bought: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS, area_blocks: int = AREA_BLOCKS
+) -> DataFrame:
     """The k customers with the most similar purchases (cosine), for every customer.
 
     Ties go to the lower id. Customers whose purchases sum to nothing have no direction and
     no neighbours.
     """
     directions, members = _directions(purchase_vectors(bought), k)
-    near = _nearest_directions(directions, k + 1, block_rows)
+    near = _nearest_directions(directions, k + 1, block_rows, area_blocks)
     offered = near.join(
         directions.select(F.col("direction").alias("candidate"), "members"), "candidate"
     )

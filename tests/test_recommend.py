@@ -35,14 +35,14 @@ def found(df):
     return best
 
 
-@pytest.mark.parametrize("block_rows", [8, 40, 2048])
-def test_neighbours_are_exact_for_any_block_size(spark, block_rows):
+@pytest.mark.parametrize(("block_rows", "area_blocks"), [(8, 1), (8, 3), (40, 2), (2048, 32)])
+def test_neighbours_are_exact_for_any_block_size(spark, block_rows, area_blocks):
     rng = np.random.default_rng(7)
     rows = []
     for customer in range(150):
         for item in rng.choice(6, size=rng.integers(1, 5), replace=False):
             rows.append((customer, f"item{item}", float(rng.integers(1, 40))))
-    result = recommend.similar_customers(purchases(spark, rows), 5, block_rows)
+    result = recommend.similar_customers(purchases(spark, rows), 5, block_rows, area_blocks)
     assert found(result) == brute_force(rows, 5)
 
 
@@ -52,7 +52,7 @@ def test_a_third_of_all_customers_may_be_copies(spark):
     for customer in range(120):
         if customer % 3:
             rows += [(customer, item, float(rng.integers(1, 9))) for item in "abc"]
-    result = recommend.similar_customers(purchases(spark, rows), 4, 16)
+    result = recommend.similar_customers(purchases(spark, rows), 4, 16, 2)
     assert found(result) == brute_force(rows, 4)
 
 
@@ -80,3 +80,29 @@ def test_copurchase_counts_absent_pairs_as_zero(spark):
     cells = {(r.item_a, r.item_b): r["corr"] for r in recommend.copurchase_corr(purchases(spark, rows)).collect()}
     expected = np.corrcoef([1, 3, 0, 2], [2, 0, 1, 2])[0, 1]
     assert cells["a", "b"] == pytest.approx(expected) and cells["a", "a"] == pytest.approx(1.0)
+
+
+def test_far_areas_are_not_searched_and_vectors_are_staged_once(spark, monkeypatch):
+    """Groups of customers in different corners: the work list leaves most pairs out, and nothing as
+    long as the vectors is staged but the vectors."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for customer in range(1200):
+        corner = customer % 6
+        for item in range(6):
+            rows.append((customer, f"item{item}", 1000.0 if item == corner else float(rng.integers(1, 40))))
+    staged = []
+    real = recommend.storage.stage
+
+    def stage(df, label, *rest):
+        table = real(df, label, *rest)
+        staged.append((label, table.count(), "vector" in table.columns))
+        return table
+
+    monkeypatch.setattr(recommend.storage, "stage", stage)
+    result = recommend.similar_customers(purchases(spark, rows), 3, 20, 2)
+    assert found(result) == brute_force(rows, 3)
+    counts = {label: rows for label, rows, _ in staged}
+    areas = counts["block-stats"] / 2
+    assert counts["work-list"] < 0.4 * counts["block-stats"] * areas
+    assert sum(rows for _, rows, wide in staged if wide) <= 5 * 1200

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marginalia.functions.columns import clip, key_mix, mean, numeric_key, one_row
 from marginalia.operators.aggregates import monthly_series, value_counts
-from marginalia.operators.windows import lag_features, rank_in_group
+from marginalia.operators.windows import lag_features, lowest_draws, rank_by_draw
 
 
 def with_unit_price(lines: DataFrame) -> DataFrame:
@@ -138,14 +138,11 @@ def stratified_split(
 ) -> DataFrame:
     """Train/test flag with the exact share of every class.
 
-    Rows are ranked by a hash of their key inside each class; the ranks are distributed, so a
-    class holding most of the rows is no bottleneck.
+    The rows of a class with the lowest hashes of their keys are its test rows. The hash that
+    parts them is found from counts, so no rows are sorted and a class may hold most of them.
     """
     keyed = df.withColumn("_draw", shuffle_key(keys))
-    ranked = rank_in_group(keyed, [label], ["_draw", *keys], "_rank")
-    cutoff = F.round(F.col("_rank_size") * test_share)
-    is_test = (F.col("_rank") <= cutoff).cast("int")
-    return ranked.withColumn("is_test", is_test).drop("_draw", "_rank", "_rank_size")
+    return lowest_draws(keyed, [label], "_draw", keys, test_share, "is_test").drop("_draw")
 
 
 def stratified_folds(
@@ -153,9 +150,9 @@ def stratified_folds(
 ) -> DataFrame:
     """Fold number per row with the classes spread evenly over the folds."""
     keyed = df.withColumn("_draw", shuffle_key(keys))
-    ranked = rank_in_group(keyed, [label], ["_draw", *keys], "_rank")
+    ranked = rank_by_draw(keyed, [label], "_draw", keys, "_rank")
     fold = F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("bigint")
-    return ranked.withColumn("fold", fold).drop("_draw", "_rank", "_rank_size")
+    return ranked.withColumn("fold", fold).drop("_draw", "_rank")
 
 
 def hash_split(df: DataFrame, keys: list[str], test_share: float = 0.2) -> DataFrame:

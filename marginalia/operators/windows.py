@@ -88,6 +88,74 @@ def rank_in_group(df: DataFrame, group: list[str], order: list, name: str) -> Da
     return joined.withColumn(name, F.col("_global") - F.col("_start") + 1).drop("_global", "_start")
 
 
+def draw_counts(df: DataFrame, group: list[str], draw: str, bits: int = 16) -> DataFrame:
+    """Rows per group and per upper bits of a 32-bit ``draw``: ``_bucket``, ``_n``, and ``_before``, the
+    group's rows in earlier buckets. At most 2 ** bits rows per group, written once."""
+    bucket = F.shiftright(draw, 32 - bits).alias("_bucket")
+    counts = df.groupBy(*group, bucket).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    return storage.stage(counts, "draws")
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
+    """A join on equal or equally missing ``names``, which the left side keeps."""
+    renamed = right.withColumnsRenamed({name: f"_of_{name}" for name in names})
+    on = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in names]
+    return left.join(renamed, on, how).drop(*[f"_of_{name}" for name in names])
+
+
+def lowest_draws(df: DataFrame, group: list[str], draw: str, keys: list[str], share: float, name: str) -> DataFrame:
+    """Flag (``name``, 0 or 1) of the rows with the lowest draws, the exact ``share`` of each group.
+
+    ``draw`` is a number of 32 bits; equal draws are told apart by ``keys``. Nothing is sorted:
+    counts by the draw's upper bits find the bucket that holds a group's last flagged row, counts
+    by its lower bits inside of that bucket find its draw, and rows are flagged by comparison. Only
+    rows that tie with that draw are ordered.
+    """
+    narrow = storage.stage(df.select(*group, F.col(draw).alias("_draw"), *[F.col(k).alias(f"_key_{k}") for k in keys]), "narrow")
+    ties = [f"_key_{key}" for key in keys]
+
+    def holding(counts: DataFrame, wanted: str) -> DataFrame:
+        return counts.where((F.col("_before") < F.col(wanted)) & (F.col("_before") + F.col("_n") >= F.col(wanted)))
+
+    counts = draw_counts(narrow, group, "_draw")
+    totals = counts.groupBy(*group).agg(F.round(F.sum("_n") * share).cast("bigint").alias("_wanted"))
+    edge = holding(_same(counts, totals, group), "_wanted")
+    edge = storage.stage(edge.select(*group, "_bucket", (F.col("_wanted") - F.col("_before")).alias("_left")), "edges")
+    # Inside the bucket the lower 16 bits, shifted up, are the draw.
+    inside = _same(narrow, edge, group).where(F.shiftright("_draw", 16) == F.col("_bucket"))
+    low = draw_counts(inside.withColumn("_low", F.shiftleft(F.col("_draw").bitwiseAND(0xFFFF), 16)), group, "_low")
+    found = holding(_same(low.withColumnRenamed("_bucket", "_lower"), edge, group), "_left")
+    last = found.select(
+        *group,
+        (F.shiftleft("_bucket", 16) + F.col("_lower")).alias("_last"),
+        (F.col("_left") - F.col("_before")).alias("_tied"),
+    )
+    last = storage.stage(last, "last-draws")
+    tied = _same(narrow, last, group).where(F.col("_draw") == F.col("_last"))
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*ties))
+    tied = tied.withColumn("_place", place).where(F.col("_place") == F.col("_tied"))
+    ends = storage.stage(tied.select(*group, "_last", F.struct(*ties).alias("_end")), "ends")
+    flagged = _same(df, ends, group, "left")
+    own = F.struct(*[F.col(key).alias(f"_key_{key}") for key in keys])
+    low_enough = (F.col(draw) < F.col("_last")) | ((F.col(draw) == F.col("_last")) & (own <= F.col("_end")))
+    return flagged.withColumn(name, F.coalesce(low_enough, F.lit(False)).cast("int")).drop("_last", "_end")
+
+
+def rank_by_draw(df: DataFrame, group: list[str], draw: str, keys: list[str], name: str) -> DataFrame:
+    """1-based rank inside each group by a 32-bit ``draw`` and then ``keys``.
+
+    Draws are spread evenly, so a bucket of their upper bits holds a small share of any group; its
+    rows are numbered by themselves, behind the counted rows of earlier buckets. No range is sorted.
+    """
+    bucketed = df.withColumn("_bucket", F.shiftright(draw, 16))
+    starts = draw_counts(df.select(*group, draw), group, draw).drop("_n")
+    own = Window.partitionBy(*group, "_bucket").orderBy(draw, *keys)
+    ranked = _same(bucketed.withColumn("_row", F.row_number().over(own)), starts, [*group, "_bucket"])
+    return ranked.withColumn(name, F.col("_row") + F.col("_before")).drop("_row", "_before", "_bucket")
+
+
 def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """Descending rank where ties share the mean of their positions, truncated to an integer."""
     groups = df.groupBy(value).agg(F.count("*").alias("_n"))

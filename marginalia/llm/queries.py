@@ -14,6 +14,8 @@ from marginalia.storage import new_path, stage
 # The tokenizer files of op7 and op12, installed on every machine.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+# The first one's merges as ranks, and its pattern of pieces.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 SHARDS = 16
 
@@ -149,7 +151,7 @@ def op11_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignment of both tokenizers on every document, with counts over all documents."""
-    return alignment.compare(table(spark, sf_dir, "documents"), VOCABULARY, PIECES)
+    return alignment.compare(table(spark, sf_dir, "documents"), VOCABULARY, PIECES, ranks=RANKS)
 
 
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:

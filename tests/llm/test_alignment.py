@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -8,7 +9,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from marginalia.llm import alignment
-from marginalia.llm.queries import PIECES, VOCABULARY, op12_alignment, table
+from marginalia.llm.queries import PIECES, RANKS, VOCABULARY, op12_alignment, table
 from tests.conftest import SMALL
 from tests.llm.frames import TEXT, awkward, documents
 
@@ -112,6 +113,7 @@ def test_given_documents(spark):
     docs = documents(spark, rows)
     wanted = plain(rows)
     assert rows_of(alignment.compare(docs, VOCABULARY, PIECES)) == wanted
+    assert rows_of(alignment.compare(docs, VOCABULARY, PIECES, ranks=RANKS)) == wanted
     # Rare pairs are joined instead of broadcast; nothing changes.
     assert rows_of(alignment.compare(docs, VOCABULARY, PIECES, hot_pairs=50)) == wanted
     assert rows_of(alignment.compare(docs, VOCABULARY, PIECES, hot_pairs=0)) == wanted
@@ -124,13 +126,25 @@ def test_query(spark):
 
 def test_forgetting_changes_nothing():
     texts = [text for _, text in ODD]
-    small, large = (alignment.Aligner(VOCABULARY, PIECES, memory) for memory in (1, 1 << 18))
+    small, large = (alignment.Aligner(VOCABULARY, PIECES, memory=memory) for memory in (1, 1 << 18))
     for _ in range(2):
         for text in texts:
             for one, other in zip(small.align_texts([text]), large.align_texts([text]), strict=True):
                 assert list(one) == list(other)
 
 
+def test_both_libraries_give_the_same_first_ids():
+    """For every character that goes to the faster one, beside letters, digits, marks and space."""
+    fast, slow = alignment.Aligner(VOCABULARY, PIECES, RANKS), alignment.Aligner(VOCABULARY, PIECES)
+    rng = random.Random(1)
+    near = ["a", "1", "!", " ", "\n", "\u00a0", "'s", "é", "<|endoftext|>", ""]
+    texts = [" " + a + chr(code) + b + chr(code) for code in range(0x250) for a in near for b in near]
+    texts += ["".join(chr(rng.randrange(0x250)) for _ in range(200)) for _ in range(3000)]
+    texts += [" " + text for _, text in ODD] + ["a" * 5000, " " * 5000, "x\n" * 3000]
+    assert sum(alignment.WIDE.search(text) is None for text in texts) > 60_000
+    assert fast.first_ids(texts) == slow.first_ids(texts)
+
+
 def test_windows_split_long_texts():
     found = alignment.Aligner(VOCABULARY, PIECES)
     text = "many common words in one long text " * 90_000

@@ -1,7 +1,7 @@
-"""Business measures by month and any further grouping columns.
+"""Business measures by month, quarter or year and any further grouping columns.
 
-``by`` names the slicers. Month-level results are small; anything larger is grouped before it
-is windowed or joined.
+``by`` names the slicers, ``period`` the length of a period. Period-level results are small;
+anything larger is grouped before it is windowed or joined.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from marginalia.functions.columns import divide_or_zero, mean, ratio, total
 from marginalia.operators.windows import period_shift
 
-MONTH = ["order_year", "order_month"]
+# Columns of each period, and how many of them make a year.
+PERIODS = {"month": ["order_year", "order_month"], "quarter": ["order_year", "order_quarter"], "year": ["order_year"]}
+PER_YEAR = {"month": 12, "quarter": 4, "year": 1}
 
 # Margin thresholds in percent and their colours.
 MARGIN_COLOURS = [(15, "#06D6A0"), (5, "#FFB703")]
@@ -20,8 +22,7 @@ MARGIN_COLOUR_LOW = "#FF3A5C"
 
 
 def _periods(by: list[str] | None, period: str | None) -> list[str]:
-    keys = {"month": MONTH, "quarter": ["order_year", "order_quarter"], "year": ["order_year"]}
-    return [*(keys[period] if period else []), *(by or [])]
+    return [*(PERIODS[period] if period else []), *(by or [])]
 
 
 def core(lines: DataFrame, by: list[str] | None = None, period: str | None = "month") -> DataFrame:
@@ -42,25 +43,32 @@ def core(lines: DataFrame, by: list[str] | None = None, period: str | None = "mo
     ).drop("customers")
 
 
-def _monthly(lines: DataFrame, by: list[str], columns: dict[str, Column]) -> DataFrame:
-    monthly = lines.groupBy(*MONTH, *by).agg(*[e.alias(n) for n, e in columns.items()])
-    index = F.expr("CAST(order_year * 12 + order_month - 1 AS BIGINT)")
-    return monthly.withColumn("month_no", index).drop(*MONTH)
+def _number(period: str) -> Column:
+    """Periods since year 0, so that the period before is one less."""
+    number = F.col("order_year").cast("bigint") * PER_YEAR[period]
+    return number + F.col(PERIODS[period][1]) - 1 if period != "year" else number
 
 
-def _month_parts(df: DataFrame) -> DataFrame:
-    year = F.floor(F.col("month_no") / 12)
-    parts = {"order_year": year.cast("int"), "order_month": F.pmod("month_no", F.lit(12)) + 1}
-    parts["order_month"] = parts["order_month"].cast("int")
-    return df.withColumns(parts).drop("month_no")
+def _per_period(lines: DataFrame, by: list[str], period: str, columns: dict[str, Column]) -> DataFrame:
+    keys = PERIODS[period]
+    sums = lines.groupBy(*keys, *by).agg(*[e.alias(n) for n, e in columns.items()])
+    return sums.withColumn("period_no", _number(period).cast("bigint")).drop(*keys)
 
 
-def growth(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Profit growth on the previous month and revenue growth on the same month last year."""
+def _period_parts(df: DataFrame, period: str) -> DataFrame:
+    many = PER_YEAR[period]
+    parts = {"order_year": F.floor(F.col("period_no") / many).cast("int")}
+    if many > 1:
+        parts[PERIODS[period][1]] = (F.pmod("period_no", F.lit(many)) + 1).cast("int")
+    return df.withColumns(parts).drop("period_no")
+
+
+def growth(lines: DataFrame, by: list[str] | None = None, period: str = "month") -> DataFrame:
+    """Profit growth on the previous period and revenue growth on the same period last year."""
     by = by or []
-    monthly = _monthly(lines, by, {"revenue": total("sales"), "profit": total("profit")})
+    sums = _per_period(lines, by, period, {"revenue": total("sales"), "profit": total("profit")})
     shifted = period_shift(
-        monthly, "month_no", by, {"_previous": ("profit", 1), "_last_year": ("revenue", 12)}
+        sums, "period_no", by, {"_previous": ("profit", 1), "_last_year": ("revenue", PER_YEAR[period])}
     )
     profit, before = F.col("profit"), F.col("_previous")
     revenue, last_year = F.col("revenue"), F.col("_last_year")
@@ -70,88 +78,89 @@ def growth(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
             "revenue_growth_yoy_pct": ratio(revenue - last_year, last_year) * 100,
         }
     )
-    return _month_parts(out.drop("_previous", "_last_year", "revenue", "profit"))
+    return _period_parts(out.drop("_previous", "_last_year", "revenue", "profit"), period)
 
 
-def running_revenue(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Revenue up to and including each month; a window holds one row per month."""
+def running_revenue(lines: DataFrame, by: list[str] | None = None, period: str = "month") -> DataFrame:
+    """Revenue up to and including each period; a window holds one row per period."""
     by = by or []
-    monthly = _monthly(lines, by, {"revenue": F.sum("sales")})
-    so_far = Window.partitionBy(*by).orderBy("month_no")
+    sums = _per_period(lines, by, period, {"revenue": F.sum("sales")})
+    so_far = Window.partitionBy(*by).orderBy("period_no")
     so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = F.sum("revenue").over(so_far).cast("double")
-    return _month_parts(monthly.withColumn("running_revenue", running).drop("revenue"))
+    return _period_parts(sums.withColumn("running_revenue", running).drop("revenue"), period)
 
 
-def _activity(lines: DataFrame, by: list[str], days: int) -> DataFrame:
-    """(month, customer, age) where an order lies at most ``days`` before the month's end.
+def _active_on(lines: DataFrame, by: list[str], days: int, period: str, ages: list[int]) -> DataFrame:
+    """(period, ``active_{age}`` per age): customers whose last ``days`` days hold an order, on the day
+    ``age`` days before each period's end. The last period ends with the last order date.
 
-    The range condition becomes an equality: each order date is copied to the few month ends
-    it counts for. The last month ends with the last order date.
+    A customer's orders merge into the intervals in which the customer is active. Each interval is
+    one step up and one step down; steps are summed by date and then run over in date order, so
+    what is ordered has one row per date, period and slicer, whatever the number of customers.
     """
     last = lines.select(F.max("order_date")).scalar()
-    visits = lines.select("customer_id", "order_date", *by).distinct()
-    first_month = F.trunc("order_date", "month")
-    last_month = F.trunc(F.date_add("order_date", days - 1), "month")
-    months = F.sequence(first_month, last_month, F.expr("interval 1 month"))
-    reach = visits.select("customer_id", *by, "order_date", F.explode(months).alias("_start"))
-    end = F.least(F.last_day("_start"), last)
-    age = F.datediff(end, F.col("order_date"))
-    reach = reach.where(F.col("_start") <= last).withColumn("_age", age)
-    reach = reach.where(F.col("_age").between(0, days - 1))
-    return reach.select(
-        F.year("_start").alias("order_year"),
-        F.month("_start").alias("order_month"),
-        *by,
-        "customer_id",
-        "_age",
+    known = lines.where(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull())
+    active = F.session_window(F.col("order_date").cast("timestamp"), f"{days} days").alias("_active")
+    spans = known.groupBy("customer_id", *by, active).agg(F.count("*"))
+    steps = F.array(
+        F.struct(F.to_date("_active.start").alias("_date"), F.lit(1).alias("_step")),
+        F.struct(F.to_date("_active.end").alias("_date"), F.lit(-1).alias("_step")),
     )
+    steps = spans.select(*by, F.explode(steps).alias("_s")).groupBy(*by, "_s._date")
+    steps = steps.agg(F.sum("_s._step").alias("_step"))
+    starts = F.sequence(F.trunc(F.min("_date"), period), F.trunc(last, period), F.expr(f"interval {12 // PER_YEAR[period]} month"))
+    # A slicer's first date is a step up, so it is a day with an order.
+    starts = steps.groupBy(*by).agg(starts.alias("_starts")).select(*by, F.explode("_starts").alias("_start"))
+    end = F.least(F.date_sub(F.add_months("_start", 12 // PER_YEAR[period]), 1), last)
+    probes = F.array(*[F.struct(F.date_sub(end, age).alias("_date"), F.lit(age).alias("_age")) for age in ages])
+    probes = starts.select(*by, "_start", F.explode(probes).alias("_p"))
+    probes = probes.select(*by, "_p._date", F.lit(0).cast("bigint").alias("_step"), "_start", "_p._age")
+    days_ = steps.withColumns({"_start": F.lit(None).cast("date"), "_age": F.lit(None).cast("int")}).unionByName(probes)
+    until = Window.partitionBy(*by).orderBy("_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = days_.withColumn("_active", F.sum("_step").over(until)).where(F.col("_age").isNotNull())
+    rows = counted.groupBy(*by, "_start").agg(
+        *[F.max(F.when(F.col("_age") == age, F.col("_active"))).alias(f"active_{age}") for age in ages]
+    )
+    parts = {"order_year": F.year("_start"), "order_month": F.month("_start"), "order_quarter": F.quarter("_start")}
+    keys = [parts[name].alias(name) for name in PERIODS[period]]
+    return rows.select(*keys, *by, *[f"active_{age}" for age in ages])
 
 
 def active_customers(
-    lines: DataFrame, by: list[str] | None = None, days: int = 90
+    lines: DataFrame, by: list[str] | None = None, days: int = 90, period: str = "month"
 ) -> DataFrame:
-    """Distinct customers with an order in the ``days`` days up to the end of each month."""
-    by = by or []
-    active = _activity(lines, by, days).groupBy(*MONTH, *by)
-    return active.agg(F.countDistinct("customer_id").alias("active_customers"))
+    """Distinct customers with an order in the ``days`` days up to the end of each period."""
+    active = _active_on(lines, by or [], days, period, [0]).withColumnRenamed("active_0", "active_customers")
+    return active.where("active_customers > 0")
 
 
-def retention(lines: DataFrame, by: list[str] | None = None, days: int = 90) -> DataFrame:
+def retention(
+    lines: DataFrame, by: list[str] | None = None, days: int = 90, period: str = "month"
+) -> DataFrame:
     """Active customers as a share of active plus previously active ones."""
-    by = by or []
-    per_customer = (
-        _activity(lines, by, 2 * days)
-        .groupBy(*MONTH, *by, "customer_id")
-        .agg(
-            F.max((F.col("_age") < days).cast("int")).alias("_now"),
-            F.max((F.col("_age") >= days).cast("int")).alias("_before"),
-        )
-    )
-    counts = per_customer.groupBy(*MONTH, *by).agg(
-        F.sum("_now").alias("active_now"), F.sum("_before").alias("active_previous")
-    )
-    share = divide_or_zero(F.col("active_now"), F.col("active_now") + F.col("active_previous"))
-    return counts.withColumn("retention_pct", share * 100)
+    counts = _active_on(lines, by or [], days, period, [0, days])
+    counts = counts.withColumnsRenamed({"active_0": "active_now", f"active_{days}": "active_previous"})
+    both = F.col("active_now") + F.col("active_previous")
+    return counts.where(both > 0).withColumn("retention_pct", divide_or_zero(F.col("active_now"), both) * 100)
 
 
-def new_customers(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Customers active in the month (the measure as written) and first-ever customers.
+def new_customers(lines: DataFrame, by: list[str] | None = None, period: str = "month") -> DataFrame:
+    """Customers active in the period (the measure as written) and first-ever customers.
 
-    One row per customer and month comes first; a customer's first month is then the lowest
-    of at most as many rows as the calendar has months.
+    One row per customer and period comes first; a customer's first period is then the lowest
+    of at most as many rows as the calendar has periods.
     """
     by = by or []
-    index = F.expr("CAST(order_year * 12 + order_month - 1 AS BIGINT)")
     known = lines.where(F.col("customer_id").isNotNull())
-    months = known.select("customer_id", *by, index.alias("month_no")).distinct()
+    periods = known.select("customer_id", *by, _number(period).cast("bigint").alias("period_no")).distinct()
     history = Window.partitionBy("customer_id", *by)
-    months = months.withColumn("_first", F.min("month_no").over(history))
-    counts = months.groupBy("month_no", *by).agg(
+    periods = periods.withColumn("_first", F.min("period_no").over(history))
+    counts = periods.groupBy("period_no", *by).agg(
         F.count("*").alias("customers_in_period"),
-        F.count_if(F.col("_first") == F.col("month_no")).alias("first_time_customers"),
+        F.count_if(F.col("_first") == F.col("period_no")).alias("first_time_customers"),
     )
-    return _month_parts(counts)
+    return _period_parts(counts, period)
 
 
 def average_clv(
@@ -232,20 +241,20 @@ def category_share(
     return profits.withColumn("profit_share_pct", share).drop("profit")
 
 
-def turnover(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
+def turnover(lines: DataFrame, by: list[str] | None = None, period: str = "month") -> DataFrame:
     """Quantity over the quantity one year earlier; NULL when there is none."""
     by = by or []
-    monthly = _monthly(lines, by, {"quantity": F.sum("quantity")})
-    shifted = period_shift(monthly, "month_no", by, {"_last_year": ("quantity", 12)})
+    sums = _per_period(lines, by, period, {"quantity": F.sum("quantity")})
+    shifted = period_shift(sums, "period_no", by, {"_last_year": ("quantity", PER_YEAR[period])})
     out = shifted.withColumn("turnover", ratio(F.col("quantity"), F.col("_last_year")))
-    return _month_parts(out.drop("_last_year"))
+    return _period_parts(out.drop("_last_year"), period)
 
 
-def flags(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Margin colour and profit trend arrow per month."""
+def flags(lines: DataFrame, by: list[str] | None = None, period: str = "month") -> DataFrame:
+    """Margin colour and profit trend arrow per period."""
     by = by or []
-    monthly = _monthly(lines, by, {"revenue": total("sales"), "profit": total("profit")})
-    shifted = period_shift(monthly, "month_no", by, {"_previous": ("profit", 1)})
+    sums = _per_period(lines, by, period, {"revenue": total("sales"), "profit": total("profit")})
+    shifted = period_shift(sums, "period_no", by, {"_previous": ("profit", 1)})
     before = F.col("_previous")
     margin = divide_or_zero(F.col("profit"), F.col("revenue")) * 100
     change = ratio(F.col("profit") - before, F.abs(before)) * 100
@@ -257,4 +266,4 @@ def flags(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
     out = shifted.withColumns(
         {"margin_colour": colour.otherwise(MARGIN_COLOUR_LOW), "trend_arrow": arrow}
     )
-    return _month_parts(out.drop("revenue", "profit", "_previous"))
+    return _period_parts(out.drop("revenue", "profit", "_previous"), period)

@@ -396,6 +396,22 @@ def channel_draw(lines: DataFrame) -> DataFrame:
     return drawn.select("row_id", "channel")
 
 
+# Measures that look at earlier periods, by name; each is registered for quarters and years too.
+PERIOD_MEASURES = {
+    "growth": measures.growth,
+    "running_total": measures.running_revenue,
+    "active_customers": measures.active_customers,
+    "new_customers": measures.new_customers,
+    "retention": measures.retention,
+    "turnover": measures.turnover,
+    "flags": measures.flags,
+}
+
+
+def by_period(measure: Callable, period: str, by: list[str]) -> Callable[[DataFrame], DataFrame]:
+    return lambda lines: measure(lines, by, period=period)
+
+
 QUERIES: dict[str, Query] = {
     # sources, sinks, cleaning
     "csv_ingest": csv_ingest,
@@ -514,6 +530,8 @@ QUERIES: dict[str, Query] = {
     "kpi_active_customers": on_lines(measures.active_customers),
     "kpi_new_customers": on_lines(measures.new_customers),
     "kpi_retention": on_lines(measures.retention),
+    **{f"kpi_{name}_quarter": on_lines(by_period(work, "quarter", [])) for name, work in PERIOD_MEASURES.items()},
+    **{f"kpi_{name}_year_region": on_lines(by_period(work, "year", ["region"])) for name, work in PERIOD_MEASURES.items()},
     "kpi_avg_clv": on_lines(measures.average_clv),
     "kpi_champion_share": champion_share,
     "kpi_churn": churn_measure,

@@ -52,24 +52,24 @@ def statistics(lines: DataFrame) -> dict[str, DataFrame]:
 
 
 def measure_tables(
-    lines: DataFrame, customers: DataFrame, by: list[str] | None = None
+    lines: DataFrame, customers: DataFrame, by: list[str] | None = None, period: str = "month"
 ) -> dict[str, DataFrame]:
-    """All measures by month and slicer. ``customers`` carries segments and churn scores."""
+    """All measures by period and slicer. ``customers`` carries segments and churn scores."""
     return {
-        "core": measures.core(lines, by),
-        "growth": measures.growth(lines, by),
-        "running_revenue": measures.running_revenue(lines, by),
-        "active_customers": measures.active_customers(lines, by),
-        "new_customers": measures.new_customers(lines, by),
-        "retention": measures.retention(lines, by),
-        "average_clv": measures.average_clv(lines, by),
-        "champion_share": measures.segment_share(lines, customers, "Champions", by),
+        "core": measures.core(lines, by, period),
+        "growth": measures.growth(lines, by, period),
+        "running_revenue": measures.running_revenue(lines, by, period),
+        "active_customers": measures.active_customers(lines, by, period=period),
+        "new_customers": measures.new_customers(lines, by, period),
+        "retention": measures.retention(lines, by, period=period),
+        "average_clv": measures.average_clv(lines, by, period),
+        "champion_share": measures.segment_share(lines, customers, "Champions", by, period),
         "churn_risk": measures.churn_risk(customers),
         "segment_counts": measures.segment_counts(customers),
-        "operations": measures.operations(lines, by),
-        "category_share": measures.category_share(lines, by),
-        "turnover": measures.turnover(lines, by),
-        "flags": measures.flags(lines, by),
+        "operations": measures.operations(lines, by, period),
+        "category_share": measures.category_share(lines, by, period),
+        "turnover": measures.turnover(lines, by, period),
+        "flags": measures.flags(lines, by, period),
     }
 
 

@@ -1127,3 +1127,72 @@ ORACLES: dict[str, str] = {
     "cluster_check": """SELECT segment_label, CAST(place AS BIGINT) AS place
         FROM (VALUES ('Champions', 1), ('Loyal', 2), ('At Risk', 3), ('Lost', 4)) AS names(segment_label, place)""",
 }
+
+
+def period_twins(period: str, by: list[str]) -> dict[str, str]:
+    """Measures that look at earlier periods, for quarters or years and slicers."""
+    many, keys = (4, ["order_year", "order_quarter"]) if period == "quarter" else (1, ["order_year"])
+    number = "order_year * 4 + order_quarter - 1" if many == 4 else "order_year"
+    part = ["CAST(year(d) AS BIGINT) AS order_year", "CAST(quarter(d) AS BIGINT) AS order_quarter"][: len(keys)]
+    names, shown = ", ".join(keys + by), ", ".join(f"c.{name}" for name in keys + by)
+    own = ", ".join(by)
+    same = "".join(f" AND {{0}}.{name} = c.{name}" for name in by)
+    sums = f"""sums AS (
+        SELECT {names}, {number} AS no, CAST(SUM(sales) AS DOUBLE) AS revenue, CAST(SUM(profit) AS DOUBLE) AS profit,
+               SUM(sales) AS exact, SUM(quantity) AS quantity
+        FROM lines GROUP BY {names})"""
+    before = f"LEFT JOIN sums p ON p.no = c.no - 1{same.format('p')}"
+    last_year = f"LEFT JOIN sums y ON y.no = c.no - {many}{same.format('y')}"
+    ends = f"""ends AS (
+        SELECT {", ".join(part)}, MAX(d) AS last FROM (
+            SELECT unnest(generate_series((SELECT MIN(order_date) FROM lines)::TIMESTAMP,
+                   (SELECT MAX(order_date) FROM lines)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS d)
+        GROUP BY {", ".join(str(place + 1) for place in range(len(keys)))}),
+      visits AS (SELECT DISTINCT customer_id, order_date{", " + own if by else ""} FROM lines)"""
+    change = "(c.profit - p.profit) / NULLIF(abs(p.profit), 0) * 100"
+    return {
+        "growth": over_lines(
+            f"""SELECT {shown}, {r(change, "profit_growth_mom_pct")},
+                       {r("(c.revenue - y.revenue) / NULLIF(y.revenue, 0) * 100", "revenue_growth_yoy_pct")}
+                FROM sums c {before} {last_year}""", sums,
+        ),
+        "running_total": over_lines(
+            f"""SELECT {names}, {r(f"SUM(exact) OVER ({'PARTITION BY ' + own if by else ''} ORDER BY no)", "running_revenue")}
+                FROM sums""", sums,
+        ),
+        "active_customers": over_lines(
+            f"""SELECT {names}, COUNT(DISTINCT customer_id) AS active_customers
+                FROM ends JOIN visits ON order_date BETWEEN last - 89 AND last GROUP BY {names}""", ends,
+        ),
+        "new_customers": over_lines(
+            f"""SELECT {names}, COUNT(DISTINCT customer_id) AS customers_in_period,
+                       COUNT(DISTINCT CASE WHEN no = first_no THEN customer_id END) AS first_time_customers
+                FROM (SELECT customer_id, {names}, {number} AS no,
+                             MIN({number}) OVER (PARTITION BY customer_id{", " + own if by else ""}) AS first_no FROM lines)
+                GROUP BY {names}"""
+        ),
+        "retention": over_lines(
+            f"""SELECT {names}, active_now, active_previous,
+                       {r("COALESCE(active_now / NULLIF(active_now + active_previous, 0), 0) * 100", "retention_pct")}
+                FROM (SELECT {names},
+                             COUNT(DISTINCT CASE WHEN order_date >= last - 89 THEN customer_id END) AS active_now,
+                             COUNT(DISTINCT CASE WHEN order_date < last - 89 THEN customer_id END) AS active_previous
+                      FROM ends JOIN visits ON order_date BETWEEN last - 179 AND last GROUP BY {names})""", ends,
+        ),
+        "turnover": over_lines(
+            f"""SELECT {shown}, {big("c.quantity", "quantity")}, {r("c.quantity / NULLIF(y.quantity, 0)", "turnover")}
+                FROM sums c {last_year}""", sums,
+        ),
+        "flags": over_lines(
+            f"""SELECT {names},
+                       CASE WHEN margin >= 15 THEN '#06D6A0' WHEN margin >= 5 THEN '#FFB703' ELSE '#FF3A5C' END AS margin_colour,
+                       CASE WHEN change > 0 THEN '▲ ' ELSE '▼ ' END
+                         || CASE WHEN change IS NULL THEN '' ELSE printf('%.1f', change) END || '%' AS trend_arrow
+                FROM (SELECT {shown}, c.profit / NULLIF(c.revenue, 0) * 100 AS margin, {change} AS change
+                      FROM sums c {before})""", sums,
+        ),
+    }
+
+
+for _period, _by, _suffix in (("quarter", [], "quarter"), ("year", ["region"], "year_region")):
+    ORACLES.update({f"kpi_{name}_{_suffix}": sql for name, sql in period_twins(_period, _by).items()})

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions.columns import mean, nan_to_null, ratio, total
-from marginalia.operators.aggregates import rule_churn, rule_segments
+from marginalia.operators.aggregates import add_distinct, customer_facts, rule_churn, rule_segments
 from marginalia.operators.star import first_present_per_key
 
 # The texts of the recommended actions.
@@ -44,13 +44,20 @@ def customer_base(lines: DataFrame) -> DataFrame:
     known = lines.where(F.col("customer_id").isNotNull())
     latest = lines.select(F.max("order_date")).scalar()
     names = first_present_per_key(known, "customer_id", ["customer_name", "segment"])
-    facts = known.groupBy("customer_id").agg(
-        F.datediff(latest, F.max("order_date")).cast("bigint").alias("recency"),
-        F.countDistinct("order_id").alias("frequency"),
-        total("profit").alias("monetary"),
-        mean("discount").alias("avg_discount"),
-        mean("profit_margin").alias("avg_margin"),
-        F.countDistinct("channel").alias("num_channels"),
+    facts = customer_facts(
+        known,
+        {"monetary": "profit"},
+        {"avg_discount": "discount", "avg_margin": "profit_margin"},
+        {"num_channels": "channel"},
+    )
+    facts = facts.select(
+        "customer_id",
+        F.datediff(latest, "last_order").cast("bigint").alias("recency"),
+        F.col("orders").alias("frequency"),
+        "monetary",
+        "avg_discount",
+        "avg_margin",
+        "num_channels",
     )
     return names.join(facts, "customer_id")
 
@@ -180,11 +187,10 @@ def rec_channel(lines: DataFrame) -> DataFrame:
     channels = known.groupBy("channel").agg(
         F.sum("sales").alias("revenue"),
         F.sum("profit").alias("profit"),
-        F.countDistinct("order_id").alias("orders"),
-        F.countDistinct("customer_id").alias("customers"),
         mean("profit_margin").alias("avg_margin"),
         mean("discount").alias("avg_discount"),
     )
+    channels = add_distinct(channels, known, ["channel"], {"orders": "order_id", "customers": "customer_id"})
     # One row per channel. Sums stay decimal up to the division.
     everyone = Window.partitionBy()
     revenue, profit = F.col("revenue"), F.col("profit")

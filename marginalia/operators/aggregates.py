@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginalia import storage
 from marginalia.functions.columns import mean, month_start, one_row, total
+from marginalia.operators.clean import encode_ordinal
 from marginalia.operators.star import first_present_per_key
-from marginalia.operators.windows import average_rank, exact_quantiles
+from marginalia.operators.windows import average_rank, exact_quantiles, join_same
 
 FACT_MART = [
     "order_id", "order_date", "order_year", "order_month", "order_quarter", "customer_id",
@@ -22,31 +24,70 @@ CHURN_FEATURES = [
 ]
 
 
+def add_distinct(groups: DataFrame, lines: DataFrame, by: list[str], counts: dict[str, str]) -> DataFrame:
+    """Groups with exact counts of different values: ``{output: column}``.
+
+    Each column is grouped by itself, from its own bytes and once per value in the map tasks;
+    counting several in one grouping would copy every line once per column.
+    """
+    for name, column in counts.items():
+        found = lines.select(*by, column).distinct().groupBy(*by).agg(F.count(column).alias(name))
+        groups = join_same(groups, found, by) if by else groups.withColumn(name, found.scalar())
+    return groups
+
+
+def customer_facts(
+    lines: DataFrame, sums: dict[str, str], means: dict[str, str], dims: dict[str, str]
+) -> DataFrame:
+    """One row per customer: orders, first and last order, exact sums, means, and how many different
+    values of small dimensions (``{output: column}``) the customer has.
+
+    Lines are reduced to orders and orders to customers. Values of a dimension are bits of a few
+    longs, as many as the dimension needs, so nothing is copied per counted column.
+    """
+    held = storage.stage(lines.select(*dims.values()).distinct(), "dimensions")
+    coded = encode_ordinal(lines, list(dims.values()), "_bit", held)
+    widths = held.agg(*[F.countDistinct(column).alias(column) for column in dims.values()]).first()
+    words = {column: max(1, -(-widths[column] // 63)) for column in dims.values()}
+    bits = {}
+    for column, many in words.items():
+        for word in range(many):
+            code = F.col(f"{column}_bit")
+            bit = F.expr(f"shiftleft(1L, cast({column}_bit % 63 as int))")
+            bits[f"_{column}_{word}"] = F.bit_or(F.when(F.floor(code / 63) == word, bit).otherwise(F.lit(0).cast("bigint")))
+    orders = coded.groupBy("customer_id", "order_id").agg(
+        F.min("order_date").alias("_first"),
+        F.max("order_date").alias("_last"),
+        *[F.sum(column).alias(f"_sum_{column}") for column in {*sums.values(), *means.values()}],
+        *[F.count(column).alias(f"_n_{column}") for column in set(means.values())],
+        *[value.alias(name) for name, value in bits.items()],
+    )
+    share = {
+        name: F.try_divide(F.sum(f"_sum_{column}").cast("double"), F.sum(f"_n_{column}"))
+        for name, column in means.items()
+    }
+    many = {
+        name: sum((F.bit_count(F.bit_or(f"_{column}_{word}")) for word in range(words[column])), F.lit(0)).cast("bigint")
+        for name, column in dims.items()
+    }
+    return orders.groupBy("customer_id").agg(
+        F.count("order_id").alias("orders"),
+        F.min("_first").alias("first_order"),
+        F.max("_last").alias("last_order"),
+        *[F.sum(f"_sum_{column}").cast("double").alias(name) for name, column in sums.items()],
+        *[value.alias(name) for name, value in {**share, **many}.items()],
+    )
+
+
 def summary_totals(lines: DataFrame) -> DataFrame:
-    return lines.agg(
+    sums = lines.agg(
         total("sales").alias("total_revenue"),
         total("profit").alias("total_profit"),
         mean("profit_margin").alias("avg_margin"),
-        F.countDistinct("customer_id").alias("customers"),
-        F.countDistinct("product_id").alias("products"),
         F.min("order_date").alias("first_date"),
         F.max("order_date").alias("last_date"),
     )
-
-
-def totals_by(lines: DataFrame, dim: str) -> DataFrame:
-    return lines.where(F.col(dim).isNotNull()).groupBy(dim).agg(
-        F.round(F.sum("sales"), 2).cast("double").alias("sales"),
-        F.round(F.sum("profit"), 2).cast("double").alias("profit"),
-    )
-
-
-def means_by(lines: DataFrame, dim: str) -> DataFrame:
-    return lines.where(F.col(dim).isNotNull()).groupBy(dim).agg(
-        F.round(mean("sales"), 4).alias("sales"),
-        F.round(mean("profit"), 4).alias("profit"),
-        F.round(mean("profit_margin"), 4).alias("profit_margin"),
-    )
+    return add_distinct(sums, lines, [], {"customers": "customer_id", "products": "product_id"})
 
 
 def summary_by_dim(lines: DataFrame) -> DataFrame:
@@ -102,17 +143,14 @@ def customer_features(
 ) -> DataFrame:
     """One row per customer: recency, frequency, value, habits and the churn label."""
     latest = lines.select(F.max("order_date")).scalar()
-    customers = lines.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
-    features = customers.agg(
-        F.datediff(latest, F.max("order_date")).cast("bigint").alias("recency"),
-        F.countDistinct("order_id").alias("frequency"),
-        total(monetary_col).alias("monetary"),
-        total("profit").alias("total_profit"),
-        mean("discount").alias("avg_discount"),
-        mean("profit_margin").alias("avg_margin"),
-        F.countDistinct("category").alias("num_categories"),
-        F.countDistinct("channel").alias("num_channels"),
+    facts = customer_facts(
+        lines.where(F.col("customer_id").isNotNull()),
+        {"monetary": monetary_col, "total_profit": "profit"},
+        {"avg_discount": "discount", "avg_margin": "profit_margin"},
+        {"num_categories": "category", "num_channels": "channel"},
     )
+    facts = facts.withColumn("recency", F.datediff(latest, "last_order").cast("bigint"))
+    features = facts.withColumnRenamed("orders", "frequency").select("customer_id", *CHURN_FEATURES)
     return features.withColumn("churned", (F.col("recency") > churn_days).cast("int"))
 
 
@@ -122,17 +160,12 @@ def mart_customer(
     """Customer mart. Segments and churn scores join when given."""
     known = lines.where(F.col("customer_id").isNotNull())
     names = first_present_per_key(known, "customer_id", ["customer_name", "segment", "region"])
-    facts = known.groupBy("customer_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        total("sales").alias("total_revenue"),
-        total("profit").alias("total_profit"),
-        mean("discount").alias("avg_discount"),
-        mean("profit_margin").alias("avg_margin"),
-        F.min("order_date").alias("first_order"),
-        F.max("order_date").alias("last_order"),
-        F.countDistinct("category").alias("num_categories"),
-        F.countDistinct("channel").alias("num_channels"),
-    )
+    facts = customer_facts(
+        known,
+        {"total_revenue": "sales", "total_profit": "profit"},
+        {"avg_discount": "discount", "avg_margin": "profit_margin"},
+        {"num_categories": "category", "num_channels": "channel"},
+    ).withColumnRenamed("orders", "total_orders")
     # Both sides are grouped on customer_id, so this join needs no further shuffle.
     mart = names.join(facts, "customer_id")
     if rfm is not None:
@@ -195,12 +228,11 @@ def exec_snapshot(lines: DataFrame) -> DataFrame:
         total("sales").alias("total_revenue"),
         total("profit").alias("total_profit"),
         mean("profit_margin").alias("avg_margin"),
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("customer_id").alias("total_customers"),
         F.abs(loss).alias("recoverable"),
         F.abs(F.least(drain, F.lit(0).cast("decimal(18,4)"))).alias("over_discount_drain"),
         F.abs(F.least(union, F.lit(0).cast("decimal(18,4)"))).alias("distinct_recovery"),
     )
+    snapshot = add_distinct(snapshot, lines, [], {"total_orders": "order_id", "total_customers": "customer_id"})
     both = F.col("recoverable") + F.col("over_discount_drain")
     return snapshot.withColumns(
         {

@@ -200,13 +200,17 @@ def profile_nulls(df: DataFrame) -> DataFrame:
     return counts.select(F.expr(f"stack({len(df.columns)}, {cells}) AS {shape}"))
 
 
-def encode_ordinal(df: DataFrame, names: list[str], suffix: str = "_enc") -> DataFrame:
+def encode_ordinal(
+    df: DataFrame, names: list[str], suffix: str = "_enc", combinations: DataFrame | None = None
+) -> DataFrame:
     """Alphabetical 0-based codes of category columns; NULL stays NULL.
 
     The value combinations are found in one pass and written, so that the join of each code
     table is planned by its file size: a small one is broadcast and the rows stay in place.
+    ``combinations`` may give them where they are written already.
     """
-    combinations = storage.stage(df.select(*names).distinct(), "categories")
+    if combinations is None:
+        combinations = storage.stage(df.select(*names).distinct(), "categories")
     for name in names:
         values = combinations.select(name).where(F.col(name).isNotNull()).distinct()
         code = (F.row_number().over(Window.orderBy(name)) - 1).cast("bigint")

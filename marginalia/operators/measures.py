@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions.columns import divide_or_zero, mean, ratio, total
+from marginalia.operators.aggregates import add_distinct
 from marginalia.operators.windows import period_shift
 
 # Columns of each period, and how many of them make a year.
@@ -27,12 +28,11 @@ def _periods(by: list[str] | None, period: str | None) -> list[str]:
 
 def core(lines: DataFrame, by: list[str] | None = None, period: str | None = "month") -> DataFrame:
     """Revenue, profit, orders, margin, order value and revenue per customer."""
-    sums = lines.groupBy(*_periods(by, period)).agg(
-        total("sales").alias("total_revenue"),
-        total("profit").alias("total_profit"),
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("customer_id").alias("customers"),
+    keys = _periods(by, period)
+    sums = lines.groupBy(*keys).agg(
+        total("sales").alias("total_revenue"), total("profit").alias("total_profit")
     )
+    sums = add_distinct(sums, lines, keys, {"total_orders": "order_id", "customers": "customer_id"})
     revenue = F.col("total_revenue")
     return sums.withColumns(
         {

@@ -98,7 +98,7 @@ def draw_counts(df: DataFrame, group: list[str], draw: str, bits: int = 16) -> D
     return storage.stage(counts, "draws")
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
+def join_same(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
     """A join on equal or equally missing ``names``, which the left side keeps."""
     renamed = right.withColumnsRenamed({name: f"_of_{name}" for name in names})
     on = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in names]
@@ -121,23 +121,23 @@ def lowest_draws(df: DataFrame, group: list[str], draw: str, keys: list[str], sh
 
     counts = draw_counts(narrow, group, "_draw")
     totals = counts.groupBy(*group).agg(F.round(F.sum("_n") * share).cast("bigint").alias("_wanted"))
-    edge = holding(_same(counts, totals, group), "_wanted")
+    edge = holding(join_same(counts, totals, group), "_wanted")
     edge = storage.stage(edge.select(*group, "_bucket", (F.col("_wanted") - F.col("_before")).alias("_left")), "edges")
     # Inside the bucket the lower 16 bits, shifted up, are the draw.
-    inside = _same(narrow, edge, group).where(F.shiftright("_draw", 16) == F.col("_bucket"))
+    inside = join_same(narrow, edge, group).where(F.shiftright("_draw", 16) == F.col("_bucket"))
     low = draw_counts(inside.withColumn("_low", F.shiftleft(F.col("_draw").bitwiseAND(0xFFFF), 16)), group, "_low")
-    found = holding(_same(low.withColumnRenamed("_bucket", "_lower"), edge, group), "_left")
+    found = holding(join_same(low.withColumnRenamed("_bucket", "_lower"), edge, group), "_left")
     last = found.select(
         *group,
         (F.shiftleft("_bucket", 16) + F.col("_lower")).alias("_last"),
         (F.col("_left") - F.col("_before")).alias("_tied"),
     )
     last = storage.stage(last, "last-draws")
-    tied = _same(narrow, last, group).where(F.col("_draw") == F.col("_last"))
+    tied = join_same(narrow, last, group).where(F.col("_draw") == F.col("_last"))
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*ties))
     tied = tied.withColumn("_place", place).where(F.col("_place") == F.col("_tied"))
     ends = storage.stage(tied.select(*group, "_last", F.struct(*ties).alias("_end")), "ends")
-    flagged = _same(df, ends, group, "left")
+    flagged = join_same(df, ends, group, "left")
     own = F.struct(*[F.col(key).alias(f"_key_{key}") for key in keys])
     low_enough = (F.col(draw) < F.col("_last")) | ((F.col(draw) == F.col("_last")) & (own <= F.col("_end")))
     return flagged.withColumn(name, F.coalesce(low_enough, F.lit(False)).cast("int")).drop("_last", "_end")
@@ -152,7 +152,7 @@ def rank_by_draw(df: DataFrame, group: list[str], draw: str, keys: list[str], na
     bucketed = df.withColumn("_bucket", F.shiftright(draw, 16))
     starts = draw_counts(df.select(*group, draw), group, draw).drop("_n")
     own = Window.partitionBy(*group, "_bucket").orderBy(draw, *keys)
-    ranked = _same(bucketed.withColumn("_row", F.row_number().over(own)), starts, [*group, "_bucket"])
+    ranked = join_same(bucketed.withColumn("_row", F.row_number().over(own)), starts, [*group, "_bucket"])
     return ranked.withColumn(name, F.col("_row") + F.col("_before")).drop("_row", "_before", "_bucket")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginalia import storage
 from marginalia.functions.columns import CUT_EDGES, CUT_LABELS, clip, cut, mean, one_row
 from marginalia.functions.tails import f_tail, t_two_sided
 from marginalia.operators.windows import exact_quantiles
@@ -239,14 +240,13 @@ def box_summary(df: DataFrame, value: str, group: str) -> DataFrame:
     quartiles = exact_quantiles(present, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    # Equal values are counted before the join, which spreads a hot group over its values.
-    counts = present.groupBy(group, value).agg(F.count("*").alias("_n"))
+    # The quartiles are one row per group, broadcast by their file size, so a hot group is not moved.
     return (
-        counts.join(quartiles, group)
+        present.join(storage.stage(quartiles, "quartiles"), group)
         .groupBy(group, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col(value))).alias("whisker_low"),
             F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("_n"))).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
     )

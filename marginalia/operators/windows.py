@@ -2,11 +2,16 @@
 
 A window without a partition key would pull every row into one task. Here rows are range
 partitioned on the full sort key and written once, which fixes each row's position; ranks and
-running totals then need only the per-partition totals, one row per partition.
+running totals then need only the per-partition totals, one row per partition. Where only some
+positions are wanted (quantiles, tiles), rows are counted in ranges instead and none are sorted.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +21,11 @@ from marginalia.functions.columns import as_column, one_row
 # Layout of monotonically_increasing_id: partition in the upper bits, row in the lower 33.
 ROW_BITS = 33
 
+# A sketch of this accuracy puts range ends this far, as a share of the rows, around a wanted position.
+SKETCH_ACCURACY, SKETCH_WIDTH = 10_000, 0.0005
+# Different values of a range that one task orders; larger ranges are divided into this many.
+CELL_VALUES, SPLITS = 1_000_000, 32
+
 
 def in_order(df: DataFrame, order: list) -> DataFrame:
     """Rows range partitioned and sorted by ``order``, with partition and row numbers."""
@@ -177,39 +187,155 @@ def ntile(df: DataFrame, buckets: int, order: list, name: str) -> DataFrame:
     return ranked.withColumn(name, tile.cast("bigint")).drop("_rank", "_small", "_extra")
 
 
+def _placed(rows: DataFrame, value: str, keys: list[str], points: list[float], size: str) -> DataFrame:
+    """Rows with the number (``_cell``) of the range of ``value`` they lie in, and the size of their group.
+
+    Range ends are a sketch's quantiles at ``points``, per group of ``keys``. They decide only how
+    even the ranges are: whatever they are, ranges follow the order of the values.
+    """
+    ends = rows.groupBy(*keys).agg(
+        F.sum("_n").alias(size), F.percentile_approx(value, points, SKETCH_ACCURACY).alias("_ends")
+    )
+    if keys:
+        rows = join_same(rows, storage.stage(ends, "range-ends"), keys)
+    else:
+        rows = rows.withColumn("_found", one_row(ends)).select("*", "_found.*").drop("_found")
+    cell = F.lit(0)
+    for i in range(len(points)):
+        cell = cell + F.when(F.col(value) > F.get("_ends", F.lit(i)), 1).otherwise(0)
+    return rows.withColumn("_cell", cell).drop("_ends")
+
+
+def values_around(
+    df: DataFrame,
+    value: str,
+    by: list[str],
+    shares: list[float],
+    holds: Callable[[Column, Column], Column],
+    cell_values: int = CELL_VALUES,
+) -> DataFrame:
+    """Counted values in the ranges that hold wanted positions, without sorting the rows.
+
+    ``holds(first, n)`` says whether one of the ``n`` sorted positions of a group from ``first`` (0-based)
+    on is wanted, given the group's ``_size``; ``shares`` say roughly where these lie. A pass counts the
+    rows of narrow ranges around the shares and of the wide ones between them, and the rows of ranges
+    that hold a wanted position are counted by value and written; ranges of more than ``cell_values``
+    different values are divided again. Result: ``by``, value, ``_n``, ``_size``, and ``_below``, the group's
+    rows with lower values. Missing values are left out; a missing group is a group.
+    """
+    near = sorted({p + d for p in shares for d in (-SKETCH_WIDTH, SKETCH_WIDTH) if 0 < p + d < 1})
+    evenly = [i / SPLITS for i in range(1, SPLITS)]
+    rows = df.where(F.col(value).isNotNull()).select(*by, value, F.lit(1).alias("_n"))
+    rows = _placed(rows, value, by, near, "_size").withColumn("_first", F.lit(0).cast("bigint"))
+    held, largest = None, None
+    while True:
+        keys = [*by, "_first"]
+        earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        cells = rows.groupBy(*keys, "_size", "_cell").agg(F.sum("_n").alias("_rows"))
+        before = F.col("_first") + F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+        cells = cells.withColumn("_start", before).where(holds(F.col("_start"), F.col("_rows")))
+        cells = storage.stage(cells.select(*keys, "_cell", "_start"), "ranges")
+        inside = join_same(rows, cells, [*keys, "_cell"])
+        counted = inside.groupBy(*by, "_size", F.col("_start").alias("_first"), value).agg(F.sum("_n").alias("_n"))
+        previous, held = held, storage.stage(counted, "range-values")
+        if previous is not None:
+            storage.discard(previous)
+        found = held.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        # Values that no sketch can part are ordered as they are.
+        if found <= cell_values or found == largest:
+            break
+        largest = found
+        rows = _placed(held, value, keys, evenly, "_in_range").drop("_in_range")
+    lower = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_first") + F.coalesce(F.sum("_n").over(lower), F.lit(0))
+    return held.withColumn("_below", below).drop("_first")
+
+
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: dict[str, float], by: list[str] | None = None
+    df: DataFrame,
+    value: str,
+    probabilities: dict[str, float],
+    by: list[str] | None = None,
+    cell_values: int = CELL_VALUES,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles, one row per group: ``{output: probability}``.
 
-    Equal values are counted first, so a value shared by a third of all rows is one row. The
-    running count then shows which values sit at the two neighbouring positions.
+    The values at the two neighbouring positions are selected by counting, see ``values_around``.
     """
     by = by or []
-    counts = (
-        df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    )
-    counts = running_totals(counts, [*by, value], {"_upto": "_n"})
-    counts = counts.withColumn("_below", F.col("_upto") - F.col("_n"))
-    groups = counts.groupBy(*by).agg(
-        F.min("_below").alias("_start"), F.sum("_n").alias("_size")
-    )
-    # Written group totals join by their file size: few groups are broadcast.
-    if by:
-        counts = counts.join(storage.stage(groups, "groups"), by)
-    else:
-        counts = counts.withColumn("_all", one_row(groups)).select("*", "_all.*")
-    below = F.col("_below") - F.col("_start")
+    positions = {name: (F.col("_size") - 1) * F.lit(float(p)) for name, p in probabilities.items()}
+    wanted = [end(position) for position in positions.values() for end in (F.floor, F.ceil)]
+
+    def holds(first: Column, n: Column) -> Column:
+        return reduce(or_, [(first <= place) & (place < first + n) for place in wanted])
+
+    shares = list(probabilities.values())
+    counts = values_around(df, value, by, shares, holds, cell_values)
     picks = []
-    for name, p in probabilities.items():
-        position = (F.col("_size") - 1) * F.lit(float(p))
-        low = F.max(F.when(below <= F.floor(position), F.col(value).cast("double")))
-        high = F.max(F.when(below <= F.ceil(position), F.col(value).cast("double")))
+    for name, position in positions.items():
+        number = F.col(value).cast("double")
+        low = F.max(F.when(F.col("_below") <= F.floor(position), number))
+        high = F.max(F.when(F.col("_below") <= F.ceil(position), number))
         part = F.max(position - F.floor(position))
         picks.append((low + (high - low) * part).alias(name))
     return counts.groupBy(*by).agg(*picks)
 
 
+def tiles(
+    df: DataFrame, buckets: int, value: str, keys: list[str], name: str, descending: bool = False
+) -> DataFrame:
+    """NTILE over the whole table by ``value`` and then ascending ``keys``, without sorting the rows.
+
+    The value on which each tile begins is selected by counting. Only rows that tie with a value
+    that two tiles share are ordered, by their keys. Rows are then compared with at most
+    ``buckets`` - 1 tile starts. Missing values are lower than all others, as in SQL's NTILE.
+    """
+    rows, missing = df.agg(F.count("*"), F.count_if(F.col(value).isNull())).first()
+    present = rows - missing
+    small, extra = divmod(rows, buckets)
+    starts = [number * small + min(number, extra) for number in range(1, buckets)]
+    starts = sorted({start for start in starts if 0 < start < rows})
+    # Ascending positions among the present values; missing ones come first, or last if descending.
+    places = {s: present - 1 - s if descending else s - missing for s in starts}
+    inner = {s: place for s, place in places.items() if 0 <= place < present}
+
+    def holds(first: Column, n: Column) -> Column:
+        return reduce(or_, [(first <= place) & (place < first + n) for place in inner.values()])
+
+    # Of each start: its value, and how many rows with that value belong to earlier tiles.
+    edges = {s: (None, s - present if descending else s) for s in starts if s not in inner}
+    sizes = {None: missing}
+    if inner:
+        found = values_around(df, value, [], [place / present for place in inner.values()], holds)
+        for row in found.where(holds(F.col("_below"), F.col("_n"))).orderBy(value).collect():
+            sizes[row[value]] = row["_n"]
+            for s, place in inner.items():
+                if row["_below"] <= place < row["_below"] + row["_n"]:
+                    offset = place - row["_below"]
+                    edges[s] = (row[value], row["_n"] - 1 - offset if descending else offset)
+    types = dict(df.dtypes)
+    tied = {at: F.col(value).eqNullSafe(F.lit(at).cast(types[value])) for at in sizes}
+    # Rows that tie with a split value are ranked together; each value's ranks follow the ones before.
+    split = [at for at in sizes if any(edge is at and earlier for edge, earlier in edges.values())]
+    firsts = {}
+    if split:
+        ranks, upto = {}, 0
+        for at in split:
+            ranks |= {upto + earlier + 1: (at, earlier) for edge, earlier in edges.values() if edge is at and earlier}
+            upto += sizes[at]
+        rows_tied = df.where(reduce(or_, [tied[at] for at in split])).select(value, *keys)
+        ranked = global_rank(rows_tied, [value, *keys], "_rank").where(F.col("_rank").isin(list(ranks)))
+        for row in ranked.collect():
+            firsts[ranks[row["_rank"]]] = F.struct(*[F.lit(row[key]).cast(types[key]).alias(key) for key in keys])
+    tile = F.lit(1).cast("bigint")
+    for at, earlier in edges.values():
+        higher = F.col(value).isNotNull() if at is None else F.coalesce(F.col(value) > F.lit(at), F.lit(False))
+        after = ~higher & ~tied[at] if descending else higher
+        same = tied[at] & (F.struct(*keys) >= firsts[at, earlier]) if earlier else tied[at]
+        tile = tile + F.when(after | same, 1).otherwise(0)
+    return df.withColumn(name, tile)
+
+
 def quantile_cut(df: DataFrame, value: str, q: int, name: str) -> DataFrame:
     """0-based quantile bin: right-closed, the lowest value in bin 0, equal edges merged."""
     edges = exact_quantiles(df, value, {f"_e{i}": i / q for i in range(q + 1)})

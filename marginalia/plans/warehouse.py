@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginalia import storage
 from marginalia.operators import windows
 from marginalia.functions.columns import money
 
@@ -144,8 +145,8 @@ def rfm_scores(
 ) -> DataFrame:
     """Recency, frequency and monetary tiles per customer, with the named segment.
 
-    Tiles come from distributed ranks: SQL ``NTILE`` without a partition key would sort all
-    customers in one task.
+    Tiles begin at values selected by counting: SQL ``NTILE`` without a partition key would sort
+    all customers in one task.
     """
     latest = fact.select(F.max("order_date")).scalar()
     base = fact.groupBy("customer_id").agg(
@@ -154,13 +155,10 @@ def rfm_scores(
         money("sales").alias("monetary"),
     )
     scored = base.join(customers.select("customer_id", "segment"), "customer_id")
-    orders = {
-        "r_score": F.col("recency_days").desc(),
-        "f_score": F.col("frequency").asc(),
-        "m_score": F.col("monetary").asc(),
-    }
-    for name, order in orders.items():
-        scored = windows.ntile(scored, buckets, [order, F.col("customer_id")], name)
+    scored = storage.stage(scored, "rfm")
+    tiles = {"r_score": ("recency_days", True), "f_score": ("frequency", False), "m_score": ("monetary", False)}
+    for name, (value, descending) in tiles.items():
+        scored = windows.tiles(scored, buckets, value, ["customer_id"], name, descending)
     r, f = F.col("r_score"), F.col("f_score")
     scored = scored.withColumns(
         {

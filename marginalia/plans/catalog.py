@@ -16,6 +16,7 @@ from marginalia.operators import (
     clean,
     evaluate,
     features,
+    forecast,
     measures,
     models,
     recommend,
@@ -495,6 +496,15 @@ QUERIES: dict[str, Query] = {
     "revenue_forecast_12m": on_lines(
         lambda lines: features.seasonal_forecast(aggregates.monthly_series(lines)), 2
     ),
+    "revenue_forecast_bends": on_lines(
+        lambda lines: forecast.trend_season_forecast(aggregates.monthly_series(lines)), 2
+    ),
+    "category_forecast_bends": on_lines(
+        lambda lines: forecast.trend_season_forecast(
+            aggregates.monthly_series(lines, ["category"]), by=["category"]
+        ),
+        2,
+    ),
     "stratified_split": stratified,
     "return_label": on_lines(
         lambda lines: features.return_label(lines).select("row_id", "returned")

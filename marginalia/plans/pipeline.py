@@ -13,6 +13,7 @@ from marginalia.operators import (
     clean,
     evaluate,
     features,
+    forecast,
     measures,
     models,
     recommend,
@@ -121,6 +122,7 @@ def build(lines: DataFrame, rounds: int = 300, trees: int = 200) -> dict[str, Da
         "models/demand_importance": models.feature_importance(demand),
         "models/revenue_backtest": revenue.scored,
         "models/revenue_forecast": features.seasonal_forecast(aggregates.monthly_series(lines)),
+        "models/revenue_forecast_bends": forecast.trend_season_forecast(aggregates.monthly_series(lines)),
         "models/elasticity": slopes,
         "models/elasticity_overall": features.elasticity_overall(lines),
         "models/reorder_points": reorder,

@@ -11,8 +11,11 @@ Control strings in texts and roles, of this template and of other common ones, g
 after their first character, and backslashes are doubled, which ``unescape`` reverses.
 
 A task streams over its conversations, sorted, and holds one window at a time, however long a
-conversation is. Tokens are estimated: words or a quarter of the code points, whichever is more,
-and four for the marks.
+conversation is. Tokens are those of the turn as written, marks and escapes included, in a given
+byte-level BPE file. Its pieces never reach over the line end between two turns, so the tokens of
+a window are the sum of its turns'. They are counted where the rows lie, before the shuffle. Without
+a file they are estimated: words or a quarter of the code points, whichever is more, and four for
+the marks.
 
 Defined cases: null texts and roles are empty; rows of a null conversation id form one
 conversation; repeated rows are turns of their own; an empty table gives none; a turn over the
@@ -31,6 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.llm.bpe import codec
+from marginalia.llm.text import flat, steps, strings
+
 BUDGET, HISTORY, MARKS = 512, 128, 4
 START, END = "<|im_start|>", "<|im_end|>\n"
 CONTROL = re.compile(r"\\|<\|(?:im_start|im_end|endoftext|system|user|assistant)\|>|</?s>|\[/?INST\]|<</?SYS>>")
@@ -59,6 +65,7 @@ def unescape(text: str) -> str:
 
 
 def tokens(text: str) -> int:
+    """An estimate, for want of a vocabulary."""
     return max(len(text.split()), -(-len(text) // 4)) + MARKS
 
 
@@ -86,17 +93,22 @@ def windows(turns: Iterable[Turn], budget: int = BUDGET, history: int = HISTORY)
         yield held[:old] if first else system + held[:old], (system if first else []) + held[old:]
 
 
+def head(role: str) -> str:
+    """What comes before a turn's text."""
+    return START + json.dumps(escape(role), ensure_ascii=False)[1:-1] + "\n"
+
+
 def write(repeated: list[Turn], new: list[Turn]) -> tuple[str, list[tuple[int, int]]]:
     """The text of a window and the places of its targets."""
     parts: list[str] = []
     targets, at = [], 0
     for number, (role, text, _) in enumerate([*repeated, *new]):
-        head = START + json.dumps(escape(role), ensure_ascii=False)[1:-1] + "\n"
+        before = head(role)
         body = escape(text)
         if role == "assistant" and number >= len(repeated):
-            targets.append((at + len(head), at + len(head) + len(body)))
-        parts += [head, body, END]
-        at += len(head) + len(body) + len(END)
+            targets.append((at + len(before), at + len(before) + len(body)))
+        parts += [before, body, END]
+        at += len(before) + len(body) + len(END)
     return "".join(parts), targets
 
 
@@ -151,19 +163,45 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 1000) -> Iter
         yield batch()
 
 
-def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+def count_tokens(turns: DataFrame, path: str | None = None) -> DataFrame:
+    """``turns`` (``conv_id``, ``turn``, ``role``, ``text``) with the tokens of each as written (``size``)."""
+
+    def sizes(part: pa.RecordBatch) -> list[int]:
+        texts = strings(part.column("text"))
+        if path is None:
+            return [tokens(text) for text in texts]
+        roles = strings(part.column("role"))
+        written = [head(role) + escape(text) + END for role, text in zip(roles, texts, strict=True)]
+        ids = codec(path).encode(written, *flat(pa.array(written, pa.large_string())))
+        return [len(found) for found in ids]
+
+    def scan(batches):
+        for batch in batches:
+            for part in steps(batch, "text"):
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(sizes(part), pa.int64())], [*part.schema.names, "size"]
+                )
+
+    return turns.mapInArrow(scan, "conv_id long, turn long, role string, text string, size long")
+
+
+def format_windows(
+    conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, path: str | None = None
+) -> DataFrame:
     """Windows of ``conversations`` (``conv_id``, ``turn``, ``role``, ``text``): ``conv_id``,
-    ``window`` from 0, ``text``, number of leading ``repeated`` turns, ``targets`` in code points."""
+    ``window`` from 0, ``text``, number of leading ``repeated`` turns, ``targets`` in code points.
+
+    ``path`` is a byte-level BPE file every executor can open; ``budget`` and ``history`` count its tokens.
+    """
     source = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         *(F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ("role", "text")),
     )
-    ordered = source.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    ordered = count_tokens(source, path).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def rows(batches):
-        for key, members in _conversations(batches, "role", "text"):
-            turns = ((role, text, tokens(text)) for role, text in members)
+        for key, turns in _conversations(batches, "role", "text", "size"):
             for number, (repeated, new) in enumerate(windows(turns, budget, history)):
                 text, targets = write(repeated, new)
                 yield key, number, text, len(repeated), [{"start": low, "end": high} for low, high in targets]

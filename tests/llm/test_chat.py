@@ -4,9 +4,10 @@ import hashlib
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from marginalia.llm import chat
-from marginalia.llm.queries import QUERIES
+from marginalia.llm.queries import QUERIES, VOCABULARY
 from tests.conftest import SMALL
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -95,3 +96,25 @@ def test_awkward_rows(spark):
         (key, role, text) for key, _, role, text in rows if key == 1
     )
     assert digests(chat.format_windows(spark.createDataFrame([], SCHEMA))) == {}
+
+
+def test_windows_keep_the_budget_in_real_tokens(spark):
+    given = spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    awkward = [(-1, turn, ("user", "assistant")[turn % 2], text) for turn, text in enumerate(["", " ", "\n\n", "文字" * 40, "</s> x\n", "a\\<s>"] * 60)]
+    awkward += [(-2, 0, "us er\n", None), (-2, 1, "assistant", "one very long text " * 150_000), (-2, 2, None, "after")]
+    frame = given.unionByName(spark.createDataFrame(awkward, SCHEMA))
+    library = Tokenizer.from_file(VOCABULARY)
+
+    def size(text):
+        return len(library.encode(text, add_special_tokens=False).ids)
+
+    over = several = 0
+    for row in chat.format_windows(frame, path=VOCABULARY).collect():
+        turns = chat.read(row.text)
+        sizes = [size(chat.write([], [(role, text, 0)])[0]) for role, text in turns]
+        assert sum(sizes) == size(row.text)
+        new = [role for role, _ in turns[row.repeated :] if role != "system"]
+        several += len(new) > 1
+        over += sum(sizes) > chat.BUDGET
+        assert sum(sizes) <= chat.BUDGET or len(new) <= 1
+    assert over and several > 10

@@ -119,7 +119,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.range(2).selectExpr(
         "-7L AS conv_id", "id AS turn", "IF(id = 0, 'user', 'assistant') AS role", f"'{text}' AS text"
     )
-    return chat.digests(chat.format_windows(given.unionByName(more), path=VOCABULARY))
+    return chat.digests(chat.format_windows(given.unionByName(more), path=VOCABULARY, ranks=RANKS))
 
 
 def secret_columns(found: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from marginalia.llm import chat
-from marginalia.llm.queries import QUERIES, VOCABULARY
+from marginalia.llm.queries import QUERIES, RANKS, VOCABULARY
 from tests.conftest import SMALL
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -109,7 +109,7 @@ def test_windows_keep_the_budget_in_real_tokens(spark):
         return len(library.encode(text, add_special_tokens=False).ids)
 
     over = several = 0
-    for row in chat.format_windows(frame, path=VOCABULARY).collect():
+    for row in chat.format_windows(frame, path=VOCABULARY, ranks=RANKS).collect():
         turns = chat.read(row.text)
         sizes = [size(chat.write([], [(role, text, 0)])[0]) for role, text in turns]
         assert sum(sizes) == size(row.text)
@@ -118,3 +118,10 @@ def test_windows_keep_the_budget_in_real_tokens(spark):
         over += sum(sizes) > chat.BUDGET
         assert sum(sizes) <= chat.BUDGET or len(new) <= 1
     assert over and several > 10
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXTS, max_size=4))
+def test_both_libraries_count_alike(texts):
+    written = [chat.write([], [("user", text, 0)])[0] for text in texts]
+    assert chat.token_counts(written, VOCABULARY, RANKS) == chat.token_counts(written, VOCABULARY)

@@ -9,6 +9,10 @@ few crews of trees at most, so the shuffle is a small multiple of the table, not
 
 Trees are not cut: nodes split until they are pure or no column parts their rows. All nodes of a
 level are split together from histograms of weighted class counts.
+
+A forest of a fixed depth (``fit_levels``) sees all rows in every tree: the bootstrap weights of a
+row follow from its key, and each level of all trees takes one pass over the binned table, whose
+tasks send histograms only. What a task holds and sends follows from trees and depth, not from rows.
 """
 
 from __future__ import annotations
@@ -22,12 +26,17 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from marginalia import storage
 
 BINS = 64
 # Copies of a block, each for its share of the block's trees.
 CREWS = 16
+# Rows that ``fit_levels`` works on at a time, so that they stay in the processor's cache.
+CHUNK_ROWS = 1 << 16
+# The bootstrap weight (how often a row is drawn: Poisson with mean 1) by 16 random bits.
+DRAWN = np.searchsorted(np.cumsum([math.exp(-1) / math.factorial(n) for n in range(9)]), (np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.uint8)
 
 
 @dataclass(frozen=True)
@@ -127,14 +136,29 @@ def grow(bins: np.ndarray, label: np.ndarray, weight: np.ndarray, rng: np.random
     return Tree(*(np.concatenate(parts).astype(kind) for parts, kind in zip((feature, cut, left, value), kinds, strict=True)))
 
 
-def binned(rows: DataFrame, names: list[str], keys: list[str], label: str) -> DataFrame:
+def bin_edges(rows: DataFrame, names: list[str]) -> list[np.ndarray]:
+    """Quantiles of the whole table, to one in a thousand."""
+    shares = [place / BINS for place in range(1, BINS)]
+    return [np.unique(found) for found in rows.approxQuantile(names, shares, 0.001)]
+
+
+def cells_of(values: list[np.ndarray], edges: list[np.ndarray]) -> np.ndarray:
+    """The bins of some rows, one line per row; missing numbers lie in the first bin."""
+    cells = np.zeros((len(values[0]), len(edges)), np.uint8)
+    for place, (column, cuts) in enumerate(zip(values, edges, strict=True)):
+        known = ~np.isnan(column)
+        cells[known, place] = np.searchsorted(cuts, column[known], side="left")
+    return cells
+
+
+def binned(
+    rows: DataFrame, names: list[str], keys: list[str], label: str, edges: list[np.ndarray] | None = None
+) -> DataFrame:
     """(``draw``, ``fold``, ``label``, ``bins``): each row's columns as one byte each, staged.
 
-    Edges are quantiles of the whole table, to one in a thousand; missing numbers lie in the first
-    bin. ``draw`` follows from the row's key.
+    Edges are those of ``bin_edges`` unless given. ``draw`` follows from the row's key.
     """
-    shares = [place / BINS for place in range(1, BINS)]
-    edges = [np.unique(found) for found in rows.approxQuantile(names, shares, 0.001)]
+    edges = edges or bin_edges(rows, names)
     source = rows.select(
         F.xxhash64(*keys).alias("draw"),
         F.col("fold").cast("int").alias("fold"),
@@ -145,11 +169,7 @@ def binned(rows: DataFrame, names: list[str], keys: list[str], label: str) -> Da
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [batch.column(3 + place).to_numpy(zero_copy_only=False) for place in range(len(edges))]
-            cells = np.zeros((batch.num_rows, len(edges)), np.uint8)
-            for place, (column, cuts) in enumerate(zip(values, edges, strict=True)):
-                known = ~np.isnan(column)
-                cells[known, place] = np.searchsorted(cuts, column[known], side="left")
-            raw = pa.py_buffer(cells.tobytes())
+            raw = pa.py_buffer(cells_of(values, edges).tobytes())
             listed = pa.Array.from_buffers(pa.binary(len(edges)), batch.num_rows, [None, raw]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], listed], ["draw", "fold", "label", "bins"])
 
@@ -230,3 +250,165 @@ def held_out_scores(rows: DataFrame, names: list[str], keys: list[str], label: s
         scores = scores.unionByName(part)
     storage.discard(forests)
     return scores
+
+
+def _walk(flat: np.ndarray, rows: np.ndarray, count: int, feature: np.ndarray, cut: np.ndarray, steps: int) -> np.ndarray:
+    """Each row's node after ``steps`` levels, as its place in that level. ``flat`` has the bins of
+    ``count`` rows, column by column."""
+    node = np.zeros(len(rows), np.int64)
+    columns, first = feature.astype(np.int64) * count, 0
+    for level in range(steps):
+        here = slice(first, first + (1 << level))
+        above = flat.take(columns[here].take(node) + rows) > cut[here].take(node)
+        node += node
+        node += above
+        first += 1 << level
+    return node
+
+
+@dataclass
+class LevelForest:
+    """Trees of one depth, a line each, with the nodes of each level behind those of the one above.
+
+    Rows whose bin of ``feature`` is above ``cut`` go to the second child; a node that is not split
+    has the cut 255, which none is above. ``value`` is the share of label 1 in each last node.
+    """
+
+    names: list[str]
+    edges: list[np.ndarray]
+    feature: np.ndarray
+    cut: np.ndarray
+    value: np.ndarray
+    importances: np.ndarray
+
+    def shares(self, cells: np.ndarray) -> np.ndarray:
+        """The mean over the trees of the share of label 1 where a row of ``cells`` ends."""
+        steps, total = self.value.shape[1].bit_length() - 1, np.zeros(len(cells))
+        flat, rows = np.ascontiguousarray(cells.T).ravel(), np.arange(len(cells))
+        for feature, cut, value in zip(self.feature, self.cut, self.value, strict=True):
+            total += value.take(_walk(flat, rows, len(rows), feature, cut, steps))
+        return total / len(self.feature)
+
+    def score(self, rows: DataFrame, name: str) -> DataFrame:
+        """``rows`` with the forest's share of label 1."""
+        shared = rows.sparkSession.sparkContext.broadcast(self)
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                model = shared.value
+                values = [batch.column(one).to_numpy(zero_copy_only=False) for one in model.names]
+                found = pa.array(model.shares(cells_of(values, model.edges)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
+
+        return rows.mapInArrow(scan, StructType([*rows.schema.fields, StructField(name, DoubleType())]))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Draws, labels and bins (column by column) of about ``CHUNK_ROWS`` rows at a time."""
+    held, size = [], 0
+
+    def joined():
+        table = pa.Table.from_batches(held).combine_chunks()
+        bins = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        return table["draw"].to_numpy().view(np.uint64), table["label"].to_numpy().astype(np.int64), np.ascontiguousarray(bins.T).ravel()
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= CHUNK_ROWS:
+            yield joined()
+            held, size = [], 0
+    if size:
+        yield joined()
+
+
+def _best_splits(counts: np.ndarray, chosen: np.ndarray, weights: tuple[float, float]) -> tuple[np.ndarray, ...]:
+    """Column, cut and gain of each node, and the weighted (label 1, all) of the children in turn.
+
+    ``counts`` has, for each chosen column, the rows of each node by bin and label.
+    """
+    zeros, ones = (counts[..., label] * weights[label] for label in (0, 1))
+    all_ = (zeros + ones).cumsum(axis=2)
+    ones = ones.cumsum(axis=2)
+    total, total_ones = all_[0, :, -1], ones[0, :, -1]
+    rest, rest_ones = all_[:, :, -1:] - all_, ones[:, :, -1:] - ones
+    parted = (all_ > 1e-9 * total[:, None]) & (rest > 1e-9 * total[:, None])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        purity = (ones**2 + (all_ - ones) ** 2) / all_ + (rest_ones**2 + (rest - rest_ones) ** 2) / rest
+        before = (total_ones**2 + (total - total_ones) ** 2) / total
+    gain = np.where(parted, purity - before[:, None], -np.inf)
+    nodes = np.arange(counts.shape[1])
+    place = gain.transpose(1, 0, 2).reshape(len(nodes), -1).argmax(axis=1)
+    turn, cut = place // BINS, place % BINS
+    gain = gain[turn, nodes, cut]
+    split = gain > 1e-9 * total
+    left = np.where(split, all_[turn, nodes, cut], total)
+    left_ones = np.where(split, ones[turn, nodes, cut], total_ones)
+    sides = np.stack([left_ones, left, total_ones - left_ones, total - left], axis=1).reshape(-1, 2)
+    return np.where(split, chosen[nodes, turn], 0), np.where(split, cut, 255), np.where(split, gain, 0.0), sides
+
+
+def fit_levels(
+    table: DataFrame, names: list[str], edges: list[np.ndarray], trees: int, depth: int, weights: tuple[float, float], seed: int
+) -> LevelForest:
+    """A forest from all rows of ``table`` (as of ``binned``) with ``weights`` of the labels 0 and 1.
+
+    Each node looks at a random choice of the square root of the columns and is split if that gains
+    purity. Importances are the gains by column, each tree's adding up to one.
+    """
+    spark = table.sparkSession
+    rng = np.random.default_rng(seed)
+    # A row's draws for two trees are products with different odd numbers.
+    odd = rng.integers(0, 1 << 63, trees).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    tried = max(1, int(math.sqrt(len(names))))
+    feature, cut = np.zeros((trees, (1 << depth) - 1), np.uint8), np.full((trees, (1 << depth) - 1), 255, np.uint8)
+    gains, value = np.zeros((trees, len(names))), np.zeros((trees, 1 << depth))
+    source = table.select("draw", "label", "bins")
+    for level in range(depth):
+        nodes = 1 << level
+        chosen = rng.random((trees, nodes, len(names))).argsort(axis=2)[:, :, :tried]
+        shared = spark.sparkContext.broadcast((feature, cut, chosen))
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            feature, cut, chosen = shared.value
+            size = nodes * BINS * 2
+            total = None
+            for draw, label, flat in _chunks(batches):
+                if total is None:
+                    total = np.zeros((trees, tried, size))
+                for tree in range(trees):
+                    weight = DRAWN.take(((draw * odd[tree]) >> np.uint64(48)).view(np.int64))
+                    rows = np.flatnonzero(weight != 0)
+                    weight = weight.take(rows).astype(np.float64)
+                    node = _walk(flat, rows, len(draw), feature[tree], cut[tree], level)
+                    cell = node * (2 * BINS) + label.take(rows)
+                    for turn in range(tried):
+                        column = chosen[tree, :, turn] * len(draw)
+                        bins = flat.take(column.take(node) + rows).astype(np.int64)
+                        bins += bins
+                        bins += cell
+                        total[tree, turn] += np.bincount(bins, weight, size)
+            for tree in range(trees) if total is not None else ():
+                blob = total[tree].astype(np.int64).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([tree], pa.int32()), pa.array([blob], pa.binary())], ["tree", "counts"])
+
+        def split(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+            counts = sum(np.frombuffer(blob, np.int64) for blob in parts["counts"]).reshape(tried, nodes, BINS, 2)
+            found = _best_splits(counts, shared.value[2][key[0]], weights)
+            kinds = (np.uint8, np.uint8, np.float64, np.float64)
+            return pd.DataFrame([(key[0], *(array.astype(kind).tobytes() for array, kind in zip(found, kinds, strict=True)))])
+
+        sums = source.mapInArrow(count, "tree int, counts binary")
+        schema = "tree int, feature binary, cut binary, gain binary, sides binary"
+        here = slice(nodes - 1, 2 * nodes - 1)
+        for row in sums.groupBy("tree").applyInPandas(split, schema).collect():
+            feature[row.tree, here] = np.frombuffer(row.feature, np.uint8)
+            cut[row.tree, here] = np.frombuffer(row.cut, np.uint8)
+            np.add.at(gains[row.tree], feature[row.tree, here], np.frombuffer(row.gain))
+            sides = np.frombuffer(row.sides).reshape(-1, 2)
+            if level == depth - 1:
+                value[row.tree] = np.divide(sides[:, 0], sides[:, 1], out=np.zeros(len(sides)), where=sides[:, 1] > 0)
+        shared.unpersist()
+    totals = gains.sum(axis=1, keepdims=True)
+    shares = np.divide(gains, totals, out=np.zeros_like(gains), where=totals > 0).sum(axis=0)
+    return LevelForest(names, edges, feature, cut, value, shares / shares.sum() if shares.any() else shares)

@@ -8,7 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from marginalia import storage
 from marginalia.functions.columns import ratio
-from marginalia.operators import clean, features
+from marginalia.operators import clean, features, forest
 from marginalia.operators.aggregates import CHURN_FEATURES
-from marginalia.operators.forest import Forest, held_out_scores
+from marginalia.operators.forest import Forest, LevelForest, held_out_scores
 from marginalia.operators.windows import running_totals
 
 # Names of the clusters by falling mean monetary value.
@@ -42,9 +42,9 @@ DEMAND_FEATURES = [
 
 @dataclass
 class Fitted:
-    """A fitted pipeline with its feature names and the scored rows."""
+    """A fitted model with its feature names and the scored rows."""
 
-    model: PipelineModel
+    model: PipelineModel | LevelForest
     features: list[str]
     scored: DataFrame
 
@@ -164,22 +164,23 @@ def return_inputs(lines: DataFrame) -> DataFrame:
 def fit_returns(
     lines: DataFrame, trees: int = 200, depth: int = 8, threshold: float = 0.5, seed: int = 42
 ) -> Fitted:
-    """Random forest for return risk with balanced class weights on a stratified split."""
-    split = features.stratified_split(return_inputs(lines), LINE_KEY, "returned")
-    train = split.where("is_test = 0")
-    negatives, positives = balance_weights(train, "returned")
+    """Random forest for return risk with balanced class weights on a stratified split.
+
+    Each tree is grown from a bootstrap of all training lines, and no line carries its draws.
+    """
+    # Counting, binning and scoring read the lines with their split, so they are written once.
+    split = storage.stage(features.stratified_split(return_inputs(lines), LINE_KEY, "returned"), "returns")
+    negatives, positives = balance_weights(split.where("is_test = 0"), "returned")
     everyone = negatives + positives
-    weight = F.when(
-        F.col("returned") == 1, everyone / (2 * positives) if positives else 1.0
-    ).otherwise(everyone / (2 * negatives) if negatives else 1.0)
-    forest = RandomForestClassifier(
-        labelCol="returned", weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed
-    )
-    model = _pipeline(RETURN_FEATURES, forest).fit(train.withColumn("weight", weight))
-    scored = model.transform(split.where("is_test = 1"))
-    scored = scored.withColumn("return_prob", vector_to_array("probability")[1])
+    weights = tuple(everyone / (2 * rows) if rows else 1.0 for rows in (negatives, positives))
+    train = split.where("is_test = 0")
+    edges = forest.bin_edges(train, RETURN_FEATURES)
+    table = forest.binned(train.withColumn("fold", F.lit(0)), RETURN_FEATURES, LINE_KEY, "returned", edges)
+    model = forest.fit_levels(table, RETURN_FEATURES, edges, trees, depth, weights, seed)
+    storage.discard(table)
+    scored = model.score(split.where("is_test = 1"), "return_prob")
     scored = scored.withColumn("prediction", (F.col("return_prob") >= threshold).cast("int"))
-    return Fitted(model, RETURN_FEATURES, scored.drop("features", "rawPrediction", "probability"))
+    return Fitted(model, RETURN_FEATURES, scored)
 
 
 def _fit_regression(
@@ -223,7 +224,8 @@ def fit_demand(
 
 def feature_importance(fitted: Fitted) -> DataFrame:
     """Importance per feature, one row each."""
-    values = fitted.model.stages[-1].featureImportances
+    model = fitted.model
+    values = model.importances if isinstance(model, LevelForest) else model.stages[-1].featureImportances
     rows = [(name, float(values[i])) for i, name in enumerate(fitted.features)]
     spark = fitted.scored.sparkSession
     table = spark.createDataFrame(rows, "feature string, importance double")

@@ -85,3 +85,45 @@ def test_one_class_and_empty_table(spark, rows):
     same = forest.held_out_scores(rows.where("label = 1"), ["x", "y", "z"], ["key"], "label", grown, 3)
     assert {row.score for row in same.collect()} == {1.0}
     assert forest.held_out_scores(rows.where("key < 0"), ["x", "y", "z"], ["key"], "label", grown, 3).count() == 0
+
+
+def test_levels_use_every_row_and_split_like_plain_counts(spark, rows):
+    names, rows = ["x", "y", "z"], rows.fillna(0.0)
+    edges = forest.bin_edges(rows, names)
+    table = forest.binned(rows, names, ["key"], "label", edges)
+    found = forest.fit_levels(table, names, edges, 30, 1, (1.0, 3.0), 5)
+    again = forest.fit_levels(table.repartition(7), names, edges, 30, 1, (1.0, 3.0), 5)
+    assert (found.feature == again.feature).all() and (found.cut == again.cut).all() and (found.value == again.value).all()
+    held = table.toPandas()
+    bins = np.stack([np.frombuffer(value, np.uint8) for value in held["bins"]])
+    draw, label = held["draw"].to_numpy().view(np.uint64), held["label"].to_numpy()
+    rng = np.random.default_rng(5)
+    odd = rng.integers(0, 1 << 63, 30).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    for tree in range(30):
+        times = forest.DRAWN[(draw * odd[tree]) >> np.uint64(48)]
+        assert 0.9 < times.mean() < 1.1
+        above = bins[:, found.feature[tree, 0]] > found.cut[tree, 0]
+        weight = times * np.where(label == 1, 3.0, 1.0)
+        for side in (0, 1):
+            mine = above == side
+            assert found.value[tree, side] == pytest.approx((weight * label)[mine].sum() / weight[mine].sum())
+
+
+def test_level_forest_scores_near_the_best_area(spark, rows):
+    names, rows = ["x", "y", "z"], rows.fillna(0.0)
+    edges = forest.bin_edges(rows, names)
+    table = forest.binned(rows.where("fold > 0"), names, ["key"], "label", edges)
+    found = forest.fit_levels(table, names, edges, 20, 5, (1.0, 1.0), 5)
+    assert found.importances.sum() == pytest.approx(1) and found.importances.argmin() == 2
+    scored = found.score(rows.where("fold = 0"), "score")
+    assert 0.8 < models.fold_metrics(scored).first().auc < 0.93
+    one = forest.fit_levels(table.where("label = 1"), names, edges, 3, 2, (1.0, 1.0), 5)
+    assert {row.score for row in one.score(rows, "score").collect()} == {1.0} and not one.importances.any()
+
+
+def test_returns_are_fitted_without_a_draw_per_line_and_tree(spark, lines):
+    fitted = models.fit_returns(lines, trees=6, depth=3)
+    assert isinstance(fitted.model, forest.LevelForest) and fitted.model.feature.shape == (6, 7)
+    scored = fitted.scored.collect()
+    assert scored and all(0 <= row.return_prob <= 1 and row.prediction == (row.return_prob >= 0.5) for row in scored)
+    assert abs(sum(row.importance for row in models.feature_importance(fitted).collect()) - 1) < 1e-9

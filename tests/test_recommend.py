@@ -106,3 +106,32 @@ def test_far_areas_are_not_searched_and_vectors_are_staged_once(spark, monkeypat
     areas = counts["block-stats"] / 2
     assert counts["work-list"] < 0.4 * counts["block-stats"] * areas
     assert sum(rows for _, rows, wide in staged if wide) <= 5 * 1200
+
+
+@pytest.mark.parametrize("dense", [0, 16, 1 << 40])
+def test_few_pairs_are_multiplied_in_full_and_none_is_lost(monkeypatch, dense):
+    monkeypatch.setattr(recommend, "DENSE", dense)
+    monkeypatch.setattr(recommend, "PAIR_ROWS", 100)
+    rng = np.random.default_rng(4)
+    points = rng.random((900, 6)) * (rng.random((900, 6)) < 0.6) + 1e-3
+    points[300:420] = points[:120]
+    points /= np.sqrt((points**2).sum(axis=1))[:, None]
+    multiplied = []
+    products = recommend._products
+
+    def counted(some, others, row, column):
+        multiplied.append(len(row))
+        return products(some, others, row, column)
+
+    monkeypatch.setattr(recommend, "_products", counted)
+    names = np.arange(900)
+    best = recommend._Best(names, points, 7)
+    for start in range(0, 900, 150):
+        best.see(names[start : start + 150], points[start : start + 150])
+    near = np.round(points @ points.T, recommend.SIMILARITY_DIGITS)
+    for query in range(900):
+        order = np.lexsort((names, -near[query]))[:7]
+        assert best.candidate[query].tolist() == order.tolist()
+        assert best.similarity[query] == pytest.approx(near[query][order], abs=2e-9)
+    if dense == 16:
+        assert sum(multiplied) < 900 * 900 / 16

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -579,6 +581,16 @@ def fitted(spark: SparkSession, sf_dir: str, name: str) -> models.Fitted:
     return _models[key]
 
 
+def fitted_side_by_side(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> None:
+    """Fits the models at the same time, as a fit of boosted trees is a chain of small jobs."""
+    # What the fits share is staged first, once.
+    retail_lines(spark, sf_dir)
+    if "churn" in names:
+        customer_table(spark, sf_dir)
+    with ThreadPool(len(names)) as pool:
+        pool.map(inheritable_thread_target(spark)(lambda name: fitted(spark, sf_dir, name)), names)
+
+
 def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = fitted(spark, sf_dir, "churn").scored
     return tidy(scored.select("customer_id", "churned", "is_test", "churn_prob", "prediction"))
@@ -599,19 +611,23 @@ def backtest(name: str, keys: list[str]) -> Query:
 
 def model_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error measures of the three regressions on their held-out rows."""
+    names = ("revenue", "residuals", "demand")
+    fitted_side_by_side(spark, sf_dir, names)
     parts = [
         evaluate.regression_metrics(fitted(spark, sf_dir, name).scored).withColumn(
             "model", F.lit(name)
         )
-        for name in ("revenue", "residuals", "demand")
+        for name in names
     ]
     return tidy(parts[0].unionByName(parts[1]).unionByName(parts[2]), 4)
 
 
 def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("churn", "returns", "demand")
+    fitted_side_by_side(spark, sf_dir, names)
     parts = [
         models.feature_importance(fitted(spark, sf_dir, name)).withColumn("model", F.lit(name))
-        for name in ("churn", "returns", "demand")
+        for name in names
     ]
     return tidy(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 

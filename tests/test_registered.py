@@ -63,3 +63,15 @@ def test_entry(spark):
 
 def test_contract_holds_the_catalog():
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
+def test_models_of_one_report_are_fitted_at_the_same_time(spark, monkeypatch):
+    from threading import Barrier
+
+    from marginalia.plans import catalog
+
+    together = Barrier(3, timeout=20)
+    monkeypatch.setattr(catalog, "fitted", lambda spark, sf_dir, name: together.wait())
+    monkeypatch.setattr(catalog, "retail_lines", lambda spark, sf_dir: None)
+    monkeypatch.setattr(catalog, "customer_table", lambda spark, sf_dir: None)
+    catalog.fitted_side_by_side(spark, "unused", ("churn", "returns", "demand"))

@@ -173,7 +173,8 @@ def fit_returns(
     negatives, positives = balance_weights(split.where("is_test = 0"), "returned")
     everyone = negatives + positives
     weights = tuple(everyone / (2 * rows) if rows else 1.0 for rows in (negatives, positives))
-    train = split.where("is_test = 0")
+    known = F.coalesce("returned", F.raise_error(F.lit("labels must not be null")))
+    train = split.where("is_test = 0").withColumn("returned", known)
     edges = forest.bin_edges(train, RETURN_FEATURES)
     table = forest.binned(train.withColumn("fold", F.lit(0)), RETURN_FEATURES, LINE_KEY, "returned", edges)
     model = forest.fit_levels(table, RETURN_FEATURES, edges, trees, depth, weights, seed)
@@ -204,12 +205,14 @@ def _fit_regression(
 def fit_revenue(lines: DataFrame, rounds: int = 200, rate: float = 0.05, seed: int = 42) -> Fitted:
     """Monthly revenue from its lags, trained on the first 80 % of the months."""
     rows = features.chronological_split(features.revenue_lags(lines), "month_no")
+    # A row a month, which the fit reads several times: the lines are summed once.
+    rows = storage.stage(rows, "months")
     return _fit_regression(rows, REVENUE_FEATURES, "revenue", rounds, rate, 6, 1.0, seed)
 
 
 def fit_residuals(lines: DataFrame, rounds: int = 200, rate: float = 0.3, seed: int = 42) -> Fitted:
     """Monthly revenue on a random split, whose residuals are examined."""
-    rows = features.hash_split(features.residual_lags(lines), ["month_no"])
+    rows = storage.stage(features.hash_split(features.residual_lags(lines), ["month_no"]), "months")
     return _fit_regression(rows, RESIDUAL_FEATURES, "revenue", rounds, rate, 6, 1.0, seed)
 
 

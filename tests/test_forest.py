@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marginalia.operators import forest, models
 
@@ -127,3 +128,9 @@ def test_returns_are_fitted_without_a_draw_per_line_and_tree(spark, lines):
     scored = fitted.scored.collect()
     assert scored and all(0 <= row.return_prob <= 1 and row.prediction == (row.return_prob >= 0.5) for row in scored)
     assert abs(sum(row.importance for row in models.feature_importance(fitted).collect()) - 1) < 1e-9
+
+
+def test_a_line_without_a_label_is_refused(spark, lines):
+    unlabelled = lines.withColumn("discount", F.when(F.col("order_id") % 2 == 0, F.col("discount")))
+    with pytest.raises(Exception, match="labels must not be null"):
+        models.fit_returns(unlabelled, trees=2, depth=2)

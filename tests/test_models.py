@@ -109,3 +109,9 @@ def test_demand_with_a_yearly_rhythm_is_predicted(spark):
 def test_returns_forest_in_cross_validation_has_no_depth():
     # The reference sets none.
     assert models.returns_estimator().depth is None
+
+
+def test_monthly_fits_read_the_lines_once(lines):
+    for fit in (models.fit_revenue, models.fit_residuals):
+        fitted = fit(lines, rounds=1)
+        assert not set(fitted.scored.inputFiles()) & set(lines.inputFiles())

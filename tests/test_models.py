@@ -115,3 +115,23 @@ def test_monthly_fits_read_the_lines_once(lines):
     for fit in (models.fit_revenue, models.fit_residuals):
         fitted = fit(lines, rounds=1)
         assert not set(fitted.scored.inputFiles()) & set(lines.inputFiles())
+
+
+def test_attributions_are_looked_up_per_leaf(spark, monkeypatch):
+    """What a leaf gives to its features depends on which of them allow it: few ways, not rows."""
+    rules = [[(0, -np.inf, 1.0, 0.5), (1, 2.0, np.inf, 0.25)], [(0, 1.0, 3.0, 0.3)], []]
+    leaves = [(1.5, rules[0]), (-2.0, rules[1]), (0.5, rules[2])]
+    rows = [(1, 1.0, 2.0), (2, 0.5, 2.5), (3, 3.0, 9.0), (4, 3.5, -1.0), (5, None, 5.0)]
+    scored = spark.createDataFrame(rows, "id long, a double, b double")
+    monkeypatch.setattr(attributions, "leaf_rules", lambda fitted: leaves)
+    given = models.Fitted(None, ["a", "b"], scored)
+    looked_up = attributions.attributions(given, "id").orderBy("id").collect()
+    _, found = attributions.tabulated(leaves, 2)
+    assert [table.shape for *_, table in found] == [(2, 4), (1, 2), (0, 1)]
+    monkeypatch.setattr(attributions, "TABLED", 0)
+    assert attributions.attributions(given, "id").orderBy("id").collect() == looked_up
+    for row, (_, a, b) in zip(looked_up, rows, strict=True):
+        low, high, mid = (a is not None and a <= 1), b > 2, (a is not None and 1 < a <= 3)
+        # Two features: the mean of both orders of adding them.
+        assert row.phi_b == pytest.approx(1.5 * (high - 0.25) * (low + 0.5) / 2)
+        assert row.phi_a == pytest.approx(1.5 * (low - 0.5) * (high + 0.25) / 2 - 2.0 * (mid - 0.3))

@@ -93,7 +93,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model scores of every document."""
-    return suffix_tree.score(table(spark, sf_dir, "documents"), toxicity.remainder("doc_id", 7) != 2)
+    docs = table(spark, sf_dir, "documents")
+    return suffix_tree.score(docs, toxicity.remainder("doc_id", 7) != 2, tree_share=suffix_tree.TREE)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,12 +8,15 @@ depth at most. A candidate is retained if its next-symbol distribution differs f
 suffix (count times Kullback-Leibler divergence over ``DIVERGENCE``) or if a longer retained one
 ends in it. Distributions are discounted and interpolated with those of the suffix, down to all
 256 bytes. A byte is scored in the state of the longest retained suffix of what precedes it, and
-the bytes of a token give its spelling a probability p. Tokens are whole symbols too: with c of N
-training tokens, and ``DISCOUNT`` d taken from each of the V different ones, a known token has the
-probability ``max(c - d, 0) / N + d V / N * p``. All unknown tokens are one symbol, as in the base
-score, with the rest: the spellings that are not known tokens. Their share of all spellings is at
-least that of new tokens in text, estimated by N1 / N (N1: tokens seen once), which is what they
-get: ``d V / N * N1 / N``. So the probabilities of all symbols add up to one at most.
+the bytes of a token give its spelling a probability p. Tokens are whole symbols too: c of N
+training tokens, with ``DISCOUNT`` d taken from each of the V different ones. The tree has the
+weight ``t + (1 - t) d V / N`` for a given ``tree_share`` t, so that a known token has the probability
+``(1 - t) max(c - d, 0) / N + (t + (1 - t) d V / N) p``. With t = 0 only what is discounted is left
+to the tree, little in a large corpus; with ``TREE`` the tree's view of a token in its context weighs
+as much as its count. All unknown tokens are one symbol, as in the base score, with the rest: the
+spellings that are not known tokens. Their share of all spellings is at least that of new tokens in
+text, estimated by N1 / N (N1: tokens seen once), which is what they get of the tree's weight. So the
+probabilities of all symbols add up to one at most.
 
 The base score adds one to token counts. Tokens with ``FREQUENT`` of all occurrences or more
 (``1 / FREQUENT`` at most) go to the tasks with their counts; the others are joined by a shuffle.
@@ -40,6 +43,8 @@ from marginalia.llm.text import steps, strings
 from marginalia.storage import stage
 
 DEPTH, SHARE, DIVERGENCE, DISCOUNT = 5, 1 / 32000, 20.0, 0.75
+# The tree's share of a token's probability beyond what counts are discounted by.
+TREE = 0.5
 FREQUENT = 1e-6
 COUNT_BYTES, COUNTER_WORDS = 8 << 20, 400_000
 END = "\n"
@@ -224,7 +229,12 @@ def fit_tree(gram_counts: DataFrame, share: float = SHARE) -> Tree:
 
 
 def score(
-    docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", frequent: float = FREQUENT
+    docs: DataFrame,
+    training: Column,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    frequent: float = FREQUENT,
+    tree_share: float = 0.0,
 ) -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` and ``score``, learning from the rows for which ``training`` holds."""
@@ -243,10 +253,10 @@ def score(
     common = tokens.filter(F.col("n") >= frequent * all_tokens).select("word", "c").toArrow()
     table = {word.encode(): place for place, word in enumerate(common.column("word").to_pylist())}
     shared = spark.sparkContext.broadcast((tree, table, np.append(common.column("c").to_numpy(), 0)))
-    # Share of the discount, and what a count is divided by; without counts spelling is all.
-    spare = DISCOUNT * kinds / train_tokens if train_tokens else 1.0
-    whole = max(train_tokens, 1)
-    unknown = spare * max(once, 1) / whole
+    # The tree's weight, and what a count is divided by; without counts spelling is all.
+    spare = tree_share + (1 - tree_share) * DISCOUNT * kinds / train_tokens if train_tokens else 1.0
+    whole = max(train_tokens, 1) / (1 - tree_share)
+    unknown = spare * max(once, 1) / max(train_tokens, 1)
 
     def scan(batches):
         tree, table, c = shared.value

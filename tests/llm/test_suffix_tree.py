@@ -135,3 +135,43 @@ def test_held_out_texts_are_likelier_than_under_the_base(spark):
     rows = [row for row in QUERIES["op5_language_model"](spark, sf).collect() if row.held_out]
     assert len(rows) > 80
     assert sum(row.score for row in rows) > sum(row.base_score for row in rows)
+
+
+def weighted(rows, share):
+    """Scores by definition with the tree's ``share``, in the order of ``rows``."""
+    texts = [(key, tokens_of(text)) for key, text in rows]
+    training = [words for key, words in texts if not held_out(key)]
+    c = Counter(token for words in training for token in [*words, "\n"])
+    n, once = sum(c.values()), sum(count == 1 for count in c.values())
+    spare, tree = share + (1 - share) * D * len(c) / n, plain_tree(training)
+    out = []
+    for _, words in texts:
+        data, at, score = b"\n" * DEPTH + spell(words), DEPTH, 0.0
+        for token in [*words, "\n"]:
+            p = 1.0
+            for at in range(at, at + len(token.encode()) + (token != "\n")):
+                context = next(data[at - d : at] for d in range(DEPTH, -1, -1) if data[at - d : at] in tree)
+                p *= tree[context][data[at]]
+            at += 1
+            known = (1 - share) * (c[token] - D) / n + spare * p
+            score += math.log10(known if c[token] else spare * max(once, 1) / n)
+        out.append(score)
+    return out
+
+
+@pytest.mark.parametrize("frequent", [1e-6, 2.0])
+def test_the_tree_weighs_as_much_as_counts_in_the_query(spark, monkeypatch, frequent):
+    """Words that always follow each other are likelier in that order, though counts are the same."""
+    rows = [(key, "ab cd ef gh " * 40) for key in range(300) if not held_out(key)]
+    ordered, mixed = [key for key in range(300, 400) if held_out(key)][:2]
+    rows += [(ordered, "ab cd ef gh"), (mixed, "gh ef cd ab"), (mixed + 10_000, "Zz ab")]
+    found = {row.doc_id: row for row in model(documents(spark, rows), frequent=frequent, tree_share=suffix_tree.TREE)}
+    for (key, _), expected in zip(rows, weighted(rows, suffix_tree.TREE), strict=True):
+        assert found[key].score == pytest.approx(expected, rel=1e-5)
+    before = {row.doc_id: row for row in model(documents(spark, rows), frequent=frequent)}
+    assert before[ordered].score - before[mixed].score < 0.1
+    assert found[ordered].score - found[mixed].score > 1
+    taken = {}
+    monkeypatch.setattr(suffix_tree, "score", lambda docs, training, **options: taken.update(options))
+    QUERIES["op5_language_model"](spark, SMALL)
+    assert taken["tree_share"] == suffix_tree.TREE >= 0.5

@@ -25,7 +25,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the least id of each group of near-duplicates: texts linked by a
-    Jaccard similarity of 0.8 or more of their five-word shingles."""
+    Jaccard similarity of 0.8 or more of their five-word shingles. SimHash finds the near ones, as in
+    ``op8``; the whole sets confirm them, and rare shingles find the links it misses."""
     return jaccard.deduplicate(docs)
 
 

@@ -1,4 +1,4 @@
-"""Near-duplicates by exact Jaccard similarity, found with rarity-ordered prefixes.
+"""Near-duplicates by exact Jaccard similarity, found with SimHash and rarity-ordered prefixes.
 
 Texts are lower-cased, words are runs of bytes other than white space (0x20, 0x09-0x0D), and a
 text is the set of 64-bit hashes of its shingles of ``WIDTH`` consecutive words (a text of fewer
@@ -12,10 +12,11 @@ as the set in shingles, for pairs that pass the first. All shingles have one ord
 in hashed cells, whose logarithm and then the hash decide. Of n shingles, linked texts miss at most
 ``n - ceil(0.8 n)`` each, so the first common one is among the first ``n - ceil(0.8 n) + 1`` of
 both: no link is missed, whatever the cells hold. They only keep lines that many texts share
-out of the prefixes. Nodes that share a prefix shingle, and may link by sizes and places, are
-verified by their whole sets: first each with one leader, the one of most of its shingles' groups,
-and then, where a group still has several components, those outside its largest one with all
-other members.
+out of the prefixes. Candidates are verified by their whole sets. The first come from ``simhash``:
+nodes of equal fingerprints and the links of its search. It misses pairs whose fingerprints are
+further apart, so nodes that share a prefix shingle, may link by sizes and places, and are not yet in
+one component follow: first each with one leader, the one of most of its shingles' groups, and then,
+where a group still has several components, those outside its largest one with all other members.
 
 Defined cases: null is an empty text; texts without words link with each other; null ids come last;
 an empty table gives an empty table; other columns are kept.
@@ -31,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginalia.llm import simhash
 from marginalia.llm.components import components
 from marginalia.llm.text import flat, gram_hashes, mix, steps, unused_name, word_hashes
 from marginalia.storage import discard, stage
@@ -266,6 +268,20 @@ def _drawn(members: DataFrame, draw: int) -> DataFrame:
     return met.filter(_alike("n", "sketch", "m", "other")).select(F.col("node").alias("u"), "v")
 
 
+def _fingerprinted(numbered: DataFrame, keys: DataFrame, place: str) -> DataFrame:
+    """Pairs (``u``, ``v``) of different nodes that span the components of the SimHash search: one
+    node of a fingerprint with its others, and such nodes of linked fingerprints."""
+    # Equal sets have equal texts but for repeats of shingles: one row of each node is enough.
+    rows = keys.groupBy("node").agg(F.min(place).alias(place))
+    some = numbered.select(place, "text").join(rows.hint("merge"), place)
+    marked = stage(simhash.fingerprints(some, "node", "text", WIDTH).toDF("node", "fp"), "fingerprints")
+    firsts = stage(marked.groupBy("fp").agg(F.min("node").alias("first")), "firsts")
+    equal = marked.join(firsts, "fp").filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    own, other = (firsts.toDF(*names) for names in (("u", "a"), ("v", "b")))
+    linked = simhash.links(firsts.select("fp")).join(own, "u").join(other, "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return stage(equal.unionByName(linked), "near")
+
+
 def _links(numbered: DataFrame, keys: DataFrame, place: str) -> DataFrame:
     """Links (``u``, ``v``) between different nodes that span every component."""
     source = numbered.select("text")
@@ -277,13 +293,22 @@ def _links(numbered: DataFrame, keys: DataFrame, place: str) -> DataFrame:
     held = groups.select("node").distinct()
     sketches = stage(sketches.join(held.hint("merge"), "node"), "sketches")
     own, other = (sketches.drop("long").toDF(*names) for names in (("u", "n", "sketch"), ("v", "m", "other")))
+    near = _fingerprinted(numbered, keys, place)
+    alike = near.join(own, "u").join(other, "v").filter(_alike("n", "sketch", "m", "other")).select("u", "v")
+    links = _verified(alike, numbered, keys, sketches, place)
+    discard(near)
+    # Whatever fingerprints have joined needs no further look.
+    roots = stage(components(links), "roots")
     led = groups.filter("node <> leader.node").filter(_may_link("n", "at", "leader.n", "leader.at"))
     led = led.groupBy(F.col("node").alias("u"), F.col("leader.node").alias("v")).agg(F.count("*").alias("times"))
+    first, second = (roots.toDF(*names) for names in (("u", "of_u"), ("v", "of_v")))
+    led = led.join(first, "u", "left").join(second, "v", "left")
+    led = led.filter(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select("u", "v", "times")
     led = led.join(own, "u").join(other, "v").filter(_alike("n", "sketch", "m", "other"))
     # A node has no more leaders than prefix shingles.
     most = F.slice(F.sort_array(F.collect_list(F.struct("times", "v")), asc=False), 1, LEADERS)
     led = led.groupBy("u").agg(most.alias("most")).select("u", F.explode("most.v").alias("v"))
-    links = _verified(led, numbered, keys, sketches, place)
+    links = links.unionByName(_verified(led, numbered, keys, sketches, place))
 
     for draw in range(DRAWS + 1):
         members, full, rows = _mixed(groups.drop("leader"), sketches, links)

@@ -124,3 +124,35 @@ def test_clashing_place(spark, tmp_path):
     out = jaccard.deduplicate(spark.read.parquet(str(tmp_path / "docs")))
     assert out.columns == docs.columns
     assert sorted((row.doc_id, row.place, row.Place_) for row in out.collect()) == [(1, 7, "p"), (3, 21, "p")]
+
+
+def test_links_of_the_simhash_search_come_first(spark, monkeypatch):
+    """Near copies that fingerprints join are verified as such; the rest only by shared shingles."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(words) for _ in range(400)]
+    last = [*base[:-1], "other"]
+    far = list(base)
+    for at in range(20, 400, 66):
+        far[at] = "odd"
+    rows = [(1, " ".join(base)), (2, " ".join(last)), (3, " ".join(far)), (4, "something else " * 9), (5, None)]
+    docs = documents(spark, rows)
+    asked = []
+    searched, verified = jaccard.simhash.links, jaccard._verified
+
+    def search(nodes, *options):
+        asked.append(("search", nodes.count()))
+        return searched(nodes, *options)
+
+    def verify(pairs, *options):
+        asked.append(("verify", pairs.count()))
+        return verified(pairs, *options)
+
+    monkeypatch.setattr(jaccard.simhash, "links", search)
+    monkeypatch.setattr(jaccard, "_verified", verify)
+    kept = corpus_pipeline.near_duplicate_stage(spark, jaccard.stage(docs, "given"), SMALL)
+    assert sorted(row.doc_id for row in kept.collect()) == plain_kept(rows) == [1, 4, 5]
+    assert asked[0][0] == "search" and asked[0][1] >= 3
+    # The first check is that of the fingerprints' links, which leave less to the second.
+    assert [kind for kind, _ in asked[1:3]] == ["verify", "verify"]
+    assert asked[1][1] >= 1 and asked[2][1] <= 2

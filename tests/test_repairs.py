@@ -61,3 +61,16 @@ def test_row_keys_stay_unique_for_many_parts(spark, tmp_path):
     lines = retail.order_lines(spark, folder)
     assert sorted(row.row_id for row in lines.collect()) == ["1-1000001", "2-1"]
     assert clean.check_unique(lines, ["row_id"], "row_id_unique").first().violations == 0
+
+
+def test_the_sink_writes_the_fact_once(spark, monkeypatch):
+    """The fact is as long as the lines: the sink's own table is the only copy of it."""
+    from marginalia import storage
+    from marginalia.plans import catalog
+
+    labels, stage = [], storage.stage
+    monkeypatch.setattr(storage, "stage", lambda df, label, *more: labels.append(label) or stage(df, label, *more))
+    monkeypatch.setattr(retail, "_staged", {})
+    rows = catalog.star_sink(spark, "/root/testdata/sf0.001").collect()
+    assert "dim_geography" in labels and "fact_sales" not in labels
+    assert sum(row.rows for row in rows) == retail.retail_lines(spark, "/root/testdata/sf0.001").count()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.storage import stage
+from marginalia.storage import discard, stage
 
 
 def _least_neighbour(pairs: DataFrame) -> DataFrame:
@@ -48,6 +48,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stage(edges, "edges")
     before, now = None, _state(edges)
     while now != before:
-        edges = stage(_small_star(_large_star(edges)), "stars")
+        done, edges = edges, stage(_small_star(_large_star(edges)), "stars")
         before, now = now, _state(edges)
+        discard(done)
     return edges.select("u", F.col("v").alias("root"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia import storage
+from marginalia.operators.boosting import Boosted
 from marginalia.operators.models import Fitted
 
 # Features of a leaf up to which its attributions are tabulated for every way to allow it.
@@ -27,6 +28,8 @@ def leaf_rules(fitted: Fitted) -> list[tuple[float, list[tuple[int, float, float
     The node table is read back from a saved copy of the model. Its size is set by the number
     of trees and their depth, not by the data.
     """
+    if isinstance(fitted.model, Boosted):
+        return fitted.model.leaves()
     spark = fitted.scored.sparkSession
     trees = fitted.model.stages[-1]
     path = storage.new_path(spark, "trees")

@@ -93,3 +93,16 @@ def test_missing_numbers_are_an_error(rows):
     holed = rows.withColumn("a", F.when(F.col("id") > 0, F.col("a"))).withColumn("fold", F.lit(-1))
     with pytest.raises(Exception, match="must not be null"):
         fitted(holed, [(1.0, 1.0)], rounds=1, depth=2)
+
+
+def test_leaves_give_the_margins(rows):
+    """A node whose few columns part nothing is a leaf, for its scores and for its rules."""
+    flat = rows.withColumns({"b": F.lit(1.0), "c": F.lit(2), "fold": F.lit(-1)})
+    (model,) = fitted(flat, [(1.0, 1.0)], rounds=8, depth=4, column_share=0.3)
+    given = flat.orderBy("id").limit(200).toPandas()
+    x = given[NAMES].to_numpy(float)
+    total = np.zeros(len(x))
+    for value, rules in model.leaves():
+        total += value * np.all([(lo < x[:, f]) & (x[:, f] <= hi) for f, lo, hi, _ in rules] or [np.ones(len(x), bool)], axis=0)
+    scored = {row.id: row.rawPrediction[1] for row in model.transform(flat).collect()}
+    assert [scored[one] for one in given["id"]] == pytest.approx(list(total), abs=1e-9)

@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,7 +47,9 @@ DEPTH, SHARE, DIVERGENCE, DISCOUNT = 5, 1 / 32000, 20.0, 0.75
 # The tree's share of a token's probability beyond what counts are discounted by.
 TREE = 0.5
 FREQUENT = 1e-6
-COUNT_BYTES, COUNTER_WORDS = 8 << 20, 400_000
+# Text bytes that one step of counting and scoring works on, which memory goes with, and different
+# tokens (and four times as many grams) that a task holds before it sends them on.
+COUNT_BYTES, SCORE_BYTES, COUNTER_WORDS = 1 << 20, 1 << 19, 100_000
 END = "\n"
 _PAD = b"\n" * DEPTH
 
@@ -156,48 +159,49 @@ def build(levels: list[dict[int, dict[int, int]]], divergence: float = DIVERGENC
     return Tree(classes, child, np.log(np.stack([rows[key] for key in order])).astype(np.float32))
 
 
-def _counted(source: DataFrame) -> DataFrame:
-    """(``word``, ``gram``, ``n_train``, ``n``): counts of tokens (all texts) and grams (training)."""
+def count_batch(word_counts: dict, train_counts: dict, found: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    names = list(word_counts)
+    codes, times = found
+    blank = len(codes)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([*names, *[None] * blank], pa.binary()).cast(pa.string()),
+            pa.concat_arrays([pa.nulls(len(names), pa.int64()), pa.array(codes.view(np.int64))]),
+            pa.concat_arrays([pa.array([train_counts.get(name, 0) for name in names], pa.int64()), pa.array(times)]),
+            pa.concat_arrays([pa.array(list(word_counts.values()), pa.int64()), pa.array(times)]),
+        ],
+        ["word", "gram", "n_train", "n"],
+    )
 
-    def batch(word_counts: dict, train_counts: dict, found: tuple[np.ndarray, np.ndarray]):
-        names = list(word_counts)
-        codes, times = found
-        blank = len(codes)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([*names, *[None] * blank], pa.binary()).cast(pa.string()),
-                pa.concat_arrays([pa.nulls(len(names), pa.int64()), pa.array(codes.view(np.int64))]),
-                pa.concat_arrays([pa.array([train_counts.get(name, 0) for name in names], pa.int64()), pa.array(times)]),
-                pa.concat_arrays([pa.array(list(word_counts.values()), pa.int64()), pa.array(times)]),
-            ],
-            ["word", "gram", "n_train", "n"],
-        )
 
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the tokens and grams of (``text``, ``training``), in parts of bounded size."""
     nothing = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    every: Counter = Counter()
+    train: Counter = Counter()
+    held = [nothing]
+    for given in batches:
+        for part in steps(given, "text", COUNT_BYTES):
+            texts = [words(text) for text in strings(part.column("text"))]
+            taken = part.column("training").to_pylist()
+            for text, training in zip(texts, taken, strict=True):
+                every.update(text)
+                every[b"\n"] += 1
+                if training:
+                    train.update(text)
+                    train[b"\n"] += 1
+            chosen = [text for text, training in zip(texts, taken, strict=True) if training]
+            if chosen:
+                held.append(grams(*symbols(chosen)))
+            if len(every) > COUNTER_WORDS or sum(len(codes) for codes, _ in held) > 4 * COUNTER_WORDS:
+                yield count_batch(every, train, merged(held))
+                every, train, held = Counter(), Counter(), [nothing]
+    yield count_batch(every, train, merged(held))
 
-    def scan(batches):
-        every: Counter = Counter()
-        train: Counter = Counter()
-        held = [nothing]
-        for given in batches:
-            for part in steps(given, "text", COUNT_BYTES):
-                texts = [words(text) for text in strings(part.column("text"))]
-                taken = part.column("training").to_pylist()
-                for text, training in zip(texts, taken, strict=True):
-                    every.update(text)
-                    every[b"\n"] += 1
-                    if training:
-                        train.update(text)
-                        train[b"\n"] += 1
-                chosen = [text for text, training in zip(texts, taken, strict=True) if training]
-                if chosen:
-                    held.append(grams(*symbols(chosen)))
-                if len(every) > COUNTER_WORDS or sum(len(codes) for codes, _ in held) > 4 * COUNTER_WORDS:
-                    yield batch(every, train, merged(held))
-                    every, train, held = Counter(), Counter(), [nothing]
-        yield batch(every, train, merged(held))
-
-    rows = source.mapInArrow(scan, "word string, gram long, n_train long, n long")
+
+def _counted(source: DataFrame) -> DataFrame:
+    """(``word``, ``gram``, ``n_train``, ``n``): counts of tokens (all texts) and grams (training)."""
+    rows = source.mapInArrow(count_batches, "word string, gram long, n_train long, n long")
     return rows.groupBy("word", "gram").agg(F.sum("n_train").alias("n_train"), F.sum("n").alias("n"))
 
 
@@ -264,7 +268,7 @@ def score(
         counted = np.maximum(c - DISCOUNT, 0) / whole
         other = len(c) - 1
         for batch in batches:
-            for part in steps(batch, "text"):
+            for part in steps(batch, "text", SCORE_BYTES):
                 texts = [words(text) for text in strings(part.column("text"))]
                 tokens = [token for text in texts for token in (*text, b"\n")]
                 place = np.array([table.get(token, other) for token in tokens], np.int64)

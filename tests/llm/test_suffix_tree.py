@@ -2,9 +2,13 @@ from __future__ import annotations
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from marginalia.llm import suffix_tree
@@ -175,3 +179,20 @@ def test_the_tree_weighs_as_much_as_counts_in_the_query(spark, monkeypatch, freq
     monkeypatch.setattr(suffix_tree, "score", lambda docs, training, **options: taken.update(options))
     QUERIES["op5_language_model"](spark, SMALL)
     assert taken["tree_share"] == suffix_tree.TREE >= 0.5
+
+
+def test_counting_holds_a_bounded_part_of_its_texts():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{n:x}" for n in rng.integers(0, 1 << 40, 1000)) for _ in range(600)]
+    given = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([at % 2 == 0 for at in range(600)])], ["text", "training"])
+    counted = {"n": 0, "n_train": 0}
+    tracemalloc.start()
+    try:
+        for part in suffix_tree.count_batches(iter([given])):
+            known = part.filter(pc.is_valid(part["word"]))
+            counted = {name: counted[name] + (pc.sum(known[name]).as_py() or 0) for name in counted}
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert counted == {"n": 600 * 1001, "n_train": 300 * 1001}
+    assert peak < 150 << 20, peak >> 20

@@ -33,9 +33,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(root.select("u", F.col("root").alias("v"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    digest = F.expr("sum(cast(xxhash64(u, v) as decimal(38, 0)))")
-    return tuple(edges.agg(F.count("*"), digest).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge, to a node that has none: each component is a star."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.agg(F.count_if((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("down") == 1)))).first()[0]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -46,9 +49,14 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = stage(edges, "edges")
-    before, now = None, _state(edges)
-    while now != before:
+    while not _settled(edges):
         done, edges = edges, stage(_small_star(_large_star(edges)), "stars")
-        before, now = now, _state(edges)
         discard(done)
     return edges.select("u", F.col("v").alias("root"))
+
+
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of earlier links, given by their ``roots``, and further staged ``links`` together."""
+    if links.isEmpty():
+        return roots
+    return components(roots.select("u", F.col("root").alias("v")).unionByName(links.select("u", "v")))

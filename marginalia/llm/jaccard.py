@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.llm import simhash
-from marginalia.llm.components import components
+from marginalia.llm.components import components, joined
 from marginalia.llm.text import flat, gram_hashes, mix, steps, unused_name, word_hashes
 from marginalia.storage import discard, stage
 
@@ -211,6 +211,8 @@ def _verified(pairs: DataFrame, numbered: DataFrame, keys: DataFrame, sketches:
     own, other = (sketches.select("node", "n", "long").toDF(*names) for names in (("u", "n", "long"), ("v", "m", "other")))
     pairs = pairs.join(own, "u").join(other, "v").filter(_alike_long("n", "long", "m", "other"))
     pairs = stage(pairs.select("u", "v"), "pairs")
+    if pairs.isEmpty():
+        return pairs
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     chosen = keys.join(wanted, "node").groupBy("node").agg(F.min(place).alias(place))
     source = numbered.select(place, "text").join(chosen.hint("merge"), place).select("node", "text")
@@ -238,11 +240,10 @@ def _verified(pairs: DataFrame, numbered: DataFrame, keys: DataFrame, sketches:
     return links
 
 
-def _mixed(groups: DataFrame, sketches: DataFrame, links: DataFrame) -> tuple[DataFrame, int, int]:
+def _mixed(groups: DataFrame, sketches: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
     """Members of the groups that several components share, with the ``root`` of each and that of the
     group's largest one (``main``); the pairs of those outside of it with all members; the rows."""
-    roots = components(links).withColumnRenamed("u", "node")
-    placed = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = groups.join(roots.withColumnRenamed("u", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = stage(placed.groupBy("shingle", "root").agg(F.count("*").alias("size")), "sizes")
     main = sizes.groupBy("shingle").agg(
         F.max(F.struct("size", "root")).alias("most"), F.sum("size").alias("all"), F.count("*").alias("several")
@@ -268,6 +269,13 @@ def _drawn(members: DataFrame, draw: int) -> DataFrame:
     return met.filter(_alike("n", "sketch", "m", "other")).select(F.col("node").alias("u"), "v")
 
 
+def _left(members: DataFrame) -> DataFrame:
+    """Each member outside its group's largest component with all members of others."""
+    rest = members.filter("root <> main").selectExpr("shingle", "node AS v", "root AS w", "n AS m", "at AS to", "sketch AS other")
+    left = members.join(rest, "shingle").filter("root <> w").filter(_may_link("n", "at", "m", "to"))
+    return left.filter(_alike("n", "sketch", "m", "other")).select(F.col("node").alias("u"), "v")
+
+
 def _fingerprinted(numbered: DataFrame, keys: DataFrame, place: str) -> DataFrame:
     """Pairs (``u``, ``v``) of different nodes that span the components of the SimHash search: one
     node of a fingerprint with its others, and such nodes of linked fingerprints."""
@@ -282,8 +290,12 @@ def _fingerprinted(numbered: DataFrame, keys: DataFrame, place: str) -> DataFram
     return stage(equal.unionByName(linked), "near")
 
 
-def _links(numbered: DataFrame, keys: DataFrame, place: str) -> DataFrame:
-    """Links (``u``, ``v``) between different nodes that span every component."""
+def _roots(numbered: DataFrame, keys: DataFrame, place: str) -> DataFrame:
+    """(``u``, ``root``): the least node of its component for every node that has a smaller one.
+
+    Links that are found later join the components of those before, and where none are found, or no
+    group has several components left, nothing more is run: each step costs the driver a plan.
+    """
     source = numbered.select("text")
     total = keys.agg(F.sum("n")).first()[0] or 0
     groups = _prefixes(source, _ranks(source, total))
@@ -298,7 +310,7 @@ def _links(numbered: DataFrame, keys: DataFrame, place: str) -> DataFrame:
     links = _verified(alike, numbered, keys, sketches, place)
     discard(near)
     # Whatever fingerprints have joined needs no further look.
-    roots = stage(components(links), "roots")
+    roots = components(links)
     led = groups.filter("node <> leader.node").filter(_may_link("n", "at", "leader.n", "leader.at"))
     led = led.groupBy(F.col("node").alias("u"), F.col("leader.node").alias("v")).agg(F.count("*").alias("times"))
     first, second = (roots.toDF(*names) for names in (("u", "of_u"), ("v", "of_v")))
@@ -308,22 +320,20 @@ def _links(numbered: DataFrame, keys: DataFrame, place: str) -> DataFrame:
     # A node has no more leaders than prefix shingles.
     most = F.slice(F.sort_array(F.collect_list(F.struct("times", "v")), asc=False), 1, LEADERS)
     led = led.groupBy("u").agg(most.alias("most")).select("u", F.explode("most.v").alias("v"))
-    links = links.unionByName(_verified(led, numbered, keys, sketches, place))
+    roots = joined(roots, _verified(led, numbered, keys, sketches, place))
 
     for draw in range(DRAWS + 1):
-        members, full, rows = _mixed(groups.drop("leader"), sketches, links)
+        members, full, rows = _mixed(groups.drop("leader"), sketches, roots)
         if draw == DRAWS or full <= FEW * rows:
             break
         found = _verified(_drawn(members, draw), numbered, keys, sketches, place)
         discard(members)
-        links = links.unionByName(found)
-    rest = members.filter("root <> main").selectExpr("shingle", "node AS v", "root AS w", "n AS m", "at AS to", "sketch AS other")
-    left = members.join(rest, "shingle").filter("root <> w").filter(_may_link("n", "at", "m", "to"))
-    left = left.filter(_alike("n", "sketch", "m", "other")).select(F.col("node").alias("u"), "v")
-    found = links.unionByName(_verified(left, numbered, keys, sketches, place))
+        roots = joined(roots, found)
+    if full:
+        roots = joined(roots, _verified(_left(members), numbered, keys, sketches, place))
     for table in (groups, sketches, members):
         discard(table)
-    return found
+    return roots
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -347,7 +357,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     schema = f"{narrow} long, id long, node long, n int, sketch array<long>, long array<long>"
     keys = stage(_sets(source, [narrow, "id", "node", "n", "sketch", "long"], schema, work), "keys")
-    roots = components(_links(source, keys, narrow)).withColumnRenamed("u", "node")
+    roots = _roots(source, keys, narrow).withColumnRenamed("u", "node")
     placed = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = F.min(F.struct(F.col("id").isNull(), "id", narrow)).alias("first")
     winners = stage(placed.groupBy("root").agg(first).select(F.col(f"first.{narrow}").alias(place)), "kept")

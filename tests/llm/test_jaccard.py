@@ -156,3 +156,16 @@ def test_links_of_the_simhash_search_come_first(spark, monkeypatch):
     # The first check is that of the fingerprints' links, which leave less to the second.
     assert [kind for kind, _ in asked[1:3]] == ["verify", "verify"]
     assert asked[1][1] >= 1 and asked[2][1] <= 2
+
+
+def test_components_that_are_stars_take_no_further_steps(spark, monkeypatch):
+    from marginalia.llm import components
+
+    staged, write = [], components.stage
+    monkeypatch.setattr(components, "stage", lambda table, label: staged.append(label) or write(table, label))
+    stars = spark.createDataFrame([(5, 1), (7, 1), (9, 2), (9, 2), (4, 4)], "u long, v long")
+    roots = components.components(stars)
+    assert sorted(roots.collect()) == [(5, 1), (7, 1), (9, 2)] and staged == ["edges"]
+    assert components.joined(roots, stars.limit(0)) is roots
+    more = spark.createDataFrame([(9, 7), (12, 11)], "u long, v long")
+    assert sorted(components.joined(roots, more).collect()) == [(2, 1), (5, 1), (7, 1), (9, 1), (12, 11)]

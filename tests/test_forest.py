@@ -134,3 +134,42 @@ def test_a_line_without_a_label_is_refused(spark, lines):
     unlabelled = lines.withColumn("discount", F.when(F.col("order_id") % 2 == 0, F.col("discount")))
     with pytest.raises(Exception, match="labels must not be null"):
         models.fit_returns(unlabelled, trees=2, depth=2)
+
+
+def test_trees_see_all_rows_whatever_a_task_holds(spark, rows, monkeypatch):
+    """A table beyond ``fit_rows`` was dealt into blocks, each tree saw one of them, and what was left
+    over after a block a tree was dropped."""
+    names = ["x", "y", "z"]
+    table = forest.binned(rows, names, ["key"], "label")
+    held = table.toPandas()
+    bins = np.stack([np.frombuffer(value, np.uint8) for value in held["bins"]])
+    draw, label = held["draw"].to_numpy().view(np.uint64), held["label"].to_numpy()
+    found, scores = [], []
+    for fit_rows in (100_000, 500):
+        monkeypatch.setattr(forest, "PAIRS", 1 << 27 if fit_rows > 500 else 4 * 3000)
+        grown = forest.Forest(trees=2, fit_rows=fit_rows)
+        trees = {}
+        for row in forest.fold_forests(table, grown, 3).collect():
+            kinds = {"feature": np.uint8, "cut": np.uint8, "left": np.int32, "value": np.float32}
+            trees[row.fold, row.tree] = forest.Tree(*(np.frombuffer(row[name], kind) for name, kind in kinds.items()))
+        found.append({key: (len(tree.left), tree.value[0], tree.predict(bins).tolist()) for key, tree in trees.items()})
+        scores.append(sorted(map(tuple, forest.held_out_scores(rows, names, ["key"], "label", grown, 3).collect())))
+    assert found[0] == found[1] and len(found[0]) == 6
+    assert scores[0] == scores[1] and len(scores[0]) == 3000
+    # The root of a tree has the bootstrap of all rows of the other folds.
+    for (fold, tree), (_, share, predicted) in found[0].items():
+        odd = np.uint64(np.random.default_rng([42, fold, tree]).integers(0, 1 << 63)) * np.uint64(2) + np.uint64(1)
+        times = np.where(held["fold"] == fold, 0, forest.DRAWN[(draw * odd) >> np.uint64(48)])
+        sizes = np.bincount(label[held["fold"] != fold], minlength=2)
+        weight = times * (sizes.sum() / (2 * sizes))[label]
+        assert share == pytest.approx((weight * label).sum() / weight.sum())
+        # Trees of full depth know nearly every row they were grown from.
+        assert (np.array(predicted)[times > 0].round() == label[times > 0]).mean() > 0.98
+
+
+def test_forest_of_a_few_rows_and_missing_labels(spark, rows):
+    few = forest.held_out_scores(rows.where("key < 4"), ["x", "y", "z"], ["key"], "label", forest.Forest(trees=5), 3)
+    assert few.count() == 4 and all(0 <= row.score <= 1 for row in few.collect())
+    with pytest.raises(Exception, match="labels must not be null"):
+        unknown = rows.withColumn("label", F.when(F.col("key") > 5, F.col("label")))
+        forest.held_out_scores(unknown, ["x", "y", "z"], ["key"], "label", forest.Forest(trees=2), 3).count()

@@ -135,3 +135,62 @@ def test_few_pairs_are_multiplied_in_full_and_none_is_lost(monkeypatch, dense):
         assert best.similarity[query] == pytest.approx(near[query][order], abs=2e-9)
     if dense == 16:
         assert sum(multiplied) < 900 * 900 / 16
+
+
+def _staged(monkeypatch, work):
+    """What ``work`` finds, and the labels and frames it stages."""
+    most = []
+    real = recommend.storage.stage
+
+    def stage(df, label, *rest):
+        most.append((label, df))
+        return real(df, label, *rest)
+
+    monkeypatch.setattr(recommend.storage, "stage", stage)
+    return work(), most
+
+
+def test_areas_take_turns_with_the_copies_they_see(spark, monkeypatch):
+    """All areas saw their copies of the blocks at once: as many copies of the table as it has areas."""
+    monkeypatch.setattr(recommend, "SEEN_ROWS", 100)
+    rng = np.random.default_rng(12)
+    rows = [(c, f"item{item}", float(rng.integers(1, 40))) for c in range(200) for item in range(6)]
+    result, staged = _staged(monkeypatch, lambda: found(recommend.similar_customers(purchases(spark, rows), 4, 16, 1)))
+    assert result == brute_force(rows, 4)
+    turns = [df for label, df in staged if label == "nearest"]
+    assert len(turns) > 2
+
+
+def test_turns_hold_what_they_may():
+    areas = [(area, 3) for area in range(7)]
+    assert [len(turn) for turn in recommend._turns(areas, 7)] == [2, 2, 2, 1]
+    assert [len(turn) for turn in recommend._turns(areas, 1)] == [1] * 7
+    assert sum(recommend._turns(areas, 7), []) == areas
+
+
+def test_neighbours_purchases_are_added_up_in_turns_and_travel_as_one_row(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(c, f"item{item}", float(rng.integers(0, 40))) for c in range(60) for item in rng.choice(9, 5, replace=False)]
+    rows += [(0, "item1", 5.0), (1, "item2", None), (61, None, 3.0)]
+    near = [(c, int(n), float(rng.random())) for c in range(60) for n in rng.choice(62, 4, replace=False) if n != c]
+    names = sorted({item for _, item, _ in rows if item})
+    expected = {}
+    for customer in sorted({c for c, _, _ in rows}):
+        mine = {item for c, item, sales in rows if c == customer and sales and sales > 0}
+        scores = dict.fromkeys([name for name in names if name not in mine], 0.0)
+        for c, n, similarity in near:
+            for other, item, sales in rows:
+                if c == customer and other == n and item in scores:
+                    scores[item] += similarity * (sales or 0.0)
+        order = sorted(scores, key=lambda item: (-round(scores[item], 4), item))[:3]
+        expected[customer] = [(item, pytest.approx(scores[item], abs=1e-4)) for item in order]
+    shape = "customer_id bigint, neighbour_id bigint, similarity double"
+    for most in (1 << 26, 300):
+        monkeypatch.setattr(recommend, "SEEN_ENTRIES", most)
+        result = recommend.recommend(purchases(spark, rows), spark.createDataFrame(near, shape), 3)
+        offered = {}
+        for row in result.orderBy("customer_id", "rank").collect():
+            offered.setdefault(row.customer_id, []).append((row.sub_category, row.score))
+        assert offered == expected
+        # The purchases of a neighbour are one row of the join.
+        assert ("recommended" in str(result.inputFiles())) == (most == 300)

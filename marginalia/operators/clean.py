@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,6 +128,19 @@ def dedup_keep_first(df: DataFrame, keys: list[str], order_cols: list) -> DataFr
     return df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
 
 
+def dedup_wide(df: DataFrame, keys: list[str], order_cols: list) -> DataFrame:
+    """``dedup_keep_first`` for wide rows: only those whose key comes again are shuffled.
+
+    The keys are counted first and those that repeat are written, so ``df`` is read twice and has to
+    give the same rows each time. NULL is a key like any other.
+    """
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    repeated = storage.stage(repeated.select(*(F.col(key).alias(f"_key{place}") for place, key in enumerate(keys))), "repeated-keys")
+    same = reduce(Column.__and__, (F.col(key).eqNullSafe(F.col(f"_key{place}")) for place, key in enumerate(keys)))
+    again = dedup_keep_first(df.join(repeated, same, "left_semi"), keys, order_cols)
+    return df.join(repeated, same, "left_anti").unionByName(again)
+
+
 def clean(raw: DataFrame, order_cols: list | None = None) -> DataFrame:
     """Raw all-text order lines to typed, de-duplicated, derived lines.
 
@@ -143,7 +157,7 @@ def clean(raw: DataFrame, order_cols: list | None = None) -> DataFrame:
     number = F.expr("try_cast(row_id AS decimal(38, 0))")
     order = order_cols or [number.asc_nulls_last(), *sorted(given)]
     # Before any column is derived: the shuffle carries the raw columns only.
-    df = dedup_keep_first(df, ["order_id", "product_id"], order)
+    df = dedup_wide(df, ["order_id", "product_id"], order)
     key = F.concat_ws("-", "order_id", "product_id")
     df = df.withColumn("row_id", F.coalesce(F.trim(F.col("row_id").cast("string")), key))
     df = df.withColumns({name: parse_date(name) for name in ("order_date", "ship_date")})

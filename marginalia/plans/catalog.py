@@ -127,14 +127,15 @@ def on_scored(build: Callable[[DataFrame], DataFrame]) -> Query:
 def raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order lines written in the raw file's shape and read back as text.
 
-    Some parts are written in Latin-1 with a name that UTF-8 would not read.
+    Some parts are written in Latin-1 with a name that UTF-8 would not read. Text is several times as
+    long as the lines, so it is compressed.
     """
     path = storage.new_path(spark, "raw-csv")
     lines = retail_lines(spark, sf_dir)
     old = F.col("order_id") % 9 == 0
-    files.export_raw_csv(lines.where(~old), f"{path}/utf8")
+    files.export_raw_csv(lines.where(~old), f"{path}/utf8", compression="gzip")
     accented = lines.where(old).withColumn("customer_name", F.concat("customer_name", F.lit("é")))
-    files.export_raw_csv(accented, f"{path}/latin1", encoding="ISO-8859-1")
+    files.export_raw_csv(accented, f"{path}/latin1", encoding="ISO-8859-1", compression="gzip")
     return files.read_csv(spark, f"{path}/*")
 
 

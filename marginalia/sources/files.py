@@ -44,9 +44,11 @@ def read_typed_csv(
     return spark.read.options(**CSV_OPTIONS, dateFormat=date_format).schema(schema).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
-    """CSV sink with a header in every part file."""
-    options = {"header": "true", "escape": '"', "dateFormat": "yyyy-MM-dd", "encoding": encoding}
+def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", compression: str = "none") -> None:
+    """CSV sink with a header in every part file. A compressed part is read by one task."""
+    options = {
+        "header": "true", "escape": '"', "dateFormat": "yyyy-MM-dd", "encoding": encoding, "compression": compression,
+    }
     df.write.mode("overwrite").options(**options).csv(path)
 
 
@@ -71,7 +73,7 @@ RAW_HEADERS = {
 }
 
 
-def export_raw_csv(lines: DataFrame, path: str, encoding: str = "UTF-8") -> None:
+def export_raw_csv(lines: DataFrame, path: str, encoding: str = "UTF-8", compression: str = "none") -> None:
     """Order lines in the shape of the raw file: raw headers, month-first dates, text."""
     columns = []
     for name, header in RAW_HEADERS.items():
@@ -79,4 +81,4 @@ def export_raw_csv(lines: DataFrame, path: str, encoding: str = "UTF-8") -> None
         if name in ("order_date", "ship_date"):
             value = F.date_format(value, "M/d/yyyy")
         columns.append(value.cast("string").alias(header))
-    write_csv(lines.select(*columns), path, encoding)
+    write_csv(lines.select(*columns), path, encoding, compression)

@@ -199,3 +199,23 @@ def test_star_is_written_by_year(spark, lines, tmp_path):
     assert fact.count() == lines.count()
     one_year = fact.where("order_year = 1998")
     assert "PartitionFilters: [isnotnull(order_year" in one_year._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_whose_key_does_not_repeat_are_not_shuffled(spark):
+    """All rows were shuffled with all their columns, though few keys come twice."""
+    rows = [("1", "a", "x"), ("1", "a", "w"), ("2", "a", "v"), (None, "a", "u"), (None, "a", "t"), ("3", None, "s"), (None, None, "r")]
+    df = spark.createDataFrame(rows, "o string, p string, z string")
+    found = sorted(map(str, clean.dedup_wide(df, ["o", "p"], ["z"]).collect()))
+    assert found == sorted(map(str, clean.dedup_keep_first(df, ["o", "p"], ["z"]).collect())) and len(found) == 5
+    once = clean.dedup_wide(spark.range(50).select(F.col("id").alias("o"), F.col("id").alias("p"), F.lit("x").alias("z")), ["o", "p"], ["z"])
+    assert once.count() == 50
+    branch = once._jdf.queryExecution().optimizedPlan().children().head().toString()
+    assert "LeftAnti" in branch and "Window" not in branch
+
+
+def test_compressed_parts_are_read_by_their_encoding(spark, tmp_path):
+    for name, encoding in (("a é", "UTF-8"), ("b é", "ISO-8859-1")):
+        df = spark.createDataFrame([(name,)], "n string")
+        files.write_csv(df, str(tmp_path / encoding), encoding, "gzip")
+    assert list(tmp_path.glob("*/*.csv.gz"))
+    assert sorted(row.n for row in files.read_csv(spark, f"{tmp_path}/*").collect()) == ["a é", "b é"]
